@@ -10,9 +10,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 @dataclass(frozen=True)
 class CalendarWindow:
@@ -25,10 +22,10 @@ class CalendarWindow:
             return self.first <= mmdd <= self.last
         return mmdd >= self.first or mmdd <= self.last
 
-    def contains(self, mmdd: Column) -> Column:
+    def contains(self, mmdd: str) -> str:
         if self.first <= self.last:
-            return mmdd.between(self.first, self.last)
-        return (mmdd >= self.first) | (mmdd <= self.last)
+            return f"{mmdd} between {self.first} and {self.last}"
+        return f"({mmdd} >= {self.first} or {mmdd} <= {self.last})"
 
 
 # Window bounds.
@@ -65,44 +62,35 @@ ASTRONOMICAL = (
 )
 
 
-def month_day(day: Column) -> Column:
-    return F.month(day) * 100 + F.dayofmonth(day)
-
-
-def season_name(day: Column) -> Column:
-    """Astronomical season; a null date falls through to winter."""
-    mmdd = month_day(day)
-    chain = F
-    for window in ASTRONOMICAL:
-        chain = chain.when(window.contains(mmdd), window.key)
-    return chain.otherwise("Winter")
+def month_day(day: str) -> str:
+    return f"(month({day}) * 100 + day({day}))"
 
 
-def phase_flags(day: Column, windows: Sequence[CalendarWindow] = PHASES) -> list[Column]:
-    mmdd = month_day(day)
-    return [w.contains(mmdd).alias(w.key) for w in windows]
+def season_name(mmdd: str) -> str:
+    """Astronomical season; a null day falls through to winter."""
+    cases = " ".join(f"when {w.contains(mmdd)} then '{w.key}'" for w in ASTRONOMICAL)
+    return f"case {cases} else 'Winter' end"
 
 
-def parse_day(text: Column) -> Column:
+def parse_day(text: str) -> str:
     """``yyyy-MM-dd`` to a date, null when it is not one."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    return f"try_to_date({text}, 'yyyy-MM-dd')"
 
 
-def expected_days(year: Column) -> Column:
+def expected_days(year: str) -> str:
     """Days of a Gregorian year."""
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    return F.when(leap, 366).otherwise(365)
+    leap = f"({year} % 4 = 0 and {year} % 100 != 0) or {year} % 400 = 0"
+    return f"case when {leap} then 366 else 365 end"
 
 
-def coverage_pct(days: Column, expected: Column) -> Column:
-    return F.round(days * 100.0 / expected, 1)
+def coverage_pct(days: str, expected: str) -> str:
+    return f"round({days} * 100D / ({expected}), 1)"
 
 
-def coverage_status(days: Column, expected: Column) -> Column:
+def coverage_status(days: str, expected: str) -> str:
     return (
-        F.when(days < expected * 0.5, "SPARSE")
-        .when(days < expected * 0.9, "INCOMPLETE")
-        .otherwise("OK")
+        f"case when {days} < ({expected}) * 0.5D then 'SPARSE'"
+        f" when {days} < ({expected}) * 0.9D then 'INCOMPLETE' else 'OK' end"
     )
 
 
@@ -122,24 +110,20 @@ class YearSegments:
         bounds = {w.first for w in windows} | {_day_after(w.last) for w in windows}
         return cls(tuple(windows), tuple(sorted(bounds - {101})))
 
-    def segment(self, day: Column) -> Column:
+    def segment(self, mmdd: str) -> str:
         """Segment number of a day, null for a null day."""
-        mmdd = month_day(day)
-        chain = F.when(mmdd.isNull(), None)
-        for number, cut in enumerate(self.cuts):
-            chain = chain.when(mmdd < cut, number)
-        return chain.otherwise(len(self.cuts))
+        cases = "".join(f" when {mmdd} < {cut} then {n}" for n, cut in enumerate(self.cuts))
+        return f"case when {mmdd} is null then null{cases} else {len(self.cuts)} end"
 
-    def membership(self) -> Column:
+    def membership(self) -> str:
         """Constant array of (window, members), members holding 1 or 0 per segment."""
         starts = (101, *self.cuts)
-        return F.array(*[
-            F.struct(
-                F.lit(w.key).alias("window"),
-                F.array(*[F.lit(int(w.holds(s))) for s in starts]).alias("members"),
-            )
+        rows = (
+            f"named_struct('window', '{w.key}', 'members',"
+            f" array({', '.join(str(int(w.holds(s))) for s in starts)}))"
             for w in self.windows
-        ])
+        )
+        return f"array({', '.join(rows)})"
 
 
 def _day_after(mmdd: int) -> int:

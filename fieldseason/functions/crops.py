@@ -1,8 +1,5 @@
 """Crop statistic expressions."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Crop names as the statistics source spells them.
 CROP_NAMES = {
     "Corn": ("CORN",),
@@ -11,14 +8,15 @@ CROP_NAMES = {
 }
 
 
-def parse_statistic(text: Column) -> Column:
+def parse_statistic(text: str) -> str:
     """Number in a statistic cell; codes such as ``(D)`` and blanks give null."""
-    return F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("double")
+    return f"try_cast(replace(trim({text}), ',', '') as double)"
 
 
-def normalise_crop(name: Column) -> Column:
-    key = F.trim(F.upper(name))
-    chain = F
-    for crop, spellings in CROP_NAMES.items():
-        chain = chain.when(key.isin(*spellings), crop)
-    return chain.otherwise(None)
+def normalise_crop(name: str) -> str:
+    cases = " ".join(
+        f"when '{spelling}' then '{crop}'"
+        for crop, spellings in CROP_NAMES.items()
+        for spelling in spellings
+    )
+    return f"case trim(upper({name})) {cases} end"

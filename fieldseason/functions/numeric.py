@@ -6,42 +6,39 @@ executor could print another digit. Totals are therefore kept as integer
 millionths, and rounded half up by integer division.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MILLION = 1_000_000
 
 
-def millionths(value: Column) -> Column:
-    return F.rint(value * float(MILLION)).cast("bigint")
+def millionths(value: str) -> str:
+    return f"cast(rint(({value}) * {MILLION}D) as bigint)"
 
 
-def round_ratio(num: Column, den: Column | int, digits: int) -> Column:
+def round_ratio(num: str, den: str, digits: int) -> str:
     """``num / den`` rounded half away from zero, in units of ``10 ** -digits``.
 
     Both arguments are integers; a zero denominator gives null.
     """
-    den = F.lit(den) if isinstance(den, int) else den
-    sign = F.when((num < 0) != (den < 0), -1).otherwise(1)
-    doubled = F.nullif(F.abs(den) * 2, F.lit(0))
-    return sign * F.call_function(
-        "div", F.abs(num) * (2 * 10**digits) + F.abs(den), doubled
+    return (
+        f"(case when ({num} < 0) != ({den} < 0) then -1 else 1 end"
+        f" * ((abs({num}) * {2 * 10**digits} + abs({den})) div nullif(abs({den}) * 2, 0)))"
     )
 
 
-def decimal_value(units: Column, digits: int) -> Column:
+def decimal_value(units: str, digits: int) -> str:
     """Units of ``10 ** -digits`` as a double."""
-    return units / float(10**digits)
+    return f"{units} / {10**digits}D"
 
 
-def to_fixed(value: Column, digits: int) -> Column:
+def to_fixed(value: str, digits: int) -> str:
     """Text with a fixed number of decimals, from the exact binary value, ties up.
 
     ``format_number`` rounds the exact binary value but sends ties to the even
     digit. Only a multiple of ``2 ** -(digits + 1)`` can be a tie, so those values
     are first moved away from zero by half of that step.
     """
-    step = 2.0 ** (digits + 1)
-    on_tie = (F.abs(value) * step) % 2 == 1
-    moved = F.when(on_tie, value + F.signum(value) / (2 * step)).otherwise(value)
-    return F.replace(F.format_number(moved, digits), F.lit(","), F.lit(""))
+    step = 2 ** (digits + 1)
+    moved = (
+        f"case when abs({value}) * {step}D % 2 = 1"
+        f" then {value} + signum({value}) / {2 * step}D else {value} end"
+    )
+    return f"replace(format_number({moved}, {digits}), ',', '')"

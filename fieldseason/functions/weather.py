@@ -1,8 +1,5 @@
 """Weather expressions."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Degree-day bounds and day thresholds in °F.
 GDD_BASE_F = 50.0
 GDD_CAP_F = 86.0
@@ -10,52 +7,51 @@ FROST_F = 32.0
 HEAT_F = 95.0
 
 
-def suspect(attributes: Column) -> Column:
+def suspect(attributes: str) -> str:
     """True when the second comma token of the quality attributes is not blank."""
-    flag = F.trim(F.get(F.split(attributes, ","), F.lit(1)))
-    return F.coalesce(flag != "", F.lit(False))
+    return f"coalesce(trim(get(split({attributes}, ','), 1)) != '', false)"
 
 
-def quality_flag(any_suspect: Column, present: Column) -> Column:
-    return F.when(present == 0, "MISSING").when(any_suspect, "SUSPECT").otherwise("OK")
+def quality_flag(any_suspect: str, present: str) -> str:
+    return f"case when {present} = 0 then 'MISSING' when {any_suspect} then 'SUSPECT' else 'OK' end"
 
 
-def fahrenheit(celsius: Column) -> Column:
-    return celsius * 9.0 / 5.0 + 32.0
+def fahrenheit(celsius: str) -> str:
+    return f"{celsius} * 9D / 5D + 32D"
 
 
-def inches(millimetres: Column) -> Column:
-    return millimetres / 25.4
+def inches(millimetres: str) -> str:
+    return f"{millimetres} / 25.4D"
 
 
 def growing_degrees(
-    tmax: Column, tmin: Column, base: float = GDD_BASE_F, cap: float = GDD_CAP_F
-) -> Column:
+    tmax: str, tmin: str, base: float = GDD_BASE_F, cap: float = GDD_CAP_F
+) -> str:
     """Degree days of one day, null when a temperature is null.
 
     Only the high is capped and only the low is floored; the result is not below 0.
     """
-    mean = (F.least(tmax, F.lit(cap)) + F.greatest(tmin, F.lit(base))) / 2.0
-    return F.when(
-        tmax.isNotNull() & tmin.isNotNull(), F.greatest(F.lit(0.0), mean - F.lit(base))
+    mean = f"(least({tmax}, {cap}D) + greatest({tmin}, {base}D)) / 2D"
+    return (
+        f"case when {tmax} is not null and {tmin} is not null"
+        f" then greatest(0D, {mean} - {base}D) end"
     )
 
 
-def frost_free(tmin: Column, threshold: float = FROST_F) -> Column:
+def frost_free(tmin: str, threshold: float = FROST_F) -> str:
     """1 or 0; a missing low counts as 0."""
-    return F.when(tmin > threshold, 1).otherwise(0)
+    return f"case when {tmin} > {threshold}D then 1 else 0 end"
 
 
-def heat_stress(tmax: Column, threshold: float = HEAT_F) -> Column:
+def heat_stress(tmax: str, threshold: float = HEAT_F) -> str:
     """1 or 0; a missing high counts as 0."""
-    return F.when(tmax > threshold, 1).otherwise(0)
+    return f"case when {tmax} > {threshold}D then 1 else 0 end"
 
 
-def condition(drought: Column, heat_days: Column) -> Column:
+def condition(drought: str, heat_days: str) -> str:
     """Stress, Watch or Normal; an unknown measure counts as zero."""
-    index, days = F.coalesce(drought, F.lit(0.0)), F.coalesce(heat_days, F.lit(0))
+    index, days = f"coalesce({drought}, 0D)", f"coalesce({heat_days}, 0)"
     return (
-        F.when((index < -0.2) | (days > 20), "Stress")
-        .when((index < 0) | (days > 10), "Watch")
-        .otherwise("Normal")
+        f"case when {index} < -0.2D or {days} > 20 then 'Stress'"
+        f" when {index} < 0 or {days} > 10 then 'Watch' else 'Normal' end"
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import coverage_pct, coverage_status, expected_days
+from fieldseason.functions.columns import named, quoted
 from fieldseason.schemas import ELEMENTS
 
 OBSERVATION_KEY = ("stationId", "date", "dataType")
@@ -17,12 +18,8 @@ OBSERVATION_KEY = ("stationId", "date", "dataType")
 EXTREME_LIMITS = (("TMAX", -45.0, 55.0), ("TMIN", -55.0, 45.0), ("PRCP", None, 250.0))
 
 
-def year_text(day: Column) -> Column:
-    return F.substring(day, 1, 4)
-
-
-def year_number(day: Column) -> Column:
-    return year_text(day).try_cast("int")
+YEAR_TEXT = "substring(date, 1, 4)"
+YEAR_NUMBER = f"try_cast({YEAR_TEXT} as int)"
 
 
 # --- incremental update -------------------------------------------------------
@@ -45,28 +42,24 @@ def gap_ranges(marked: DataFrame, today: str) -> DataFrame:
 
     Both ends are included. A station whose mark is after ``today`` has no range.
     """
-    start, end = F.to_date("maxDate"), F.to_date(F.lit(today))
-    year = F.col("year")
+    start, end = "to_date(maxDate)", f"date {quoted(today)}"
     return (
-        marked.filter(start <= end)
-        .withColumn("year", F.explode(F.sequence(F.year(start), F.year(end))))
-        .withColumns({
-            "rangeStart": F.greatest(start, F.make_date(year, F.lit(1), F.lit(1))).cast("string"),
-            "rangeEnd": F.least(end, F.make_date(year, F.lit(12), F.lit(31))).cast("string"),
-        })
+        marked.filter(f"{start} <= {end}")
+        .selectExpr("*", f"explode(sequence(year({start}), year({end}))) as year")
+        .selectExpr(
+            "*",
+            f"cast(greatest({start}, make_date(year, 1, 1)) as string) as rangeStart",
+            f"cast(least({end}, make_date(year, 12, 31)) as string) as rangeEnd",
+        )
         .drop("maxDate")
     )
 
 
 def year_ranges(stations: DataFrame, first: int, last: int) -> DataFrame:
     """Whole calendar years per station."""
-    year = F.col("year").cast("string")
-    return stations.withColumn(
-        "year", F.explode(F.sequence(F.lit(first), F.lit(last)))
-    ).withColumns({
-        "rangeStart": F.concat(year, F.lit("-01-01")),
-        "rangeEnd": F.concat(year, F.lit("-12-31")),
-    })
+    return stations.selectExpr("*", f"explode(sequence({first}, {last})) as year").selectExpr(
+        "*", "concat(year, '-01-01') as rangeStart", "concat(year, '-12-31') as rangeEnd"
+    )
 
 
 def upsert(
@@ -154,70 +147,65 @@ def trim_after_counts(obs: DataFrame, cutoff: str) -> DataFrame:
 
 def value_counts_wide(obs: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
     """Non-null values per station, year and element, 0 where there are none."""
-    present = F.col("value").isNotNull()
     return (
-        obs.groupBy("stationId", year_text(F.col("date")).alias("year"))
-        .agg(*[F.count(F.when(present & (F.col("dataType") == e), 1)).alias(e) for e in elements])
+        obs.groupBy("stationId", F.expr(YEAR_TEXT).alias("year"))
+        .agg(*named(**{e: f"count(case when dataType = '{e}' then value end)" for e in elements}))
         .orderBy("stationId", "year")
     )
 
 
 def _with_coverage(counted: DataFrame) -> DataFrame:
-    days = F.col("activeDays")
-    expected = expected_days(F.col("year"))
-    return counted.withColumns({
-        "expectedDays": expected,
-        "coveragePct": coverage_pct(days, expected),
-        "coverageStatus": coverage_status(days, expected),
-    })
+    expected = expected_days("year")
+    return counted.selectExpr(
+        "*",
+        f"{expected} as expectedDays",
+        f"{coverage_pct('activeDays', expected)} as coveragePct",
+        f"{coverage_status('activeDays', expected)} as coverageStatus",
+    )
 
 
 def coverage(obs: DataFrame) -> DataFrame:
     """Days with any observation per station and year, against the calendar."""
     return _with_coverage(
-        obs.groupBy("stationId", year_number(F.col("date")).alias("year")).agg(
+        obs.groupBy("stationId", F.expr(YEAR_NUMBER).alias("year")).agg(
             F.count_distinct("date").alias("activeDays")
         )
     )
 
 
-def _day_extremes() -> list[Column]:
-    def highest(element: str) -> Column:
-        return F.max(F.when(F.col("dataType") == element, F.col("value")))
-
-    return [highest("TMAX").alias("tmax"), highest("TMIN").alias("tmin")]
+_DAY_EXTREMES = {
+    "tmax": "max(case when dataType = 'TMAX' then value end)",
+    "tmin": "max(case when dataType = 'TMIN' then value end)",
+}
 
 
 def temp_inversions(obs: DataFrame) -> DataFrame:
     """Days per station and year whose high is below their low."""
     return (
-        obs.filter(F.col("dataType").isin("TMAX", "TMIN") & F.col("value").isNotNull())
+        obs.filter("dataType in ('TMAX', 'TMIN') and value is not null")
         .groupBy("stationId", "date")
-        .agg(*_day_extremes())
-        .filter(F.col("tmax") < F.col("tmin"))
-        .groupBy("stationId", year_number(F.col("date")).alias("year"))
+        .agg(*named(**_DAY_EXTREMES))
+        .filter("tmax < tmin")
+        .groupBy("stationId", F.expr(YEAR_NUMBER).alias("year"))
         .agg(F.count("*").alias("inversions"))
     )
 
 
-def is_extreme(limits=EXTREME_LIMITS) -> Column:
-    value = F.col("value")
-    found = F.lit(False)
+def is_extreme(limits=EXTREME_LIMITS) -> str:
+    """A value outside its element's limits, as an expression; false for a null value."""
+    cases = []
     for element, low, high in limits:
-        outside = F.lit(False)
-        if low is not None:
-            outside = outside | (value < low)
-        if high is not None:
-            outside = outside | (value > high)
-        found = found | ((F.col("dataType") == element) & outside)
-    return found
+        outside = [f"value < {low}D"] if low is not None else []
+        outside += [f"value > {high}D"] if high is not None else []
+        cases.append(f"dataType = '{element}' and ({' or '.join(outside)})")
+    return f"coalesce({' or '.join(f'({c})' for c in cases)}, false)"
 
 
 def extreme_values(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
     """Values outside their element's limits, per station and year."""
     return (
-        obs.filter(F.col("value").isNotNull() & is_extreme(limits))
-        .groupBy("stationId", year_number(F.col("date")).alias("year"))
+        obs.filter(is_extreme(limits))
+        .groupBy("stationId", F.expr(YEAR_NUMBER).alias("year"))
         .agg(F.count("*").alias("extremeVals"))
     )
 
@@ -237,20 +225,17 @@ def bronze_report(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
     All three checks count days or rows of a station-day, so one pass that first
     reduces to station-days replaces three scans and two joins.
     """
-    known_year = F.col("year").isNotNull()
-    return _with_coverage(
+    days = (
         obs.groupBy("stationId", "date")
-        .agg(
-            *_day_extremes(),
-            F.count(F.when(F.col("value").isNotNull() & is_extreme(limits), 1)).alias("extremes"),
-        )
-        .withColumn("year", year_number(F.col("date")))
-        .groupBy("stationId", "year")
-        .agg(
-            F.count("date").alias("activeDays"),
-            F.count(F.when(known_year & (F.col("tmax") < F.col("tmin")), 1)).alias("inversions"),
-            F.sum(F.when(known_year, F.col("extremes")).otherwise(F.lit(0))).alias("extremeVals"),
-        )
+        .agg(*named(**_DAY_EXTREMES, extremes=f"count_if({is_extreme(limits)})"))
+        .selectExpr("*", f"{YEAR_NUMBER} as year")
+    )
+    return _with_coverage(
+        days.groupBy("stationId", "year").agg(*named(
+            activeDays="count(date)",
+            inversions="count_if(year is not null and tmax < tmin)",
+            extremeVals="sum(case when year is not null then extremes else 0 end)",
+        ))
     ).select(
         "stationId", "year", "activeDays", "expectedDays", "coveragePct", "coverageStatus",
         "inversions", "extremeVals",
@@ -259,18 +244,15 @@ def bronze_report(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
 
 def bronze_issues(report: DataFrame) -> DataFrame:
     """Report rows with a problem, and the problems in words."""
-    status, inversions, extremes = F.col("coverageStatus"), F.col("inversions"), F.col("extremeVals")
-    sparse = status != "OK"
-    message = F.concat_ws(
-        "; ",
-        F.when(sparse, F.concat(
-            F.lit("coverage="), F.col("coveragePct").cast("string"), F.lit("% ["), status, F.lit("]")
-        )),
-        F.when(inversions > 0, F.concat(inversions.cast("string"), F.lit(" TMAX<TMIN inversions"))),
-        F.when(extremes > 0, F.concat(extremes.cast("string"), F.lit(" extreme outlier values"))),
-    )
-    return report.filter(sparse | (inversions > 0) | (extremes > 0)).select(
-        "stationId", "year", message.alias("issues")
+    sparse, inverted, extreme = "coverageStatus != 'OK'", "inversions > 0", "extremeVals > 0"
+    return report.filter(f"{sparse} or {inverted} or {extreme}").selectExpr(
+        "stationId", "year",
+        f"""concat_ws('; ',
+            case when {sparse}
+                then concat('coverage=', coveragePct, '% [', coverageStatus, ']') end,
+            case when {inverted} then concat(inversions, ' TMAX<TMIN inversions') end,
+            case when {extreme} then concat(extremeVals, ' extreme outlier values') end
+        ) as issues""",
     )
 
 
@@ -280,21 +262,17 @@ def issue_count(report: DataFrame) -> DataFrame:
 
 def station_inventory(obs: DataFrame, stations: DataFrame, first: int, last: int) -> DataFrame:
     """Observed days per station and year of the whole range, and the station's total."""
-    year = year_number(F.col("date"))
     counted = (
-        obs.filter(year.between(first, last))
-        .groupBy(F.col("stationId").alias("id"), year.alias("year"))
-        .agg(F.count_distinct("date").alias("days_"))
+        obs.filter(f"{YEAR_NUMBER} between {first} and {last}")
+        .groupBy(F.col("stationId").alias("id"), F.expr(YEAR_NUMBER).alias("year"))
+        .agg(F.count_distinct("date").alias("observed"))
     )
-    # Few rows per station once days are counted; totals come from those counts.
-    totals = counted.groupBy("id").agg(F.sum("days_").alias("total_"))
     return (
-        stations.withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        stations.selectExpr("*", f"explode(sequence({first}, {last})) as year")
         .join(counted, ["id", "year"], "left")
-        .join(totals, "id", "left")
-        .select(
+        .selectExpr(
             "id", "name", "latitude", "longitude", "year",
-            F.coalesce("days_", F.lit(0)).alias("rowCount"),
-            F.coalesce("total_", F.lit(0)).alias("stationTotal"),
+            "coalesce(observed, 0) as rowCount",
+            "coalesce(sum(observed) over (partition by id), 0) as stationTotal",
         )
     )

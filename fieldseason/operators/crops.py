@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldseason.functions.columns import named
 from fieldseason.functions.crops import CROP_NAMES, normalise_crop, parse_statistic
 from fieldseason.schemas import STATISTICS
 
 
 def clean_crops(raw: DataFrame) -> DataFrame:
     """Rows that name state, county, commodity and statistic, with number and year parsed."""
-    return raw.dropna(subset=["state", "countyFips", "commodity", "statisticCat"]).withColumns({
-        "parsedValue": parse_statistic(F.col("value")),
-        "year": F.col("year").try_cast("int"),
+    kept = raw.dropna(subset=["state", "countyFips", "commodity", "statisticCat"])
+    return kept.withColumns({
+        "parsedValue": F.expr(parse_statistic("value")),
+        "year": F.expr("try_cast(year as int)"),
     })
 
 
@@ -28,10 +30,10 @@ def crop_records(raw: DataFrame) -> DataFrame:
             "year", F.col("state").alias("stateCode"), "countyFips",
             F.col("commodity").alias("cropName"),
         )
-        .agg(*[
-            F.max(F.when(F.col("statisticCat") == name, F.col("parsedValue"))).alias(column)
+        .agg(*named(**{
+            column: f"max(case when statisticCat = '{name}' then parsedValue end)"
             for name, column in STATISTICS.items()
-        ])
+        }))
     )
 
 
@@ -48,10 +50,10 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 def crop_profitability(records: DataFrame) -> DataFrame:
     """Revenue per acre, null while yield or price is unknown."""
-    return records.select(
+    return records.selectExpr(
         "year", "countyFips", "stateCode",
-        normalise_crop(F.col("cropName")).alias("crop"),
-        (F.col("yieldBuAcre") * F.col("priceUsdBu")).alias("revenueUsdAcre"),
+        f"{normalise_crop('cropName')} as crop",
+        "yieldBuAcre * priceUsdBu as revenueUsdAcre",
         "yieldBuAcre", "priceUsdBu",
     )
 
@@ -65,30 +67,25 @@ def optimal_mix(profitability: DataFrame, annual: DataFrame | None = None) -> Da
     ``annual`` is a season table with ``year``, ``countyFips`` and ``stateCode``.
     """
     keys = ["year", "countyFips", "stateCode"]
-    revenue = {crop: F.col(crop) for crop in CROP_NAMES}
-    top = F.greatest(*revenue.values())
-    total = sum((F.coalesce(r, F.lit(0.0)) for r in revenue.values()), F.lit(0.0))
-    best = F
-    for crop, value in revenue.items():
-        best = best.when(value == top, crop)
+    top = f"greatest({', '.join(CROP_NAMES)})"
+    total = " + ".join(f"coalesce({crop}, 0D)" for crop in CROP_NAMES)
+    best = " ".join(f"when {crop} = {top} then '{crop}'" for crop in CROP_NAMES)
+    scores = zip(CROP_NAMES, ("cornScore", "soybeanScore", "wheatScore"), strict=True)
     mix = (
-        profitability.filter(F.col("crop").isNotNull())
+        profitability.filter("crop is not null")
         .groupBy(*keys)
-        .agg(*[
-            F.max(F.when(F.col("crop") == crop, F.col("revenueUsdAcre"))).alias(crop)
-            for crop in CROP_NAMES
-        ])
-        .select(
+        .agg(*named(**{
+            crop: f"max(case when crop = '{crop}' then revenueUsdAcre end)" for crop in CROP_NAMES
+        }))
+        .selectExpr(
             *keys,
-            best.otherwise(None).alias("recommendedCrop"),
+            f"case {best} end as recommendedCrop",
             *[
-                F.when(top.isNotNull(), F.try_divide(F.coalesce(value, F.lit(0.0)), total))
-                .alias(score)
-                for value, score in zip(
-                    revenue.values(), ("cornScore", "soybeanScore", "wheatScore"), strict=True
-                )
+                f"case when {top} is not null then"
+                f" try_divide(coalesce({crop}, 0D), {total}) end as {score}"
+                for crop, score in scores
             ],
-            top.alias("topCropRevenue"),
+            f"{top} as topCropRevenue",
         )
     )
     if annual is None:

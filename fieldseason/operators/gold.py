@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.functions.calendar import GROWING_SEASON, WINDOWS, CalendarWindow, YearSegments
+from fieldseason.functions.calendar import (
+    GROWING_SEASON,
+    WINDOWS,
+    CalendarWindow,
+    YearSegments,
+    month_day,
+)
+from fieldseason.functions.columns import named
 from fieldseason.functions.numeric import MILLION, decimal_value, millionths, round_ratio
 from fieldseason.functions.weather import (
     FROST_F,
@@ -41,6 +48,8 @@ SEASON_COLUMNS = {
     "snowIn": "totalSnowIn",
 }
 
+BOTH_TEMPERATURES = "tempMaxF is not null and tempMinF is not null"
+
 
 def wide_column(window: str, metric: str) -> str:
     if window == GROWING_SEASON.key:
@@ -50,19 +59,14 @@ def wide_column(window: str, metric: str) -> str:
 
 def temp_availability(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Days per year, and how many of them have both temperatures."""
-    total, temps = F.col("totalDays"), F.col("tempDays")
     return (
         daily.groupBy(*by, F.year("date").alias("year"))
-        .agg(
-            F.count("*").alias("totalDays"),
-            F.count(F.when(
-                F.col("tempMaxF").isNotNull() & F.col("tempMinF").isNotNull(), 1
-            )).alias("tempDays"),
+        .agg(*named(totalDays="count(*)", tempDays=f"count_if({BOTH_TEMPERATURES})"))
+        .selectExpr(
+            "*",
+            "format_string('%.0f%%', tempDays * 100D / totalDays) as pct",
+            "case when tempDays = 0 then 'NO TEMPERATURE DATA' else '' end as warning",
         )
-        .withColumns({
-            "pct": F.format_string("%.0f%%", temps * 100.0 / total),
-            "warning": F.when(temps == 0, "NO TEMPERATURE DATA").otherwise(""),
-        })
         .orderBy(*by, "year")
     )
 
@@ -70,15 +74,11 @@ def temp_availability(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def qualified_days(daily: DataFrame, station: str | None = None) -> DataFrame:
     """Days that are not suspect and have both temperatures."""
     own = daily if station is None else daily.filter(F.col("stationId") == station)
-    return own.filter(
-        (F.col("qualityFlag") != "SUSPECT")
-        & F.col("tempMaxF").isNotNull()
-        & F.col("tempMinF").isNotNull()
-    )
+    return own.filter(f"qualityFlag != 'SUSPECT' and {BOTH_TEMPERATURES}")
 
 
 def with_gdd(daily: DataFrame, base: float = GDD_BASE_F, cap: float = GDD_CAP_F) -> DataFrame:
-    return daily.withColumn("gdd", growing_degrees(F.col("tempMaxF"), F.col("tempMinF"), base, cap))
+    return daily.selectExpr("*", f"{growing_degrees('tempMaxF', 'tempMinF', base, cap)} as gdd")
 
 
 def segment_totals(
@@ -95,26 +95,26 @@ def segment_totals(
     shuffle, so a station with a large share of the days sends a few rows per year
     and task.
     """
-    day = F.col("date")
-    tmax, tmin = F.col("tempMaxF"), F.col("tempMinF")
-
-    def amount(column: str) -> Column:
-        return F.sum(millionths(F.coalesce(F.col(column), F.lit(0.0))))
-
-    return (
-        days.groupBy("stationId", F.year(day).alias("year"), segments.segment(day).alias("segment"))
-        .agg(
-            F.sum(millionths(growing_degrees(tmax, tmin, base, cap))).alias("gdd"),
-            amount("precipIn").alias("precip"),
-            amount("snowIn").alias("snow"),
-            F.sum(frost_free(tmin, frost)).alias("frostFree"),
-            F.sum(heat_stress(tmax, heat)).alias("heat"),
-            F.sum(millionths(F.col("tempAvgF"))).alias("temp"),
-            F.count("tempAvgF").alias("tempDays"),
+    placed = days.selectExpr(
+        "stationId", "year(date) as year", f"{month_day('date')} as mmdd",
+        "tempMaxF", "tempMinF", "tempAvgF", "precipIn", "snowIn",
+    )
+    return placed.groupBy("stationId", "year", F.expr(segments.segment("mmdd")).alias("segment")).agg(
+        *named(
+            gdd=f"sum({millionths(growing_degrees('tempMaxF', 'tempMinF', base, cap))})",
+            precip=f"sum({millionths('coalesce(precipIn, 0D)')})",
+            snow=f"sum({millionths('coalesce(snowIn, 0D)')})",
+            frostFree=f"sum({frost_free('tempMinF', frost)})",
+            heat=f"sum({heat_stress('tempMaxF', heat)})",
+            temp=f"sum({millionths('tempAvgF')})",
+            tempDays="count(tempAvgF)",
         )
     )
 
 
+_SUMMED = ("gdd", "precip", "snow", "frostFree", "heat", "temp", "tempDays")
+
+
 def season_long(
     days: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS, **thresholds: float
 ) -> DataFrame:
@@ -125,27 +125,23 @@ def season_long(
     window gives zeros.
     """
     segments = YearSegments.of(windows)
-    totals = segment_totals(days, segments, **thresholds)
     # One exchange by station serves the grouping by window here and the yearly mean
     # in drought_index: a station has at most (years x segments) rows by now.
-    placed = totals.repartition("stationId").select(
-        "*", F.explode(segments.membership()).alias("w")
+    placed = segment_totals(days, segments, **thresholds).repartition("stationId").selectExpr(
+        "*", f"explode({segments.membership()}) as w"
     )
-    inside = F.coalesce(F.get(F.col("w.members"), F.col("segment")), F.lit(0))
-    summed = placed.groupBy("stationId", "year", F.col("w.window").alias("window")).agg(*[
-        F.sum(F.coalesce(F.col(c), F.lit(0)) * inside).alias(c)
-        for c in ("gdd", "precip", "snow", "frostFree", "heat", "temp", "tempDays")
-    ])
-    cents = round_ratio(F.col("precip"), MILLION, 2)
-    mean_temp = round_ratio(F.col("temp"), F.col("tempDays") * MILLION, 1)
-    return drought_index(summed.withColumn("precipCents", cents)).select(
+    summed = placed.groupBy("stationId", "year", F.expr("w.window as window")).agg(*named(**{
+        c: f"sum(coalesce({c}, 0) * coalesce(get(w.members, segment), 0))" for c in _SUMMED
+    }))
+    rounded = summed.selectExpr("*", f"{round_ratio('precip', str(MILLION), 2)} as precipCents")
+    return drought_index(rounded).selectExpr(
         "stationId", "year", "window",
-        decimal_value(round_ratio(F.col("gdd"), MILLION, 1), 1).alias("gdd"),
-        decimal_value(F.col("precipCents"), 2).alias("precipIn"),
-        F.col("frostFree").cast("int").alias("frostFreeDays"),
-        F.col("heat").cast("int").alias("heatStressDays"),
-        F.coalesce(decimal_value(mean_temp, 1), F.lit(0.0)).alias("avgTempF"),
-        decimal_value(round_ratio(F.col("snow"), MILLION, 2), 2).alias("snowIn"),
+        f"{decimal_value(round_ratio('gdd', str(MILLION), 1), 1)} as gdd",
+        f"{decimal_value('precipCents', 2)} as precipIn",
+        "cast(frostFree as int) as frostFreeDays",
+        "cast(heat as int) as heatStressDays",
+        f"coalesce({decimal_value(round_ratio('temp', f'(tempDays * {MILLION})', 1), 1)}, 0D) as avgTempF",
+        f"{decimal_value(round_ratio('snow', str(MILLION), 2), 2)} as snowIn",
         "droughtIndex",
     )
 
@@ -158,46 +154,48 @@ def drought_index(
     ``(x - mean) / mean`` to four decimals, as ``(n * x - sum) / sum`` in integers;
     null when the mean is zero. A group holds one row per year.
     """
-    group = Window.partitionBy(*by)
-    total = F.sum(amount).over(group)
-    rows = F.count(amount).over(group)
-    return df.withColumns({"_sum": total, "_rows": rows}).withColumn(
-        "droughtIndex",
-        decimal_value(round_ratio(F.col("_rows") * F.col(amount) - F.col("_sum"), F.col("_sum"), 4), 4),
-    ).drop("_sum", "_rows")
+    group = f"over (partition by {', '.join(by)})"
+    index = decimal_value(round_ratio(f"(_rows * {amount} - _sum)", "_sum", 4), 4)
+    return df.selectExpr(
+        "*", f"sum({amount}) {group} as _sum", f"count({amount}) {group} as _rows"
+    ).selectExpr("*", f"{index} as droughtIndex").drop("_sum", "_rows")
 
 
 def season_wide(
     long: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS
 ) -> DataFrame:
-    """One row per station and year with a column per window and metric."""
-    metrics = F.struct(*METRICS)
+    """One row per station and year with a column per window and metric.
+
+    The windows of a year are packed into one map of fixed size, because 154
+    conditional aggregates would leave generated code.
+    """
+    entry = f"struct(window, struct({', '.join(METRICS)}))"
     packed = long.groupBy("stationId", "year").agg(
-        F.map_from_entries(F.collect_list(F.struct("window", metrics))).alias("m")
+        F.expr(f"map_from_entries(collect_list({entry}))").alias("m")
     )
-    return packed.select("stationId", "year", *[
-        F.col("m")[w.key][metric].alias(wide_column(w.key, metric))
+    by_window = packed.selectExpr(
+        "stationId", "year", *[f"m['{w.key}'] as {_packed(w)}" for w in windows]
+    )
+    return by_window.selectExpr("stationId", "year", *[
+        f"{_packed(w)}.{metric} as {wide_column(w.key, metric)}"
         for w in windows
         for metric in METRICS
     ])
 
 
+def _packed(window: CalendarWindow) -> str:
+    return f"w_{window.key}"
+
+
 def season_weather(
     daily: DataFrame,
-    county_fips: str | Column,
-    state: str | Column,
+    county_fips: str,
+    state: str,
     station: str | None = None,
     windows: Sequence[CalendarWindow] = WINDOWS,
 ) -> DataFrame:
     """The yearly table. With a ``station`` it has one row per year and no station id."""
     wide = season_wide(season_long(qualified_days(daily, station), windows), windows)
-    identified = wide.select(
-        "stationId", "year",
-        _text(county_fips).alias("countyFips"), _text(state).alias("stateCode"),
-        *wide.columns[2:],
-    )
-    return identified if station is None else identified.drop("stationId")
-
-
-def _text(value: str | Column) -> Column:
-    return value if isinstance(value, Column) else F.lit(value)
+    ids = ["stationId", "year"] if station is None else ["year"]
+    marked = wide.withColumns({"countyFips": F.lit(county_fips), "stateCode": F.lit(state)})
+    return marked.selectExpr(*ids, "countyFips", "stateCode", *wide.columns[2:])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import GROWING_SEASON, MONTHS, PHASES, WINDOWS
+from fieldseason.functions.columns import named
 from fieldseason.functions.numeric import to_fixed
 from fieldseason.functions.weather import condition, frost_free, growing_degrees, heat_stress
 from fieldseason.operators.gold import METRICS, wide_column
@@ -15,131 +18,119 @@ NO_READING = "--"
 
 def latest_reading(daily: DataFrame, station: str | None = None) -> DataFrame:
     """Newest day with a temperature: one row for a station, or one row per station."""
-    known = F.when(F.col("tempAvgF").isNotNull(), F.struct("date", "tempAvgF"))
-    newest = F.max(known).alias("newest")
+    newest = F.expr("max(case when tempAvgF is not null then struct(date, tempAvgF) end)")
     if station is None:
-        found = daily.groupBy("stationId").agg(newest)
+        found = daily.groupBy("stationId").agg(newest.alias("newest"))
     else:
-        found = daily.filter(F.col("stationId") == station).agg(newest).select(
-            F.lit(station).alias("stationId"), "newest"
-        )
-    return found.select(
+        own = daily.filter(F.col("stationId") == station)
+        found = own.agg(newest.alias("newest")).withColumn("stationId", F.lit(station))
+    return found.selectExpr(
         "stationId",
-        F.col("newest.date").alias("date"),
-        F.col("newest.tempAvgF").alias("tempAvgF"),
-        _or_none(F.col("newest.tempAvgF"), F.format_string("%.1f°F", "newest.tempAvgF")).alias("temperature"),
-        _or_none(F.col("newest.date"), F.date_format("newest.date", "EEEE, MMM d, yyyy")).alias("day"),
+        "newest.date as date",
+        "newest.tempAvgF as tempAvgF",
+        f"""case when newest is null then '{NO_READING}'
+                 else format_string('%.1f°F', newest.tempAvgF) end as temperature""",
+        f"coalesce(date_format(newest.date, 'EEEE, MMM d, yyyy'), '{NO_READING}') as day",
     )
 
 
-def _or_none(value: Column, text: Column) -> Column:
-    return F.when(value.isNotNull(), text).otherwise(NO_READING)
-
-
 def daily_drilldown(daily: DataFrame, station: str | None, from_year: int) -> DataFrame:
     """Days from a year on that are not suspect, with degree days and day flags.
 
     Days without temperatures stay, for their precipitation and snow.
     """
     own = daily if station is None else daily.filter(F.col("stationId") == station)
-    high, low = F.col("tempMaxF"), F.col("tempMinF")
-    return own.filter(
-        (F.col("qualityFlag") != "SUSPECT") & (F.year("date") >= from_year)
-    ).withColumns({
-        "dailyGdd": growing_degrees(high, low),
-        "frostFreeFlag": frost_free(low),
-        "heatStressFlag": heat_stress(high),
-    })
+    return own.filter(f"qualityFlag != 'SUSPECT' and year(date) >= {from_year}").selectExpr(
+        "*",
+        f"{growing_degrees('tempMaxF', 'tempMinF')} as dailyGdd",
+        f"{frost_free('tempMinF')} as frostFreeFlag",
+        f"{heat_stress('tempMaxF')} as heatStressFlag",
+    )
 
 
 def drop_empty_years(annual: DataFrame) -> DataFrame:
     """Years with any frost-free day, degree day or precipitation in the growing season."""
-    return annual.filter(
-        (F.col("frostFreeDays") > 0) | (F.col("growingDegreeDays") > 0) | (F.col("totalPrecipIn") > 0)
-    )
+    return annual.filter("frostFreeDays > 0 or growingDegreeDays > 0 or totalPrecipIn > 0")
 
 
 def melt_metrics(annual: DataFrame) -> DataFrame:
     """The yearly table with a row per window and metric."""
     ids = [c for c in ("stationId", "year") if c in annual.columns]
     cells = [
-        F.struct(
-            F.lit(w.key).alias("window"),
-            F.lit(metric).alias("metric"),
-            F.col(wide_column(w.key, metric)).cast("double").alias("value"),
-        )
+        f"'{w.key}', '{metric}', cast({wide_column(w.key, metric)} as double)"
         for w in WINDOWS
         for metric in METRICS
     ]
-    return annual.select(*ids, F.inline(F.array(*cells)))
+    return annual.selectExpr(
+        *ids, f"stack({len(cells)}, {', '.join(cells)}) as (window, metric, value)"
+    )
 
 
 def slice_daily(daily: DataFrame, first: int, last: int, window: str = GROWING_SEASON.key) -> DataFrame:
     """Days of a range of years, of one month or crop phase if named."""
-    days = daily.filter(F.year("date").between(first, last))
+    days = daily.filter(f"year(date) between {first} and {last}")
     if window == GROWING_SEASON.key:
         return days
     months = [w.key for w in MONTHS]
     if window in months:
-        return days.filter(F.col("month") == months.index(window) + 1)
+        return days.filter(f"month = {months.index(window) + 1}")
     if window not in [w.key for w in PHASES]:
         raise ValueError(f"unknown window: {window}")
-    return days.filter(F.col(window))
+    return days.filter(window)
 
 
 def slice_annual(annual: DataFrame, first: int, last: int) -> DataFrame:
-    return annual.filter(F.col("year").between(first, last))
+    return annual.filter(f"year between {first} and {last}")
 
 
 def choose_grain(daily: DataFrame, first: int, last: int) -> DataFrame:
     """One row: ``daily`` for at most five years of which days exist, else ``annual``."""
-    exists = (
-        daily.filter(F.year("date").between(first, last)).limit(1).agg(F.count("*").alias("n"))
-    )
-    short = last - first <= 4
-    return exists.select(
-        F.lit(first).alias("firstYear"),
-        F.lit(last).alias("lastYear"),
-        F.when(F.lit(short) & (F.col("n") > 0), "daily").otherwise("annual").alias("grain"),
+    found = daily.filter(f"year(date) between {first} and {last}").limit(1)
+    short = str(last - first <= 4).lower()
+    return found.agg(F.count("*").alias("n")).selectExpr(
+        f"{first} as firstYear",
+        f"{last} as lastYear",
+        f"case when {short} and n > 0 then 'daily' else 'annual' end as grain",
     )
 
 
 def summary_stats(melted: DataFrame, by: tuple[str, ...] = ("window", "metric")) -> DataFrame:
     """Mean, extremes and population deviation of each metric; null and NaN are skipped."""
-    value = F.when(~F.isnan("value"), F.col("value"))
-    return melted.groupBy(*by).agg(
-        F.avg(value).alias("avgValue"),
-        F.min(value).alias("minValue"),
-        F.max(value).alias("maxValue"),
-        F.stddev_pop(value).alias("stddevValue"),
-    )
+    return melted.filter("value is not null and not isnan(value)").groupBy(*by).agg(*named(
+        avgValue="avg(value)",
+        minValue="min(value)",
+        maxValue="max(value)",
+        stddevValue="stddev_pop(value)",
+    ))
+
+
+_CONDITION = f"{condition('droughtIndex', 'heatStressDays')} as condition"
 
 
 def condition_tags(long: DataFrame) -> DataFrame:
     """A tag per station, year and window."""
-    return long.select(
-        "stationId", "year", "window", "droughtIndex", "heatStressDays",
-        condition(F.col("droughtIndex"), F.col("heatStressDays")).alias("condition"),
+    return long.selectExpr(
+        "stationId", "year", "window", "droughtIndex", "heatStressDays", _CONDITION
     )
 
 
 def season_table(long: DataFrame, window: str = GROWING_SEASON.key) -> DataFrame:
     """Display rows of one window, newest year first."""
-    def shown(metric: str, digits: int) -> Column:
-        return F.coalesce(to_fixed(F.col(metric), digits), F.lit("—"))
+    def shown(metric: str, digits: int) -> str:
+        return f"coalesce({to_fixed(metric, digits)}, '—')"
 
-    index = F.col("droughtIndex")
     return (
         long.filter(F.col("window") == window)
-        .select(
+        .selectExpr(
             "stationId", "year",
-            shown("gdd", 0).alias("gdd"),
-            shown("precipIn", 1).alias("precipIn"),
-            shown("avgTempF", 1).alias("avgTempF"),
-            shown("snowIn", 1).alias("snowIn"),
+            f"{shown('gdd', 0)} as gdd",
+            f"{shown('precipIn', 1)} as precipIn",
+            f"{shown('avgTempF', 1)} as avgTempF",
+            f"{shown('snowIn', 1)} as snowIn",
             "frostFreeDays", "heatStressDays",
-            F.concat(F.when(index >= 0, "+").otherwise(""), shown("droughtIndex", 3)).alias("droughtIndex"),
-            condition(index, F.col("heatStressDays")).alias("condition"),
+            f"""concat(case when droughtIndex >= 0 then '+' else '' end,
+                       {shown('droughtIndex', 3)}) as droughtIndex""",
+            _CONDITION,
         )
         .orderBy(F.col("year").desc(), "stationId")
     )
@@ -151,7 +142,7 @@ def season_table(long: DataFrame, window: str = GROWING_SEASON.key) -> DataFrame
 def export_annual(annual: DataFrame) -> DataFrame:
     """One JSON object per yearly row, nulls kept."""
     metrics = [wide_column(w.key, m) for w in WINDOWS for m in METRICS]
-    return annual.select("year", _json(["year", *metrics]).alias("json"))
+    return annual.selectExpr("year", _json(["year", *metrics]))
 
 
 # Fields of an exported day.
@@ -163,12 +154,12 @@ DAY_FIELDS = (
 
 def export_daily(drilldown: DataFrame) -> DataFrame:
     """One JSON object per drill-down day; an unknown phase flag is written as false."""
-    flags = {w.key: F.coalesce(F.col(w.key), F.lit(False)) for w in PHASES}
-    return drilldown.withColumns(flags).select("date", _json(list(DAY_FIELDS)).alias("json"))
+    known = drilldown.fillna(False, subset=[w.key for w in PHASES])
+    return known.selectExpr("date", _json(DAY_FIELDS))
 
 
-def _json(columns: list[str]) -> Column:
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+def _json(columns: Sequence[str]) -> str:
+    return f"to_json(struct({', '.join(columns)}), map('ignoreNullFields', 'false')) as json"
 
 
 def preview(df: DataFrame, *order_by: str, n: int = 100) -> DataFrame:

@@ -4,60 +4,57 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import (
+    PHASES,
     coverage_pct,
     coverage_status,
     expected_days,
+    month_day,
     parse_day,
-    phase_flags,
     season_name,
 )
+from fieldseason.functions.columns import named, quoted
 from fieldseason.functions.weather import fahrenheit, inches, quality_flag, suspect
 from fieldseason.schemas import ELEMENTS, TEMPERATURES
 
 # Provenance texts.
 POOL_ID, POOL_NAME = "pool_median", "Pool Median"
 
-
-def flag_suspect(obs: DataFrame) -> DataFrame:
-    return obs.withColumn("suspect", suspect(F.col("attributes")))
+_QUALITY = {"anySuspect": f"max({suspect('attributes')})", "presentCount": "count(value)"}
+_QUALITY_FLAG = f"{quality_flag('anySuspect', 'presentCount')} as qualityFlag"
 
 
-def _element_value(element: str) -> Column:
+def _element_values(elements: Sequence[str], prefix: str = "") -> dict[str, str]:
     # max, not first: equal for unique keys and independent of row order otherwise.
-    return F.max(F.when(F.col("dataType") == element, F.col("value")))
+    return {prefix + e: f"max(case when dataType = '{e}' then value end)" for e in elements}
 
 
-def _quality() -> list[Column]:
-    return [
-        F.max(suspect(F.col("attributes"))).alias("anySuspect"),
-        F.count("value").alias("presentCount"),
-    ]
+def flag_suspect(obs: DataFrame) -> DataFrame:
+    return obs.selectExpr("*", f"{suspect('attributes')} as suspect")
 
 
 def day_quality(obs: DataFrame) -> DataFrame:
     """Suspect flag, number of readings and quality flag per station-day."""
-    return obs.groupBy("stationId", "date").agg(*_quality()).withColumn(
-        "qualityFlag", quality_flag(F.col("anySuspect"), F.col("presentCount"))
+    return (
+        obs.groupBy("stationId", "date").agg(*named(**_QUALITY)).selectExpr("*", _QUALITY_FLAG)
     )
 
 
 def pivot_elements(obs: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
     """One row per station-day with a column per element."""
-    return obs.groupBy("stationId", "date").agg(*[_element_value(e).alias(e) for e in elements])
+    return obs.groupBy("stationId", "date").agg(*named(**_element_values(elements)))
 
 
 def day_wide(obs: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
     """Elements and quality together: one shuffle, and no join of the two."""
     return (
-        obs.filter(F.col("stationId").isNotNull() & F.col("date").isNotNull())
+        obs.filter("stationId is not null and date is not null")
         .groupBy("stationId", "date")
-        .agg(*[_element_value(e).alias(e) for e in elements], *_quality())
-        .withColumn("qualityFlag", quality_flag(F.col("anySuspect"), F.col("presentCount")))
-        .drop("anySuspect", "presentCount")
+        .agg(*named(**_element_values(elements), **_QUALITY))
+        .selectExpr("stationId", "date", *elements, _QUALITY_FLAG)
     )
 
 
@@ -66,7 +63,7 @@ def pivot_supplemental(obs: DataFrame, station_id: str) -> DataFrame:
     return (
         obs.filter(F.col("stationId") == station_id)
         .groupBy("date")
-        .agg(*[_element_value(e).alias(f"supp{e}") for e in TEMPERATURES])
+        .agg(*named(**_element_values(TEMPERATURES, "supp")))
     )
 
 
@@ -83,42 +80,53 @@ def has_station(obs: DataFrame, station_id: str) -> DataFrame:
 # --- gap filling --------------------------------------------------------------
 
 
-def _temperature_histogram(obs: DataFrame, exclude: Sequence[str], supplemental: str | None):
+_IS_TEMPERATURE = f"dataType in ({', '.join(map(quoted, TEMPERATURES))}) and value is not null"
+
+
+def _pooled(exclude: Sequence[str]) -> str:
+    return f"stationId not in ({', '.join(map(quoted, exclude))})" if exclude else "true"
+
+
+def _temperature_histogram(
+    obs: DataFrame, exclude: Sequence[str], supplemental: str | None
+) -> DataFrame:
     """Readings counted per (date, element, value).
 
     The partial counts are made before the shuffle, so a date that holds a large
     share of all rows arrives as its distinct readings: at the tenth of a degree in
     which the elements are reported, at most some thousands.
     """
-    temperature = F.col("dataType").isin(*TEMPERATURES) & F.col("value").isNotNull()
-    pooled = ~F.col("stationId").isin(*exclude) if exclude else F.lit(True)
     return obs.groupBy(
         "date",
-        F.when(temperature, F.col("dataType")).alias("element"),
-        F.when(temperature, F.col("value")).alias("reading"),
-    ).agg(
-        F.count(F.when(pooled, 1)).alias("n"),
-        F.max(F.col("stationId").eqNullSafe(F.lit(supplemental).cast("string"))).alias("supp"),
-    )
+        *named(
+            element=f"case when {_IS_TEMPERATURE} then dataType end",
+            reading=f"case when {_IS_TEMPERATURE} then value end",
+        ),
+    ).agg(*named(
+        n=f"count_if({_pooled(exclude)})",
+        supp=f"max(stationId <=> {quoted(supplemental)})",
+    ))
 
 
 def _by_date(histogram: DataFrame, supplemental: bool) -> DataFrame:
-    element = Window.partitionBy("date", "element")
-    below = element.orderBy("reading").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upper_half = (F.col("n") > 0) & (F.sum("n").over(below) * 2 >= F.sum("n").over(element))
-    reading = F.col("reading")
-    columns = []
-    for e in TEMPERATURES:
-        columns.append(F.min(F.when((F.col("element") == e) & F.col("upper"), reading)).alias(f"pool{e}"))
+    tiers = {"pool": ("min", "n > 0 and below * 2 >= total")}
     if supplemental:
-        for e in TEMPERATURES:
-            columns.append(F.max(F.when((F.col("element") == e) & F.col("supp"), reading)).alias(f"supp{e}"))
+        tiers["supp"] = ("max", "supp")
     return (
         # The windows and the final grouping all accept a distribution by date.
         histogram.repartition("date")
-        .withColumn("upper", upper_half)
+        .selectExpr(
+            "*",
+            "sum(n) over (partition by date, element order by reading"
+            " rows between unbounded preceding and current row) as below",
+            "sum(n) over (partition by date, element) as total",
+        )
         .groupBy("date")
-        .agg(*columns)
+        .agg(*named(**{
+            f"{tier}{e}": f"{best}(case when element = '{e}' and {chosen} then reading end)"
+            for tier, (best, chosen) in tiers.items()
+            for e in TEMPERATURES
+        }))
     )
 
 
@@ -135,13 +143,11 @@ def pool_medians(
         return _by_date(_temperature_histogram(obs, exclude, None), supplemental=False)
     if method != "approx":
         raise ValueError(f"unknown method: {method}")
-    pooled = ~F.col("stationId").isin(*exclude) if exclude else F.lit(True)
-    return obs.groupBy("date").agg(*[
-        F.percentile_approx(
-            F.when(pooled & (F.col("dataType") == e), F.col("value")), 0.5, accuracy
-        ).alias(f"pool{e}")
+    return obs.groupBy("date").agg(*named(**{
+        f"pool{e}": f"percentile_approx(case when dataType = '{e}' and {_pooled(exclude)}"
+        f" then value end, 0.5D, {accuracy})"
         for e in TEMPERATURES
-    ])
+    }))
 
 
 def fallback_temperatures(
@@ -152,10 +158,8 @@ def fallback_temperatures(
     One small row per date. A caller that fills a very large table writes this one
     first (see ``plans.layers``), so that the join knows its real size.
     """
-    temperatures = obs.filter(
-        F.col("dataType").isin(*TEMPERATURES) & F.col("value").isNotNull()
-    )
-    return _by_date(_temperature_histogram(temperatures, exclude, supplemental), supplemental=True)
+    histogram = _temperature_histogram(obs.filter(_IS_TEMPERATURE), exclude, supplemental)
+    return _by_date(histogram, supplemental=True)
 
 
 def fill_temperature(wide: DataFrame, fallback: DataFrame) -> DataFrame:
@@ -164,42 +168,41 @@ def fill_temperature(wide: DataFrame, fallback: DataFrame) -> DataFrame:
     ``maxC`` and ``minC`` take the station's own reading, else the pool's, else the
     supplemental one. Precipitation and snow are never filled.
     """
-    return wide.join(fallback, "date", "left").withColumns({
-        "maxC": F.coalesce("TMAX", "poolTMAX", "suppTMAX"),
-        "minC": F.coalesce("TMIN", "poolTMIN", "suppTMIN"),
-    })
+    return wide.join(fallback, "date", "left").selectExpr(
+        "*",
+        "coalesce(TMAX, poolTMAX, suppTMAX) as maxC",
+        "coalesce(TMIN, poolTMIN, suppTMIN) as minC",
+    )
 
 
 def temp_provenance(
     filled: DataFrame,
-    anchor_name: str | Column | None = None,
+    anchor_name: str | None = None,
     supplemental: str | None = None,
     supplemental_name: str | None = None,
 ) -> DataFrame:
     """Which tier gave the temperatures.
 
     ``tempSource`` asks for both readings of a tier and is ``mixed`` when no tier
-    has both; the station id and name follow the high alone.
+    has both; the station id and name follow the high alone. The anchor's own name is
+    taken from an ``anchorName`` column where there is one.
     """
-    def both(prefix: str) -> Column:
-        return F.col(f"{prefix}TMAX").isNotNull() & F.col(f"{prefix}TMIN").isNotNull()
-
-    def by_high(own: Column, pool: str, supp: str | None) -> Column:
+    def by_high(own: str, pool: str, supp: str | None) -> str:
         return (
-            F.when(F.col("TMAX").isNotNull(), own)
-            .when(F.col("poolTMAX").isNotNull(), F.lit(pool))
-            .when(F.col("suppTMAX").isNotNull(), F.lit(supp))
-        ).cast("string")
-
-    name = anchor_name if isinstance(anchor_name, Column) else F.lit(anchor_name)
-    return filled.withColumns({
-        "tempSource": F.when(both(""), "anchor")
-        .when(both("pool"), "pool")
-        .when(both("supp"), "supplemental")
-        .otherwise("mixed"),
-        "tempStationId": by_high(F.col("stationId"), POOL_ID, supplemental),
-        "tempStationName": by_high(name, POOL_NAME, supplemental_name),
-    })
+            f"case when TMAX is not null then {own} when poolTMAX is not null then {quoted(pool)}"
+            f" when suppTMAX is not null then {quoted(supp)} end"
+        )
+
+    name = "anchorName" if "anchorName" in filled.columns else quoted(anchor_name)
+    return filled.selectExpr(
+        "*",
+        """case when TMAX is not null and TMIN is not null then 'anchor'
+                when poolTMAX is not null and poolTMIN is not null then 'pool'
+                when suppTMAX is not null and suppTMIN is not null then 'supplemental'
+                else 'mixed' end as tempSource""",
+        f"{by_high('stationId', POOL_ID, supplemental)} as tempStationId",
+        f"{by_high(name, POOL_NAME, supplemental_name)} as tempStationName",
+    )
 
 
 # --- the daily table ----------------------------------------------------------
@@ -207,21 +210,25 @@ def temp_provenance(
 
 def to_us_units(filled: DataFrame) -> DataFrame:
     """°F and inches from °C and mm; the average needs both temperatures."""
-    high, low = F.col("maxC"), F.col("minC")
-    return filled.withColumns({
-        "tempMaxF": fahrenheit(high),
-        "tempMinF": fahrenheit(low),
-        "tempAvgF": fahrenheit((high + low) / 2.0),
-        "precipIn": inches(F.col("PRCP")),
-        "snowIn": inches(F.col("SNOW")),
-        "snowDepthIn": inches(F.col("SNWD")),
-    })
+    return filled.selectExpr(
+        "*",
+        f"{fahrenheit('maxC')} as tempMaxF",
+        f"{fahrenheit('minC')} as tempMinF",
+        f"{fahrenheit('(maxC + minC) / 2D')} as tempAvgF",
+        f"{inches('PRCP')} as precipIn",
+        f"{inches('SNOW')} as snowIn",
+        f"{inches('SNWD')} as snowDepthIn",
+    )
 
 
 def classify_days(df: DataFrame) -> DataFrame:
     """Month, season and crop phase flags of a ``date`` column."""
-    day = F.col("date")
-    return df.select("*", F.month(day).alias("month"), season_name(day).alias("season"), *phase_flags(day))
+    return df.selectExpr("*", f"{month_day('date')} as mmdd").selectExpr(
+        *df.columns,
+        "month(date) as month",
+        f"{season_name('mmdd')} as season",
+        *[f"{w.contains('mmdd')} as {w.key}" for w in PHASES],
+    )
 
 
 def silver_weather(
@@ -242,17 +249,16 @@ def silver_weather(
     if fallback is None:
         fallback = fallback_temperatures(obs, supplemental, exclude)
     own = obs if anchor is None else obs.filter(F.col("stationId") == anchor)
-    wide, name = day_wide(own), F.lit(anchor_name)
+    wide = day_wide(own)
     if stations is not None:
-        names = stations.select(F.col("id").alias("stationId"), F.col("name").alias("anchorName"))
-        wide, name = wide.join(names, "stationId", "left"), F.col("anchorName")
-    filled = temp_provenance(
-        fill_temperature(wide, fallback), name, supplemental, supplemental_name
-    )
-    dated = to_us_units(filled).withColumn("date", parse_day(F.col("date")))
-    return classify_days(dated.select(
-        "stationId", "date", "tempMaxF", "tempMinF", "tempAvgF", "precipIn", "snowIn",
-        "snowDepthIn", "qualityFlag", "tempSource", "tempStationId", "tempStationName",
+        names = stations.selectExpr("id as stationId", "name as anchorName")
+        wide = wide.join(names, "stationId", "left")
+    filled = fill_temperature(wide, fallback)
+    sourced = temp_provenance(filled, anchor_name, supplemental, supplemental_name)
+    return classify_days(to_us_units(sourced).selectExpr(
+        "stationId", f"{parse_day('date')} as date",
+        "tempMaxF", "tempMinF", "tempAvgF", "precipIn", "snowIn", "snowDepthIn",
+        "qualityFlag", "tempSource", "tempStationId", "tempStationName",
     ))
 
 
@@ -267,39 +273,34 @@ def rows_per_year(daily: DataFrame) -> DataFrame:
     )
 
 
-def _days_where(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
-
-
 def silver_validation(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Yearly counts of gaps, sources, flags and implausible values, in one scan.
 
     ``by`` adds keys, such as the station, in front of the year.
     """
-    source, flag = F.col("tempSource"), F.col("qualityFlag")
-    expected = expected_days(F.col("year"))
-    total = F.col("totalRows")
+    expected = expected_days("year")
     return (
         daily.groupBy(*by, F.year("date").alias("year"))
-        .agg(
-            F.count("*").alias("totalRows"),
-            _days_where(F.col("tempAvgF").isNull()).alias("nullTempRows"),
-            _days_where(source == "anchor").alias("srcAnchor"),
-            _days_where(source == "pool").alias("srcPool"),
-            _days_where(source == "supplemental").alias("srcSupplemental"),
-            _days_where(flag == "OK").alias("qfOk"),
-            _days_where(flag == "SUSPECT").alias("qfSuspect"),
-            _days_where(flag == "MISSING").alias("qfMissing"),
-            _days_where(F.col("tempMaxF") < F.col("tempMinF")).alias("outInversion"),
-            _days_where(F.col("tempMaxF") > 115.0).alias("outTempMaxHigh"),
-            _days_where(F.col("tempMinF") < -40.0).alias("outTempMinLow"),
-            _days_where(F.col("precipIn") > 6.0).alias("outPrecipHigh"),
+        .agg(*named(
+            totalRows="count(*)",
+            nullTempRows="count_if(tempAvgF is null)",
+            srcAnchor="count_if(tempSource = 'anchor')",
+            srcPool="count_if(tempSource = 'pool')",
+            srcSupplemental="count_if(tempSource = 'supplemental')",
+            qfOk="count_if(qualityFlag = 'OK')",
+            qfSuspect="count_if(qualityFlag = 'SUSPECT')",
+            qfMissing="count_if(qualityFlag = 'MISSING')",
+            outInversion="count_if(tempMaxF < tempMinF)",
+            outTempMaxHigh="count_if(tempMaxF > 115D)",
+            outTempMinLow="count_if(tempMinF < -40D)",
+            outPrecipHigh="count_if(precipIn > 6D)",
+        ))
+        .selectExpr(
+            "*",
+            f"{expected} as expectedDays",
+            f"{coverage_pct('totalRows', expected)} as coveragePct",
+            f"{coverage_status('totalRows', expected)} as coverageStatus",
         )
-        .withColumns({
-            "expectedDays": expected,
-            "coveragePct": coverage_pct(total, expected),
-            "coverageStatus": coverage_status(total, expected),
-        })
         .orderBy(*by, "year")
     )
 
@@ -312,22 +313,19 @@ _TOTALS = (
 
 
 def validation_totals(validation: DataFrame) -> DataFrame:
-    return validation.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TOTALS])
+    return validation.agg(*named(**{c: f"coalesce(sum({c}), 0)" for c in _TOTALS}))
 
 
 def validation_alerts(validation: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Years with low coverage or without temperatures, and what is wrong in words."""
-    status, nulls, total = F.col("coverageStatus"), F.col("nullTempRows"), F.col("totalRows")
-    message = F.concat_ws(
-        "; ",
-        F.when(status != "OK", F.format_string(
-            "%d/%d days (%s%%) [%s]", total, F.col("expectedDays"),
-            F.col("coveragePct").cast("string"), status,
-        )),
-        F.when(nulls > 0, F.format_string(
-            "%d/%d rows with null tempAvgF (%.1f%%)", nulls, total, nulls * 100.0 / total
-        )),
-    )
-    return validation.filter((status != "OK") | (nulls > 0)).select(
-        *by, "year", message.alias("alerts")
+    uncovered, unknown = "coverageStatus != 'OK'", "nullTempRows > 0"
+    return validation.filter(f"{uncovered} or {unknown}").selectExpr(
+        *by, "year",
+        f"""concat_ws('; ',
+            case when {uncovered} then concat(
+                totalRows, '/', expectedDays, ' days (', coveragePct, '%) [', coverageStatus, ']') end,
+            case when {unknown} then format_string(
+                '%d/%d rows with null tempAvgF (%.1f%%)',
+                nullTempRows, totalRows, nullTempRows * 100D / totalRows) end
+        ) as alerts""",
     )

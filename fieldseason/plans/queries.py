@@ -461,8 +461,8 @@ def validation_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def expected_days_by_year(spark: SparkSession, sf: str) -> DataFrame:
-    years = obs_of(spark, sf).select(bronze.year_number(F.col("date")).alias("year")).distinct()
-    return years.withColumn("expectedDays", expected_days(F.col("year")))
+    years = obs_of(spark, sf).selectExpr(f"{bronze.YEAR_NUMBER} as year").distinct()
+    return years.selectExpr("year", f"{expected_days('year')} as expectedDays")
 
 
 # --- crops --------------------------------------------------------------------
@@ -501,8 +501,8 @@ def normalised_crops(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_replace("commodity", "S$", ""),
         F.concat(F.col("commodity"), F.lit("X")),
     )).alias("name"))
-    return spelled.groupBy("name").agg(F.count("*").alias("n")).withColumn(
-        "crop", normalise_crop(F.col("name"))
+    return spelled.groupBy("name").agg(F.count("*").alias("n")).selectExpr(
+        "*", f"{normalise_crop('name')} as crop"
     )
 
 
@@ -570,7 +570,7 @@ def drought_index(spark: SparkSession, sf: str) -> DataFrame:
     yearly = (
         obs_of(spark, sf)
         .filter(F.col("dataType") == "PRCP")
-        .groupBy("stationId", bronze.year_number(F.col("date")).alias("year"))
+        .groupBy("stationId", F.expr(bronze.YEAR_NUMBER).alias("year"))
         .agg(F.sum(F.rint(F.col("value") * 100).cast("bigint")).alias("amount"))
     )
     return gold.drought_index(yearly, "amount", ["stationId"])
