@@ -32,13 +32,16 @@ def decimal_value(units: str, digits: int) -> str:
 def to_fixed(value: str, digits: int) -> str:
     """Text with a fixed number of decimals, from the exact binary value, ties up.
 
-    ``format_number`` rounds the exact binary value but sends ties to the even
-    digit. Only a multiple of ``2 ** -(digits + 1)`` can be a tie, so those values
-    are first moved away from zero by half of that step.
+    ``format_number`` rounds the exact binary value but sends ties to the even digit,
+    and loses a value that rounds up to the first unit. A tie is an odd multiple of
+    ``2 ** -(digits + 1)``; it is first moved away from zero by one unit of the digit
+    after the last.
     """
-    step = 2 ** (digits + 1)
+    unit, half = 1 / 10**digits, 5 / 10 ** (digits + 1)
     moved = (
-        f"case when abs({value}) * {step}D % 2 = 1"
-        f" then {value} + signum({value}) / {2 * step}D else {value} end"
+        f"case when abs({value}) >= {half}D and abs({value}) < {unit}D"
+        f" then signum({value}) * {unit}D"
+        f" when abs({value}) * {2 ** (digits + 1)}D % 2 = 1"
+        f" then {value} + signum({value}) / {10 ** (digits + 1)}D else {value} end"
     )
     return f"replace(format_number({moved}, {digits}), ',', '')"

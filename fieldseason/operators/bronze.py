@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import coverage_pct, coverage_status, expected_days
@@ -17,7 +17,6 @@ OBSERVATION_KEY = ("stationId", "date", "dataType")
 # Fixed values: (element, low, high) in °C and mm; a value outside is implausible.
 EXTREME_LIMITS = (("TMAX", -45.0, 55.0), ("TMIN", -55.0, 45.0), ("PRCP", None, 250.0))
 
-
 YEAR_TEXT = "substring(date, 1, 4)"
 YEAR_NUMBER = f"try_cast({YEAR_TEXT} as int)"
 
@@ -31,7 +30,10 @@ def high_water_mark(obs: DataFrame, by: str | None = None) -> DataFrame:
 
 
 def mark_stations(stations: DataFrame, marks: DataFrame) -> DataFrame:
-    """Stations with their mark: per station when the marks are, else the one mark."""
+    """Stations with their mark: per station when the marks are, else the one mark.
+
+    A station without any row has no mark of its own; it needs :func:`year_ranges`.
+    """
     if "stationId" in marks.columns:
         return stations.join(marks, "stationId", "left")
     return stations.withColumn("maxDate", marks.select("maxDate").scalar())
@@ -78,15 +80,21 @@ def upsert(
     if on_conflict == "keep":
         return obs.unionByName(absent_rows(obs, new, keys))
     if on_conflict == "replace":
-        return absent_rows(new, obs, keys).unionByName(new)
+        kept = obs.join(new.select(*keys), list(keys), "left_anti").select(*obs.columns)
+        return kept.unionByName(new)
     raise ValueError(f"unknown on_conflict: {on_conflict}")
 
 
 def absent_rows(
     obs: DataFrame, new: DataFrame, keys: Sequence[str] = OBSERVATION_KEY
 ) -> DataFrame:
-    """Rows of ``new`` whose keys ``obs`` does not hold."""
-    return new.join(obs.select(*keys), list(keys), "left_anti").select(*new.columns)
+    """Rows of ``new`` whose keys ``obs`` does not hold.
+
+    The stored keys are made distinct first: that is partial before the shuffle, so a
+    key that is stored very often arrives once per task.
+    """
+    stored = obs.select(*keys).distinct()
+    return new.join(stored, list(keys), "left_anti").select(*new.columns)
 
 
 def replace_station(obs: DataFrame, new: DataFrame, station_id: str) -> DataFrame:
@@ -108,38 +116,38 @@ def only_station(new: DataFrame, station_id: str) -> DataFrame:
 # --- deletes ------------------------------------------------------------------
 
 
-def _in_month(year_month: str) -> Column:
+def _outside_month(year_month: str) -> str:
     if not re.fullmatch(r"\d{4}-\d{2}", year_month):
         raise ValueError(f"expected YYYY-MM, got {year_month!r}")
-    return F.coalesce(F.col("date").startswith(year_month), F.lit(False))
+    return f"(date is null or not startswith(date, '{year_month}'))"
 
 
-def _after(cutoff: str) -> Column:
-    return F.coalesce(F.col("date") > cutoff, F.lit(False))
+def _until(cutoff: str) -> str:
+    return f"(date is null or date <= {quoted(cutoff)})"
 
 
-def _delete_counts(obs: DataFrame, doomed: Column) -> DataFrame:
-    return obs.agg(
-        F.count("*").alias("rowsBefore"),
-        F.count(F.when(doomed, 1)).alias("rowsDeleted"),
-        F.count(F.when(~doomed, 1)).alias("rowsRemaining"),
-    )
+def _delete_counts(obs: DataFrame, kept: str) -> DataFrame:
+    return obs.agg(*named(
+        rowsBefore="count(*)", rowsDeleted=f"count_if(not {kept})", rowsRemaining=f"count_if({kept})"
+    ))
 
 
 def delete_month(obs: DataFrame, year_month: str) -> DataFrame:
-    return obs.filter(~_in_month(year_month))
+    """The table without a month's rows. A row without a date stays."""
+    return obs.filter(_outside_month(year_month))
 
 
 def delete_month_counts(obs: DataFrame, year_month: str) -> DataFrame:
-    return _delete_counts(obs, _in_month(year_month))
+    return _delete_counts(obs, _outside_month(year_month))
 
 
 def trim_after(obs: DataFrame, cutoff: str) -> DataFrame:
-    return obs.filter(~_after(cutoff))
+    """The table without rows after a date. A row without a date stays."""
+    return obs.filter(_until(cutoff))
 
 
 def trim_after_counts(obs: DataFrame, cutoff: str) -> DataFrame:
-    return _delete_counts(obs, _after(cutoff))
+    return _delete_counts(obs, _until(cutoff))
 
 
 # --- quality checks -----------------------------------------------------------

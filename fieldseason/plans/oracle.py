@@ -35,7 +35,7 @@ def _to_fixed(value: str, digits: int) -> str:
     step = 2 ** (digits + 1)
     tie = f"abs({value}) * {step} % 2 = 1"
     return (
-        f"printf('%.{digits}f', case when {tie} then {value} + sign({value}) / {2 * step}.0"
+        f"printf('%.{digits}f', case when {tie} then {value} + sign({value}) / {10 ** (digits + 1)}.0"
         f" else {value} end)"
     )
 

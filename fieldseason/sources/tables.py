@@ -83,16 +83,14 @@ def read_or_seed(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Unset, a temporary folder serves a local session only.
+    Unset, a new temporary folder serves a local session, and only that.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="fieldseason-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return tempfile.mkdtemp(prefix="fieldseason-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

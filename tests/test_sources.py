@@ -1,0 +1,148 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from fieldseason.operators import bronze
+from fieldseason.plans import layers, queries
+from fieldseason.schemas import CROP_STATISTICS, OBSERVATIONS
+from fieldseason.sources import fixtures, landed, reports, tables
+from fieldseason.streaming import ingest
+
+
+def rows(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+def test_daily_json(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([
+        {"STATION": "USC1", "DATE": "2020-01-01T00:00", "TMAX": 1.5, "TMIN": "-2.5", "PRCP": "x"},
+        {"STATION": "GHCND:USC2", "TMAX": "", "SNOW": 3},
+        {"DATE": "2020-01-02"},
+    ]))
+    (tmp_path / "b.json").write_text("[]")
+    (tmp_path / "c.json").write_text("not json")
+    df = landed.unpivot_daily_json(landed.read_daily_json(spark, str(tmp_path)))
+    found = {(r["stationId"], r["date"], r["dataType"]): r["value"] for r in df.collect()}
+    assert found["GHCND:USC1", "2020-01-01", "TMAX"] == 1.5
+    assert found["GHCND:USC1", "2020-01-01", "TMIN"] == -2.5
+    assert found["GHCND:USC1", "2020-01-01", "PRCP"] is None
+    assert found["GHCND:USC2", "", "SNOW"] == 3.0 and found["GHCND:USC2", "", "TMAX"] is None
+    assert found["GHCND:", "2020-01-02", "SNWD"] is None
+    assert df.filter("attributes is not null").isEmpty()
+    assert [f.name for f in df.schema] == OBSERVATIONS.names
+
+
+def test_crop_json(spark, tmp_path):
+    full = {
+        "year": "2012", "state_alpha": "NE", "county_name": "GAGE", "county_ansi": "067",
+        "commodity_desc": "CORN", "statisticcat_desc": "YIELD", "unit_desc": "BU / ACRE", "Value": "1,234.5",
+    }
+    (tmp_path / "a.json").write_text(json.dumps({"data": [full, {"Value": "(D)"}]}))
+    (tmp_path / "b.json").write_text(json.dumps({"error": ["none"]}))
+    df = landed.read_crop_json(spark, str(tmp_path))
+    assert df.columns == CROP_STATISTICS.names
+    assert rows(df) == sorted(map(repr, [
+        ("2012", "NE", "GAGE", "067", "CORN", "YIELD", "BU / ACRE", "1,234.5"),
+        ("", None, None, None, None, None, None, "(D)"),
+    ]))
+
+
+def test_station_json_pages(spark, tmp_path):
+    one = {"id": "A", "name": "a", "latitude": 40.5, "longitude": -96.0, "mindate": "2000-01-01", "maxdate": "2001-01-01"}
+    (tmp_path / "1.json").write_text(json.dumps({"results": [one, {"id": "B", "name": "b"}]}))
+    (tmp_path / "2.json").write_text(json.dumps({"results": [{**one, "id": "C"}]}))
+    (tmp_path / "3.json").write_text("{}")
+    found = landed.read_station_json(spark, str(tmp_path))
+    assert sorted(r["id"] for r in found.collect()) == ["A", "C"]
+    assert found.first()["latitude"] == 40.5
+    named = landed.read_station_json(spark, str(tmp_path), required=["id", "name"])
+    assert sorted(r["id"] for r in named.collect()) == ["A", "B", "C"]
+
+
+def test_partition_columns_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "crops")
+    raw = spark.createDataFrame([("2012", "NE", "n", "067", "CORN", "YIELD", "u", "1")], CROP_STATISTICS)
+    tables.write_layer(raw, path, ["year", "state"])
+    back = tables.read_table(spark, path, CROP_STATISTICS)
+    assert rows(back.select(*CROP_STATISTICS.names)) == rows(raw)
+    assert back.schema["year"].dataType.simpleString() == "string"
+
+
+def test_overwrite_station_is_repeatable(spark, tmp_path, obs):
+    path = str(tmp_path / "obs")
+    tables.write_layer(obs(("A", "2000-01-01", "TMAX", 1.0), ("B", "2000-01-01", "TMAX", 2.0)), path, ["stationId"])
+    new = obs(("A", "2000-02-01", "TMAX", 9.0))
+    for _ in range(2):
+        tables.overwrite_station(new, path, "A")
+        back = tables.read_table(spark, path, OBSERVATIONS)
+        assert sorted((r["stationId"], r["value"]) for r in back.collect()) == [("A", 9.0), ("B", 2.0)]
+    with pytest.raises(Exception, match="expected only A"):
+        tables.overwrite_station(obs(("B", "2000-02-01", "TMAX", 9.0)), path, "A")
+
+
+def test_append_absent_is_repeatable(spark, tmp_path, obs):
+    path = str(tmp_path / "obs")
+    tables.write_layer(obs(("A", "2000-01-01", "TMAX", 1.0), ("A", "2000-01-02", "TMAX", 2.0)), path, ["stationId"])
+    new = obs(("A", "2000-01-02", "TMAX", 5.0), ("B", "2000-01-02", "TMAX", 3.0))
+    for _ in range(2):
+        tables.append_absent(new, path)
+        back = tables.read_table(spark, path, OBSERVATIONS)
+        assert sorted(r["value"] for r in back.collect()) == [1.0, 2.0, 3.0]
+
+
+def test_read_or_seed(spark, tmp_path, obs):
+    seed = obs(("A", "2000-01-01", "TMAX", 1.0))
+    missing = str(tmp_path / "none")
+    assert rows(tables.read_or_seed(spark, missing, lambda: seed)) == rows(seed)
+    path = str(tmp_path / "obs")
+    tables.write_layer(seed, path)
+    assert rows(tables.read_or_seed(spark, path, lambda: seed.filter("false"))) == rows(seed)
+    dateless = str(tmp_path / "dateless")
+    tables.write_layer(obs(("A", None, "TMAX", 1.0)), dateless)
+    with pytest.raises(ValueError, match="no dates"):
+        tables.read_or_seed(spark, dateless, lambda: seed)
+
+
+def test_materialize_reads_back_the_same_rows(spark, obs):
+    df = obs(("A", "2000-01-01", "TMAX", 1.0), ("B", None, "TMIN", None))
+    stored = tables.materialize(df, "test")
+    assert rows(stored) == rows(df) and stored.schema == df.schema
+    assert "FileScan" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_has_header_and_empty_nulls(spark, tmp_path):
+    path = str(tmp_path / "report")
+    reports.write_report(spark.createDataFrame([("a", None, 1.5)], "x string, y int, z double").coalesce(1), path)
+    assert [r["value"] for r in spark.read.text(path).collect()] == ["x,y,z", "a,,1.5"]
+
+
+def test_streamed_files_are_applied_once(spark, tmp_path):
+    landing, table, checkpoint = (str(tmp_path / n) for n in ("landing", "table", "checkpoint"))
+    (tmp_path / "landing").mkdir()
+
+    def land(name, *summaries):
+        (tmp_path / "landing" / name).write_text("\n".join(map(json.dumps, summaries)))
+        query = ingest.apply_landed(spark, landing, table, checkpoint)
+        query.awaitTermination()
+        return tables.read_table(spark, table, OBSERVATIONS)
+
+    first = land("1.json", {"STATION": "A", "DATE": "2020-01-01", "TMAX": 1, "TMIN": 0})
+    assert first.count() == 5
+    second = land(
+        "2.json", {"STATION": "A", "DATE": "2020-01-01", "TMAX": 9}, {"STATION": "A", "DATE": "2020-01-02", "TMAX": 2}
+    )
+    assert second.count() == 10
+    assert bronze.duplicate_keys(second).isEmpty()
+    kept = second.filter("date = '2020-01-01' and dataType = 'TMAX'").first()
+    assert kept["value"] == 1.0 and kept["stationId"] == "GHCND:A"
+
+
+def test_stored_layers(spark, tmp_path, sf):
+    obs = fixtures.observations(spark, sf)
+    daily, season = layers.store_layers(
+        spark, obs, str(tmp_path), "001", "NE", fixtures.stations(spark, sf), fixtures.SUPPLEMENTAL
+    )
+    expected = queries.season_weather_all_stations(spark, sf)
+    assert rows(season.select(*expected.columns)) == rows(expected)
+    assert daily.filter(F.col("tempStationName") == "Station 1").count() > 0
