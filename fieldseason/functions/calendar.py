@@ -115,15 +115,24 @@ class YearSegments:
         cases = "".join(f" when {mmdd} < {cut} then {n}" for n, cut in enumerate(self.cuts))
         return f"case when {mmdd} is null then null{cases} else {len(self.cuts)} end"
 
-    def membership(self) -> str:
-        """Constant array of (window, members), members holding 1 or 0 per segment."""
+    def windows_of(self, segment: str, every: str) -> str:
+        """Array of (window, inside): a segment's own windows, inside being 1.
+
+        Where ``every`` holds, all windows are listed, inside being 1 or 0. The arrays
+        are constants; the one after the last segment serves null days.
+        """
         starts = (101, *self.cuts)
-        rows = (
-            f"named_struct('window', '{w.key}', 'members',"
-            f" array({', '.join(str(int(w.holds(s))) for s in starts)}))"
-            for w in self.windows
-        )
-        return f"array({', '.join(rows)})"
+        rows = [[(w.key, int(w.holds(start))) for w in self.windows] for start in starts]
+        rows.append([(w.key, 0) for w in self.windows])
+        full = ", ".join(_entries(row) for row in rows)
+        own = ", ".join(_entries([e for e in row if e[1]]) for row in rows)
+        index = f"coalesce({segment}, {len(starts)})"
+        return f"if({every}, get(array({full}), {index}), get(array({own}), {index}))"
+
+
+def _entries(row: Sequence[tuple[str, int]]) -> str:
+    items = (f"named_struct('window', '{key}', 'inside', {inside})" for key, inside in row)
+    return f"cast(array({', '.join(items)}) as array<struct<window: string, inside: int>>)"
 
 
 def _day_after(mmdd: int) -> int:

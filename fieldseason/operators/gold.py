@@ -125,13 +125,18 @@ def season_long(
     window gives zeros.
     """
     segments = YearSegments.of(windows)
-    # One exchange by station serves the grouping by window here and the yearly mean
-    # in drought_index: a station has at most (years x segments) rows by now.
-    placed = segment_totals(days, segments, **thresholds).repartition("stationId").selectExpr(
-        "*", f"explode({segments.membership()}) as w"
+    # One exchange by station serves all that follows, also the yearly mean in
+    # drought_index: a station has at most (years x segments) rows by now. The first
+    # segment of a year lists every window, so that empty ones appear.
+    first = "row_number() over (partition by stationId, year order by segment) = 1"
+    placed = (
+        segment_totals(days, segments, **thresholds)
+        .repartition("stationId")
+        .selectExpr("*", f"{first} as opening")
+        .selectExpr("*", f"inline({segments.windows_of('segment', 'opening')})")
     )
-    summed = placed.groupBy("stationId", "year", F.expr("w.window as window")).agg(*named(**{
-        c: f"sum(coalesce({c}, 0) * coalesce(get(w.members, segment), 0))" for c in _SUMMED
+    summed = placed.groupBy("stationId", "year", "window").agg(*named(**{
+        c: f"sum(coalesce({c}, 0) * inside)" for c in _SUMMED
     }))
     rounded = summed.selectExpr("*", f"{round_ratio('precip', str(MILLION), 2)} as precipCents")
     return drought_index(rounded).selectExpr(
