@@ -265,11 +265,11 @@ def silver_weather(
 # --- reports ------------------------------------------------------------------
 
 
-def rows_per_year(daily: DataFrame) -> DataFrame:
+def rows_per_year(df: DataFrame) -> DataFrame:
+    """Rows per year of a daily table, or of a season table by its ``year``."""
+    year = F.year("date") if "date" in df.columns else F.col("year")
     return (
-        daily.groupBy(F.year("date").alias("year"))
-        .agg(F.count("*").alias("rowCount"))
-        .orderBy("year")
+        df.groupBy(year.alias("year")).agg(F.count("*").alias("rowCount")).orderBy("year")
     )
 
 

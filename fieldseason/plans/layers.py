@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fieldseason.operators.bronze import trim_after, upsert
 from fieldseason.operators.gold import season_weather
 from fieldseason.operators.silver import fallback_temperatures, silver_weather
-from fieldseason.sources.tables import materialize, read_table, write_layer
+from fieldseason.schemas import OBSERVATIONS
+from fieldseason.sources.tables import append_absent, materialize, read_table, write_layer
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,18 @@ def refresh(obs: DataFrame, new: DataFrame, site: Site) -> DataFrame:
     return gold_for(silver_for(upsert(obs, new), site), site)
 
 
+def refresh_stored(
+    spark: SparkSession, path: str, new: DataFrame, site: Site
+) -> DataFrame:
+    """The same over a stored table: rows it lacks are appended, then it is read again.
+
+    Nothing stored is rewritten, and the later layers read files where ``refresh``
+    would apply the new rows once for the daily rows and once for the medians.
+    """
+    append_absent(new, path)
+    return gold_for(silver_for(read_table(spark, path, OBSERVATIONS), site), site)
+
+
 def rebuild(obs: DataFrame, cutoff: str, site: Site) -> DataFrame:
     """The season table as of a date."""
     return gold_for(silver_for(trim_after(obs, cutoff), site), site)

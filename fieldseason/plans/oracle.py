@@ -556,6 +556,7 @@ def texts() -> dict[str, str]:
             """select cast(year(date) as integer) as year, count(*) as rowCount
                from daily group by all"""
         ),
+        "season_rows_per_year": _gold("select year, count(*) as rowCount from gold group by year"),
         "silver_validation": _sql("select * from validation", (*_ANCHOR, "validation")),
         "silver_validation_all_stations": _all_stations(
             f"select * from ({_validation('stationId, year', 'daily_all')})"
@@ -713,6 +714,11 @@ def texts() -> dict[str, str]:
             base=_PARTS["obs"], old=_OLD, newer=_NEWER,
             obs=f"{_absent('old', 'newer')} union all select * from newer",
         ),
+        "refresh_stored": _gold(
+            "select * from gold", ("base", "old", "newer"),
+            base=_PARTS["obs"], old=_OLD, newer=_NEWER,
+            obs=f"select * from old union all {_absent('newer', 'old')}",
+        ),
         "rebuild": _gold(
             "select * from gold", ("base",), base=_PARTS["obs"],
             obs=f"select * from base where date <= '{q.CUTOFF}'",

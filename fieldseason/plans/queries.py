@@ -439,6 +439,11 @@ def rows_per_year(spark: SparkSession, sf: str) -> DataFrame:
     return silver.rows_per_year(daily_of(spark, sf))
 
 
+@_query
+def season_rows_per_year(spark: SparkSession, sf: str) -> DataFrame:
+    return silver.rows_per_year(gold_of(spark, sf))
+
+
 @_query
 def silver_validation(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_validation(daily_of(spark, sf))
@@ -692,6 +697,14 @@ def refresh(spark: SparkSession, sf: str) -> DataFrame:
     return layers.refresh(obs.filter(F.col("date") <= OLD_UNTIL), _newer(obs), SITE)
 
 
+@_query
+def refresh_stored(spark: SparkSession, sf: str) -> DataFrame:
+    obs = obs_of(spark, sf)
+    path = tables.scratch_path(spark, "observations")
+    tables.write_layer(obs.filter(F.col("date") <= OLD_UNTIL), path, ["stationId"])
+    return layers.refresh_stored(spark, path, _newer(obs), SITE)
+
+
 @_query
 def rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return layers.rebuild(obs_of(spark, sf), CUTOFF, SITE)

@@ -50,7 +50,10 @@ def read_daily_json(
 
 
 def unpivot_daily_json(df: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
-    """A long row per element of each daily summary, also for readings that are absent."""
+    """A long row per element of each daily summary, also for readings that are absent.
+
+    A reading that is no finite number is null.
+    """
     station = F.coalesce("STATION", F.lit(""))
     return (
         df.select(
@@ -58,13 +61,18 @@ def unpivot_daily_json(df: DataFrame, elements: Sequence[str] = ELEMENTS) -> Dat
             .otherwise(F.concat(F.lit(STATION_PREFIX), station))
             .alias("stationId"),
             F.substring(F.coalesce("DATE", F.lit("")), 1, 10).alias("date"),
-            *[F.col(e).try_cast("double").alias(e) for e in elements],
+            *[_reading(e) for e in elements],
         )
         .unpivot(["stationId", "date"], list(elements), "dataType", "value")
         .withColumn("attributes", F.lit(None).cast("string"))
     )
 
 
+def _reading(element: str) -> Column:
+    number = F.col(element).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number).alias(element)
+
+
 def _read_wrapped(spark: SparkSession, path: str, array: str, names, multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(array, T.ArrayType(_strings(names)))])
     return spark.read.schema(schema).json(path, multiLine=multi_line).select(F.inline(array))

@@ -16,7 +16,8 @@ def rows(df):
 
 def test_daily_json(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([
-        {"STATION": "USC1", "DATE": "2020-01-01T00:00", "TMAX": 1.5, "TMIN": "-2.5", "PRCP": "x"},
+        {"STATION": "USC1", "DATE": "2020-01-01T00:00", "TMAX": 1.5, "TMIN": "-2.5", "PRCP": "x", "SNOW": "NaN",
+         "SNWD": "Infinity"},
         {"STATION": "GHCND:USC2", "TMAX": "", "SNOW": 3},
         {"DATE": "2020-01-02"},
     ]))
@@ -26,7 +27,8 @@ def test_daily_json(spark, tmp_path):
     found = {(r["stationId"], r["date"], r["dataType"]): r["value"] for r in df.collect()}
     assert found["GHCND:USC1", "2020-01-01", "TMAX"] == 1.5
     assert found["GHCND:USC1", "2020-01-01", "TMIN"] == -2.5
-    assert found["GHCND:USC1", "2020-01-01", "PRCP"] is None
+    for element in ("PRCP", "SNOW", "SNWD"):
+        assert found["GHCND:USC1", "2020-01-01", element] is None
     assert found["GHCND:USC2", "", "SNOW"] == 3.0 and found["GHCND:USC2", "", "TMAX"] is None
     assert found["GHCND:", "2020-01-02", "SNWD"] is None
     assert df.filter("attributes is not null").isEmpty()
@@ -35,7 +37,7 @@ def test_daily_json(spark, tmp_path):
 
 def test_crop_json(spark, tmp_path):
     full = {
-        "year": "2012", "state_alpha": "NE", "county_name": "GAGE", "county_ansi": "067",
+        "year": "2012", "state_alpha": "NE", "county_name": "FIRST", "county_ansi": "001",
         "commodity_desc": "CORN", "statisticcat_desc": "YIELD", "unit_desc": "BU / ACRE", "Value": "1,234.5",
     }
     (tmp_path / "a.json").write_text(json.dumps({"data": [full, {"Value": "(D)"}]}))
@@ -43,7 +45,7 @@ def test_crop_json(spark, tmp_path):
     df = landed.read_crop_json(spark, str(tmp_path))
     assert df.columns == CROP_STATISTICS.names
     assert rows(df) == sorted(map(repr, [
-        ("2012", "NE", "GAGE", "067", "CORN", "YIELD", "BU / ACRE", "1,234.5"),
+        ("2012", "NE", "FIRST", "001", "CORN", "YIELD", "BU / ACRE", "1,234.5"),
         ("", None, None, None, None, None, None, "(D)"),
     ]))
 
@@ -138,6 +140,16 @@ def test_streamed_files_are_applied_once(spark, tmp_path):
     assert kept["value"] == 1.0 and kept["stationId"] == "GHCND:A"
 
 
+def test_refresh_stored_is_repeatable(spark, tmp_path, sf):
+    path = str(tmp_path / "obs")
+    obs = fixtures.observations(spark, sf)
+    tables.write_layer(obs.filter("date <= '2001-01-31'"), path, ["stationId"])
+    new = obs.filter("date >= '2001-02-01'")
+    first = rows(layers.refresh_stored(spark, path, new, queries.SITE))
+    assert first == rows(queries.season_weather(spark, sf))
+    assert rows(layers.refresh_stored(spark, path, new, queries.SITE)) == first
+
+
 def test_stored_layers(spark, tmp_path, sf):
     obs = fixtures.observations(spark, sf)
     daily, season = layers.store_layers(
