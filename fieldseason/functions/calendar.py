@@ -78,9 +78,9 @@ def parse_day(text: str) -> str:
 
 
 def expected_days(year: str) -> str:
-    """Days of a Gregorian year."""
+    """Days of a Gregorian year, null for a null year."""
     leap = f"({year} % 4 = 0 and {year} % 100 != 0) or {year} % 400 = 0"
-    return f"case when {leap} then 366 else 365 end"
+    return f"case when {year} is null then null when {leap} then 366 else 365 end"
 
 
 def coverage_pct(days: str, expected: str) -> str:

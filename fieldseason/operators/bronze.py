@@ -231,8 +231,10 @@ def bronze_report(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
     """Coverage, inversions and extreme values, one row per station and year.
 
     All three checks count days or rows of a station-day, so one pass that first
-    reduces to station-days replaces three scans and two joins.
+    reduces to station-days replaces three scans and two joins. Like those joins, it
+    finds nothing for rows without a station or a year.
     """
+    keyed = "stationId is not null and year is not null"
     days = (
         obs.groupBy("stationId", "date")
         .agg(*named(**_DAY_EXTREMES, extremes=f"count_if({is_extreme(limits)})"))
@@ -241,8 +243,8 @@ def bronze_report(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
     return _with_coverage(
         days.groupBy("stationId", "year").agg(*named(
             activeDays="count(date)",
-            inversions="count_if(year is not null and tmax < tmin)",
-            extremeVals="sum(case when year is not null then extremes else 0 end)",
+            inversions=f"count_if({keyed} and tmax < tmin)",
+            extremeVals=f"sum(case when {keyed} then extremes else 0 end)",
         ))
     ).select(
         "stationId", "year", "activeDays", "expectedDays", "coveragePct", "coverageStatus",

@@ -42,7 +42,7 @@ def _to_fixed(value: str, digits: int) -> str:
 
 _SUSPECT = "coalesce(trim(split_part(attributes, ',', 2)) <> '', false)"
 _LEAP = "(year % 4 = 0 and year % 100 <> 0) or year % 400 = 0"
-_EXPECTED = f"case when {_LEAP} then 366 else 365 end"
+_EXPECTED = f"case when year is null then null when {_LEAP} then 366 else 365 end"
 _YEAR = "try_cast(substring(date, 1, 4) as integer)"
 
 
@@ -414,7 +414,7 @@ def texts() -> dict[str, str]:
         "station_json": """select s_name as id, 'Station ' || cast(s_suppkey as varchar) as name,
             cast(s_nationkey + 30.5 as double) as latitude, s_acctbal as longitude,
             '1995-01-01' as minDate, '2001-12-31' as maxDate
-          from supplier where s_suppkey % 7 <> 0 and s_acctbal is not null""",
+          from supplier where s_acctbal >= 0""",
         "csv_report": _sql("select cast(columns(*) as varchar) from report", _REPORTED),
         "preview": _all_stations("select * from daily_all order by date, stationId limit 100"),
         "sample_table": _sql(

@@ -164,7 +164,7 @@ def station_json(spark: SparkSession, sf: str) -> DataFrame:
     raw = fixtures.table(spark, sf, "supplier").select(
         F.col("s_name").alias("id"),
         F.concat(F.lit("Station "), F.col("s_suppkey").cast("string")).alias("name"),
-        F.when(F.col("s_suppkey") % 7 != 0, F.col("s_nationkey") + 30.5).alias("latitude"),
+        F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey") + 30.5).alias("latitude"),
         F.col("s_acctbal").alias("longitude"),
         F.lit("1995-01-01").alias("mindate"),
         F.lit("2001-12-31").alias("maxdate"),

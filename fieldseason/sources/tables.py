@@ -62,6 +62,16 @@ def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def find_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The stored table, or None when it is not there."""
+    try:
+        return read_table(spark, path, schema)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def read_or_seed(
     spark: SparkSession, path: str, seed: Callable[[], DataFrame], schema: StructType | None = None
 ) -> DataFrame:
@@ -69,11 +79,8 @@ def read_or_seed(
 
     A table that is there but holds no date is an error.
     """
-    try:
-        stored = read_table(spark, path, schema)
-    except AnalysisException as missing:
-        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    stored = find_table(spark, path, schema)
+    if stored is None:
         return seed()
     if stored.filter(F.col("date").isNotNull()).isEmpty():
         raise ValueError(f"no dates in {path}")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from fieldseason.sources.landed import daily_json_schema, unpivot_daily_json
-from fieldseason.sources.tables import append_absent, append_layer
+from fieldseason.sources.tables import append_absent, append_layer, find_table
 
 
 def landed_observations(spark: SparkSession, landing: str) -> DataFrame:
@@ -21,12 +20,10 @@ def apply_landed(spark: SparkSession, landing: str, table: str, checkpoint: str)
     A batch repeated after a failure finds its keys stored and appends nothing.
     """
     def apply(batch: DataFrame, _: int) -> None:
-        try:
-            append_absent(batch, table)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if find_table(spark, table, batch.schema) is None:
             append_layer(batch, table, ["stationId"])
+        else:
+            append_absent(batch, table)
 
     return (
         landed_observations(spark, landing)

@@ -96,6 +96,7 @@ def test_append_absent_is_repeatable(spark, tmp_path, obs):
 def test_read_or_seed(spark, tmp_path, obs):
     seed = obs(("A", "2000-01-01", "TMAX", 1.0))
     missing = str(tmp_path / "none")
+    assert tables.find_table(spark, missing) is None
     assert rows(tables.read_or_seed(spark, missing, lambda: seed)) == rows(seed)
     path = str(tmp_path / "obs")
     tables.write_layer(seed, path)
