@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import coverage_pct, coverage_status, expected_days
@@ -73,18 +73,42 @@ def upsert(
     """Add rows to a table that may already hold some of their keys.
 
     ``replace`` lets the new rows win, ``keep`` the stored ones, and ``append`` adds
-    everything without looking at keys.
+    everything without looking at keys. Where the date is a key, rows before the first
+    new date cannot conflict and pass by the comparison, which then shuffles only the
+    end of a long table.
     """
     if on_conflict == "append":
         return obs.unionByName(new)
     if on_conflict == "keep":
-        return obs.unionByName(absent_rows(obs, new, keys))
+        contested = from_first_date(obs, new) if "date" in keys else obs
+        return obs.unionByName(absent_rows(contested, new, keys))
     if on_conflict == "replace":
-        kept = obs.join(new.select(*keys), list(keys), "left_anti").select(*obs.columns)
-        return kept.unionByName(new)
+        if "date" not in keys:
+            return _without_keys(obs, new, keys).unionByName(new)
+        contested = _without_keys(from_first_date(obs, new), new, keys)
+        return before_first_date(obs, new).unionByName(contested).unionByName(new)
     raise ValueError(f"unknown on_conflict: {on_conflict}")
 
 
+def _without_keys(obs: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return obs.join(new.select(*keys), list(keys), "left_anti").select(*obs.columns)
+
+
+def _first_date(new: DataFrame) -> Column:
+    return new.agg(F.min("date")).scalar()
+
+
+def from_first_date(obs: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows not before the first date of ``new``."""
+    return obs.filter(F.col("date") >= _first_date(new))
+
+
+def before_first_date(obs: DataFrame, new: DataFrame) -> DataFrame:
+    """The other rows: also those without a date, and all when ``new`` has none."""
+    first, date = _first_date(new), F.col("date")
+    return obs.filter((date < first) | date.isNull() | first.isNull())
+
+
 def absent_rows(
     obs: DataFrame, new: DataFrame, keys: Sequence[str] = OBSERVATION_KEY
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fieldseason.operators.bronze import absent_rows, only_station
+from fieldseason.operators.bronze import absent_rows, from_first_date, only_station
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -54,8 +54,7 @@ def append_absent(new: DataFrame, path: str, partition_by: Sequence[str] = ("sta
     the comparison reads that part of the table. A re-run appends nothing.
     """
     stored = read_table(new.sparkSession, path, new.schema)
-    first = new.agg(F.min("date").alias("first")).scalar()
-    append_layer(absent_rows(stored.filter(F.col("date") >= first), new), path, partition_by)
+    append_layer(absent_rows(from_first_date(stored, new), new), path, partition_by)
 
 
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:

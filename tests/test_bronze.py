@@ -106,6 +106,25 @@ def test_upsert_leaves_no_duplicate_and_is_repeatable(obs):
         bronze.upsert(old, new, on_conflict="other")
 
 
+@pytest.mark.parametrize("mode", ["replace", "keep"])
+def test_upsert_keeps_earlier_and_undated_rows(obs, mode):
+    old = obs(("A", None, "TMAX", 1.0), ("A", "1999-01-01", "TMAX", 2.0), ("A", "2000-01-02", "TMAX", 3.0))
+    new = obs(("A", "2000-01-02", "TMIN", 4.0), ("A", None, "TMAX", 5.0))
+    found = bronze.upsert(old, new, on_conflict=mode)
+    assert sorted(r["value"] for r in found.collect()) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    nothing = bronze.upsert(old, new.filter("false"), on_conflict=mode)
+    assert sorted(r["value"] for r in nothing.collect()) == [1.0, 2.0, 3.0]
+    undated = bronze.upsert(old, new.filter("date is null"), on_conflict=mode)
+    assert sorted(r["value"] for r in undated.collect()) == [1.0, 2.0, 3.0, 5.0]
+
+
+def test_upsert_on_other_keys(obs):
+    old = obs(("A", "2000-01-01", "TMAX", 1.0), ("B", "2000-01-01", "TMAX", 2.0))
+    new = obs(("A", "2001-01-01", "TMAX", 3.0))
+    assert rows(bronze.upsert(old, new, ["stationId"]), "value") == [(2.0,), (3.0,)]
+    assert rows(bronze.upsert(old, new, ["stationId"], "keep"), "value") == [(1.0,), (2.0,)]
+
+
 def test_upsert_with_a_key_that_holds_a_third_of_the_rows(spark):
     hot = spark.range(30000).selectExpr(
         "if(id % 3 = 0, 'H', concat('S', id)) as stationId", "'2000-01-01' as date",
