@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from fieldseason.plans import oracle
+from fieldseason.plans import queries as registered
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
@@ -13,7 +15,7 @@ TYPES = {
     "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT",
     "date": "DATE", "boolean": "BOOLEAN",
 }
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered.registry(), oracle.texts()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,7 @@ def duck(sf):
 
 def test_every_query_has_a_statement():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
