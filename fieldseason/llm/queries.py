@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseason.llm import exact_dedup, quality_rules
+from fieldseason.llm import bpe, exact_dedup, packing, quality_rules
 from fieldseason.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(bpe.encode(table(spark, sf_dir, "documents")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -25,4 +34,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op7_exact_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (op5_packing, op6_byte_bpe, op7_exact_dedup, op10_quality_rules)}
