@@ -47,6 +47,14 @@ def id_crc(column: str | Column) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary"))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """``doc_id, label, text`` of at most ``limit`` labels, the ones whose ids' hashes are smallest."""
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    # Bounded by the limit, so it may be broadcast.
+    return texts(docs).join(F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(limit)), "doc_id")
+
+
 def split_words(text: str) -> list[str]:
     """Maximal runs without ASCII white space."""
     return [w for w in reduce(lambda t, c: t.replace(c, " "), _SPACES, text).split(" ") if w]
@@ -72,7 +80,8 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
 
 
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
-          "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+          "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),
+          "array<string>": pa.list_(pa.string()), "array<array<string>>": pa.list_(pa.list_(pa.string()))}
 
 
 def _arrow(schema: str) -> pa.Schema:

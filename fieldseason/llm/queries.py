@@ -7,12 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseason.llm import bpe, exact_dedup, packing, quality_rules
-from fieldseason.llm.common import table
+from fieldseason.llm import bpe, exact_dedup, fm_quality, langid, packing, pii, quality_rules, token_counts, toxicity
+from fieldseason.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _judged(scored: DataFrame, parts: int, held: int, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (id_crc("doc_id") % parts == held).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(id_crc("doc_id") % 4 != 2))
+    return _judged(toxicity.score(docs, model), 4, 2, 0.3)
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dictionaries = langid.train(docs.filter(id_crc("doc_id") % 3 != 1))
+    found = langid.identify(docs, dictionaries)
+    return found.select("doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -27,6 +49,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fm_quality.train(docs, labels.filter(id_crc("doc_id") % 3 != 1))
+    return _judged(fm_quality.score(docs, model), 3, 1, 0.5)
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.quality_rules(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -34,4 +66,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_packing, op6_byte_bpe, op7_exact_dedup, op10_quality_rules)}
+    return {f.__name__: f for f in (
+        op1_toxicity, op2_language, op3_token_counts, op5_packing, op6_byte_bpe, op7_exact_dedup, op8_quality,
+        op9_pii, op10_quality_rules)}
