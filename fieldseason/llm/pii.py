@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -193,7 +194,10 @@ def _masked(text: str, spans: str) -> str:
 
 def mask(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the spans of ``found`` replaced by their kinds, and ``n_chars`` as it is then."""
-    masked = F.udf(lambda text, spans: _masked(text, spans) if spans else text, "string")
+    @F.pandas_udf("string")
+    def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([_masked(t, s) if s else t for t, s in zip(texts, spans, strict=True)], dtype=object)
+
     some = found.filter("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("version").alias("_v"), "spans").distinct()
     text = F.coalesce(docs["text"], F.lit(""))
     out = docs.join(some, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_v")), "left")

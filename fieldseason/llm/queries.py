@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseason.llm import bpe, exact_dedup, fm_quality, langid, packing, pii, quality_rules, token_counts, toxicity
+from fieldseason.llm import bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, quality_rules, token_counts, toxicity
 from fieldseason.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -67,5 +71,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_toxicity, op2_language, op3_token_counts, op5_packing, op6_byte_bpe, op7_exact_dedup, op8_quality,
+        op1_toxicity, op2_language, op3_token_counts, op4_ngram_join, op5_packing, op6_byte_bpe, op7_exact_dedup, op8_quality,
         op9_pii, op10_quality_rules)}

@@ -23,7 +23,9 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fieldseason.llm.common import labelled_texts, map_rows, texts
 
@@ -196,3 +198,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return lambda rows: {"doc_id": rows["doc_id"], "score": [of(t) for t in rows["text"]]}
 
     return map_rows(texts(docs), make, "doc_id long, score double")
+
+
+def score_column(text: Column, model: Model) -> Column:
+    """The score of a text column, for a filter that keeps a table's other columns."""
+
+    @F.pandas_udf("double")
+    def of(texts: pd.Series) -> pd.Series:
+        scorer = _scorer(model)
+        return pd.Series([scorer(t or "") for t in texts], dtype="float64")
+
+    return of(text)
