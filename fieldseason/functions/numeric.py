@@ -2,15 +2,17 @@
 
 A double sum changes in its last bits with the order of the partial sums, and a
 season total often lies exactly on a rounding tie, so a re-run after a lost
-executor could print another digit. Totals are therefore kept as integer
-millionths, and rounded half up by integer division.
+executor could print another digit. Totals are therefore kept as integers of
+``10 ** -12``, finer than a double's last digit matters, and rounded half up by integer
+division. A season's total may reach 46,000 units; beyond, the arithmetic fails loudly.
 """
 
-MILLION = 1_000_000
+#: Parts of a unit in which totals are kept.
+PARTS = 10**12
 
 
-def millionths(value: str) -> str:
-    return f"cast(rint(({value}) * {MILLION}D) as bigint)"
+def parts(value: str) -> str:
+    return f"cast(rint(({value}) * {PARTS}D) as bigint)"
 
 
 def round_ratio(num: str, den: str, digits: int) -> str:

@@ -32,8 +32,9 @@ def high_water_mark(obs: DataFrame, by: str | None = None) -> DataFrame:
 def mark_stations(stations: DataFrame, marks: DataFrame) -> DataFrame:
     """Stations with their mark: per station when the marks are, else the one mark.
 
-    A station without any row has no mark of its own; it needs :func:`year_ranges`.
+    A station that is listed twice has one row. One without any row has no mark of its own; it needs :func:`year_ranges`.
     """
+    stations = stations.dropDuplicates(["stationId"])
     if "stationId" in marks.columns:
         return stations.join(marks, "stationId", "left")
     return stations.withColumn("maxDate", marks.select("maxDate").scalar())
@@ -58,8 +59,8 @@ def gap_ranges(marked: DataFrame, today: str) -> DataFrame:
 
 
 def year_ranges(stations: DataFrame, first: int, last: int) -> DataFrame:
-    """Whole calendar years per station."""
-    return stations.selectExpr("*", f"explode(sequence({first}, {last})) as year").selectExpr(
+    """Whole calendar years per station, each station once."""
+    return stations.dropDuplicates(["stationId"]).selectExpr("*", f"explode(sequence({first}, {last})) as year").selectExpr(
         "*", "concat(year, '-01-01') as rangeStart", "concat(year, '-12-31') as rangeEnd"
     )
 
@@ -73,23 +74,37 @@ def upsert(
     """Add rows to a table that may already hold some of their keys.
 
     ``replace`` lets the new rows win, ``keep`` the stored ones, and ``append`` adds
-    everything without looking at keys. Where the date is a key, rows before the first
-    new date cannot conflict and pass by the comparison, which then shuffles only the
-    end of a long table.
+    everything without looking at keys. Under the first two ``new`` is reduced to one row
+    per key, and a null value is no reading: it neither displaces nor blocks one. So a
+    reading is added where only nulls are stored, and a null where nothing is. Where the
+    date is a key, rows before the first new date cannot conflict and pass by the
+    comparison, which then shuffles only the end of a long table.
     """
     if on_conflict == "append":
         return obs.unionByName(new)
+    dated = "date" in keys
     if on_conflict == "keep":
-        contested = from_first_date(obs, new) if "date" in keys else obs
+        contested = from_first_date(obs, new) if dated else obs
         return obs.unionByName(absent_rows(contested, new, keys))
     if on_conflict == "replace":
-        if "date" not in keys:
-            return _without_keys(obs, new, keys).unionByName(new)
-        contested = _without_keys(from_first_date(obs, new), new, keys)
-        return before_first_date(obs, new).unionByName(contested).unionByName(new)
+        single = one_per_key(new, keys)
+        readings, nulls = single.filter("value is not null"), single.filter("value is null")
+        contested = from_first_date(obs, new) if dated else obs
+        kept = _without_keys(contested, readings, keys)
+        if dated:
+            kept = before_first_date(obs, new).unionByName(kept)
+        return kept.unionByName(readings).unionByName(absent_rows(contested, nulls, keys))
     raise ValueError(f"unknown on_conflict: {on_conflict}")
 
 
+def one_per_key(new: DataFrame, keys: Sequence[str] = OBSERVATION_KEY) -> DataFrame:
+    """One row per key: the largest value that is known, and of equal ones the largest attributes."""
+    rest = [c for c in new.columns if c not in keys]
+    first = [c for c in ("value", "attributes") if c in rest]
+    largest = F.max(F.struct(*first, *[c for c in rest if c not in first])).alias("_largest")
+    return new.groupBy(*keys).agg(largest).select(*keys, "_largest.*").select(*new.columns)
+
+
 def _without_keys(obs: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return obs.join(new.select(*keys), list(keys), "left_anti").select(*obs.columns)
 
@@ -112,22 +127,33 @@ def before_first_date(obs: DataFrame, new: DataFrame) -> DataFrame:
 def absent_rows(
     obs: DataFrame, new: DataFrame, keys: Sequence[str] = OBSERVATION_KEY
 ) -> DataFrame:
-    """Rows of ``new`` whose keys ``obs`` does not hold.
+    """Rows of ``new``, one per key, that ``obs`` lacks: readings without a stored reading,
+    and nulls without any stored row.
 
-    The stored keys are made distinct first: that is partial before the shuffle, so a
-    key that is stored very often arrives once per task.
+    The stored keys are counted first: that is partial before the shuffle, so a key that
+    is stored very often arrives once per task.
     """
-    stored = obs.select(*keys).distinct()
-    return new.join(stored, list(keys), "left_anti").select(*new.columns)
+    stored = obs.groupBy(*keys).agg(F.count("value").alias("_readings"))
+    found = one_per_key(new, keys).join(stored, list(keys), "left")
+    return found.filter(
+        "_readings is null or (value is not null and _readings = 0)"
+    ).select(*new.columns)
 
 
 def replace_station(obs: DataFrame, new: DataFrame, station_id: str) -> DataFrame:
-    """The table with one station's rows replaced; other stations in ``new`` are an error."""
+    """The table with one station's rows replaced; other stations in ``new``, or no row, are an error."""
+    require_new(new, station_id)
     return obs.filter(~F.col("stationId").eqNullSafe(station_id)).unionByName(
         only_station(new, station_id)
     )
 
 
+def require_new(new: DataFrame, station_id: str) -> None:
+    """Reads until the first row of ``new``; a replacement by nothing is an error."""
+    if new.isEmpty():
+        raise ValueError(f"no rows to replace {station_id} with")
+
+
 def only_station(new: DataFrame, station_id: str) -> DataFrame:
     """``new`` unchanged, failing at run time on a row of another station."""
     foreign = F.concat(F.lit(f"expected only {station_id}, found "), F.col("stationId"))
@@ -181,7 +207,7 @@ def value_counts_wide(obs: DataFrame, elements: Sequence[str] = ELEMENTS) -> Dat
     """Non-null values per station, year and element, 0 where there are none."""
     return (
         obs.groupBy("stationId", F.expr(YEAR_TEXT).alias("year"))
-        .agg(*named(**{e: f"count(case when dataType = '{e}' then value end)" for e in elements}))
+        .agg(*named(**{e: f"count(case when dataType = {quoted(e)} then value end)" for e in elements}))
         .orderBy("stationId", "year")
     )
 
@@ -229,7 +255,7 @@ def is_extreme(limits=EXTREME_LIMITS) -> str:
     for element, low, high in limits:
         outside = [f"value < {low}D"] if low is not None else []
         outside += [f"value > {high}D"] if high is not None else []
-        cases.append(f"dataType = '{element}' and ({' or '.join(outside)})")
+        cases.append(f"dataType = {quoted(element)} and ({' or '.join(outside)})")
     return f"coalesce({' or '.join(f'({c})' for c in cases)}, false)"
 
 
@@ -277,7 +303,10 @@ def bronze_report(obs: DataFrame, limits=EXTREME_LIMITS) -> DataFrame:
 
 
 def bronze_issues(report: DataFrame) -> DataFrame:
-    """Report rows with a problem, and the problems in words."""
+    """Report rows with a problem, and the problems in words.
+
+    Fixed values: the texts of the problems.
+    """
     sparse, inverted, extreme = "coverageStatus != 'OK'", "inversions > 0", "extremeVals > 0"
     return report.filter(f"{sparse} or {inverted} or {extreme}").selectExpr(
         "stationId", "year",
@@ -295,9 +324,15 @@ def issue_count(report: DataFrame) -> DataFrame:
 
 
 def station_inventory(obs: DataFrame, stations: DataFrame, first: int, last: int) -> DataFrame:
-    """Observed days per station and year of the whole range, and the station's total."""
+    """Observed days per station and year of the whole range, and the station's total.
+
+    A station that is listed twice has its first name, by order, and the place listed with it.
+    """
+    places = F.min(F.struct("name", "latitude", "longitude")).alias("place")
+    stations = stations.groupBy("id").agg(places).select("id", "place.*")
     counted = (
-        obs.filter(f"{YEAR_NUMBER} between {first} and {last}")
+        # The bounds of the text reach a stored table's scan; the number decides.
+        obs.filter(f"date >= '{first}' and date < '{last + 1}' and {YEAR_NUMBER} between {first} and {last}")
         .groupBy(F.col("stationId").alias("id"), F.expr(YEAR_NUMBER).alias("year"))
         .agg(F.count_distinct("date").alias("observed"))
     )

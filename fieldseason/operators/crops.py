@@ -64,7 +64,8 @@ def optimal_mix(profitability: DataFrame, annual: DataFrame | None = None) -> Da
     No scoring formula is published for this table. Here a crop's score is its share
     of the county-year's known revenue per acre; ties go to the alphabetically first
     crop, and a county-year without any revenue has neither scores nor a crop.
-    ``annual`` is a season table with ``year``, ``countyFips`` and ``stateCode``.
+    ``annual`` is a season table with ``year``, ``countyFips`` and ``stateCode``, one row
+    for each; a second row for a county-year fails at run time (see ``gold.county_seasons``).
     """
     keys = ["year", "countyFips", "stateCode"]
     top = f"greatest({', '.join(CROP_NAMES)})"
@@ -90,5 +91,8 @@ def optimal_mix(profitability: DataFrame, annual: DataFrame | None = None) -> Da
     )
     if annual is None:
         return mix
-    summary = annual.select(*keys, F.struct(*annual.columns).alias("weatherSummary"))
+    rows = annual.groupBy(*keys).agg(
+        F.min(F.struct(*annual.columns)).alias("row"), F.count("*").alias("n"))
+    several = F.raise_error(F.concat_ws(" ", F.lit("several season rows for"), *keys))
+    summary = rows.select(*keys, F.when(F.col("n") == 1, F.col("row")).otherwise(several).alias("weatherSummary"))
     return mix.join(summary, keys, "left")

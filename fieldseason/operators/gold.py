@@ -15,7 +15,7 @@ from fieldseason.functions.calendar import (
     month_day,
 )
 from fieldseason.functions.columns import named
-from fieldseason.functions.numeric import MILLION, decimal_value, millionths, round_ratio
+from fieldseason.functions.numeric import PARTS, decimal_value, parts, round_ratio
 from fieldseason.functions.weather import (
     FROST_F,
     GDD_BASE_F,
@@ -65,6 +65,7 @@ def temp_availability(daily: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .selectExpr(
             "*",
             "format_string('%.0f%%', tempDays * 100D / totalDays) as pct",
+            # Fixed value: the text of the warning.
             "case when tempDays = 0 then 'NO TEMPERATURE DATA' else '' end as warning",
         )
         .orderBy(*by, "year")
@@ -101,12 +102,12 @@ def segment_totals(
     )
     return placed.groupBy("stationId", "year", F.expr(segments.segment("mmdd")).alias("segment")).agg(
         *named(
-            gdd=f"sum({millionths(growing_degrees('tempMaxF', 'tempMinF', base, cap))})",
-            precip=f"sum({millionths('coalesce(precipIn, 0D)')})",
-            snow=f"sum({millionths('coalesce(snowIn, 0D)')})",
+            gdd=f"sum({parts(growing_degrees('tempMaxF', 'tempMinF', base, cap))})",
+            precip=f"sum({parts('coalesce(precipIn, 0D)')})",
+            snow=f"sum({parts('coalesce(snowIn, 0D)')})",
             frostFree=f"sum({frost_free('tempMinF', frost)})",
             heat=f"sum({heat_stress('tempMaxF', heat)})",
-            temp=f"sum({millionths('tempAvgF')})",
+            temp=f"sum({parts('tempAvgF')})",
             tempDays="count(tempAvgF)",
         )
     )
@@ -138,15 +139,15 @@ def season_long(
     summed = placed.groupBy("stationId", "year", "window").agg(*named(**{
         c: f"sum(coalesce({c}, 0) * inside)" for c in _SUMMED
     }))
-    rounded = summed.selectExpr("*", f"{round_ratio('precip', str(MILLION), 2)} as precipCents")
+    rounded = summed.selectExpr("*", f"{round_ratio('precip', str(PARTS), 2)} as precipCents")
     return drought_index(rounded).selectExpr(
         "stationId", "year", "window",
-        f"{decimal_value(round_ratio('gdd', str(MILLION), 1), 1)} as gdd",
+        f"{decimal_value(round_ratio('gdd', str(PARTS), 1), 1)} as gdd",
         f"{decimal_value('precipCents', 2)} as precipIn",
         "cast(frostFree as int) as frostFreeDays",
         "cast(heat as int) as heatStressDays",
-        f"coalesce({decimal_value(round_ratio('temp', f'(tempDays * {MILLION})', 1), 1)}, 0D) as avgTempF",
-        f"{decimal_value(round_ratio('snow', str(MILLION), 2), 2)} as snowIn",
+        f"coalesce({decimal_value(round_ratio('temp', f'(tempDays * {PARTS})', 1), 1)}, 0D) as avgTempF",
+        f"{decimal_value(round_ratio('snow', str(PARTS), 2), 2)} as snowIn",
         "droughtIndex",
     )
 
@@ -204,3 +205,21 @@ def season_weather(
     ids = ["stationId", "year"] if station is None else ["year"]
     marked = wide.withColumns({"countyFips": F.lit(county_fips), "stateCode": F.lit(state)})
     return marked.selectExpr(*ids, "countyFips", "stateCode", *wide.columns[2:])
+
+
+def county_seasons(
+    days: DataFrame, counties: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS
+) -> DataFrame:
+    """The yearly table of every county that has a station, one row per county-year.
+
+    ``counties`` maps ``stationId`` to ``countyFips`` and ``stateCode``, each station once.
+    Of a county's stations the one with the smallest id that has the year speaks for it.
+    """
+    wide = season_wide(season_long(days, windows), windows)
+    single = counties.groupBy("stationId").agg(
+        F.min(F.struct("countyFips", "stateCode")).alias("c"), F.count("*").alias("n"))
+    twice = F.raise_error(F.concat(F.lit("several counties for "), F.col("stationId")))
+    mapped = single.select("stationId", F.when(F.col("n") == 1, F.col("c")).otherwise(twice).alias("c"))
+    first = F.min(F.struct("stationId", F.struct(*wide.columns[2:]).alias("metrics"))).alias("first")
+    placed = wide.join(mapped, "stationId").groupBy("year", "c.countyFips", "c.stateCode").agg(first)
+    return placed.select("year", "countyFips", "stateCode", "first.stationId", "first.metrics.*")

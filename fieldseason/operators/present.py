@@ -7,12 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.functions.calendar import GROWING_SEASON, MONTHS, PHASES, WINDOWS
+from fieldseason.functions.calendar import GROWING_SEASON, MONTHS, PHASES, WINDOWS, CalendarWindow
 from fieldseason.functions.columns import named
 from fieldseason.functions.numeric import to_fixed
 from fieldseason.functions.weather import condition, frost_free, growing_degrees, heat_stress
 from fieldseason.operators.gold import METRICS, wide_column
 
+# Metric -> the daily field it is taken from on the daily grain; drought has none.
+DAILY_METRICS = {
+    "gdd": "dailyGdd",
+    "precipIn": "precipIn",
+    "frostFreeDays": "frostFreeFlag",
+    "heatStressDays": "heatStressFlag",
+    "avgTempF": "tempAvgF",
+    "snowIn": "snowIn",
+}
+
 NO_READING = "--"
 
 
@@ -34,13 +44,19 @@ def latest_reading(daily: DataFrame, station: str | None = None) -> DataFrame:
     )
 
 
+def _years(first: int, last: int | None = None) -> str:
+    """Whole calendar years as bounds of the date itself, which reach a stored table's scan."""
+    until = "" if last is None else f" and date < make_date({last + 1}, 1, 1)"
+    return f"date >= make_date({first}, 1, 1){until}"
+
+
 def daily_drilldown(daily: DataFrame, station: str | None, from_year: int) -> DataFrame:
     """Days from a year on that are not suspect, with degree days and day flags.
 
     Days without temperatures stay, for their precipitation and snow.
     """
     own = daily if station is None else daily.filter(F.col("stationId") == station)
-    return own.filter(f"qualityFlag != 'SUSPECT' and year(date) >= {from_year}").selectExpr(
+    return own.filter(f"qualityFlag != 'SUSPECT' and {_years(from_year)}").selectExpr(
         "*",
         f"{growing_degrees('tempMaxF', 'tempMinF')} as dailyGdd",
         f"{frost_free('tempMinF')} as frostFreeFlag",
@@ -53,12 +69,12 @@ def drop_empty_years(annual: DataFrame) -> DataFrame:
     return annual.filter("frostFreeDays > 0 or growingDegreeDays > 0 or totalPrecipIn > 0")
 
 
-def melt_metrics(annual: DataFrame) -> DataFrame:
-    """The yearly table with a row per window and metric."""
+def melt_metrics(annual: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS) -> DataFrame:
+    """A stored yearly table with a row per window and metric; see ``melt_long`` for rows still long."""
     ids = [c for c in ("stationId", "year") if c in annual.columns]
     cells = [
         f"'{w.key}', '{metric}', cast({wide_column(w.key, metric)} as double)"
-        for w in WINDOWS
+        for w in windows
         for metric in METRICS
     ]
     return annual.selectExpr(
@@ -66,9 +82,24 @@ def melt_metrics(annual: DataFrame) -> DataFrame:
     )
 
 
+def melt_long(long: DataFrame) -> DataFrame:
+    """Season rows, any windows, with a row per metric: no detour over the wide table."""
+    return _melted(long, ["stationId", "year", "window"], {m: m for m in METRICS})
+
+
+def melt_daily(drilldown: DataFrame) -> DataFrame:
+    """Drill-down days with a row per metric that a day has."""
+    return _melted(drilldown, ["stationId", "date"], DAILY_METRICS)
+
+
+def _melted(df: DataFrame, ids: Sequence[str], metrics: dict[str, str]) -> DataFrame:
+    cells = ", ".join(f"'{metric}', cast({column} as double)" for metric, column in metrics.items())
+    return df.selectExpr(*ids, f"stack({len(metrics)}, {cells}) as (metric, value)")
+
+
 def slice_daily(daily: DataFrame, first: int, last: int, window: str = GROWING_SEASON.key) -> DataFrame:
     """Days of a range of years, of one month or crop phase if named."""
-    days = daily.filter(f"year(date) between {first} and {last}")
+    days = daily.filter(_years(first, last))
     if window == GROWING_SEASON.key:
         return days
     months = [w.key for w in MONTHS]
@@ -83,10 +114,10 @@ def slice_annual(annual: DataFrame, first: int, last: int) -> DataFrame:
     return annual.filter(f"year between {first} and {last}")
 
 
-def choose_grain(daily: DataFrame, first: int, last: int) -> DataFrame:
-    """One row: ``daily`` for at most five years of which days exist, else ``annual``."""
-    found = daily.filter(f"year(date) between {first} and {last}").limit(1)
-    short = str(last - first <= 4).lower()
+def choose_grain(drilldown: DataFrame, first: int, last: int, max_years: int = 5) -> DataFrame:
+    """One row: ``daily`` for at most ``max_years`` years of which drill-down days exist, else ``annual``."""
+    found = drilldown.filter(_years(first, last)).limit(1)
+    short = str(last - first < max_years).lower()
     return found.agg(F.count("*").alias("n")).selectExpr(
         f"{first} as firstYear",
         f"{last} as lastYear",
@@ -139,10 +170,11 @@ def season_table(long: DataFrame, window: str = GROWING_SEASON.key) -> DataFrame
 # --- exports ------------------------------------------------------------------
 
 
-def export_annual(annual: DataFrame) -> DataFrame:
-    """One JSON object per yearly row, nulls kept."""
-    metrics = [wide_column(w.key, m) for w in WINDOWS for m in METRICS]
-    return annual.selectExpr("year", _json(["year", *metrics]))
+def export_annual(annual: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS) -> DataFrame:
+    """One JSON object per yearly row, nulls kept, and its station where the table has one."""
+    metrics = [wide_column(w.key, m) for w in windows for m in METRICS]
+    ids = [c for c in ("stationId", "year") if c in annual.columns]
+    return annual.selectExpr(*ids, _json([*ids, *metrics]))
 
 
 # Fields of an exported day.
@@ -153,9 +185,12 @@ DAY_FIELDS = (
 
 
 def export_daily(drilldown: DataFrame) -> DataFrame:
-    """One JSON object per drill-down day; an unknown phase flag is written as false."""
+    """One JSON object per drill-down day; an unknown phase flag is written as false.
+
+    The rows, not the objects, name the station.
+    """
     known = drilldown.fillna(False, subset=[w.key for w in PHASES])
-    return known.selectExpr("date", _json(DAY_FIELDS))
+    return known.selectExpr("stationId", "date", _json(DAY_FIELDS))
 
 
 def _json(columns: Sequence[str]) -> str:

@@ -29,7 +29,7 @@ _QUALITY_FLAG = f"{quality_flag('anySuspect', 'presentCount')} as qualityFlag"
 
 def _element_values(elements: Sequence[str], prefix: str = "") -> dict[str, str]:
     # max, not first: equal for unique keys and independent of row order otherwise.
-    return {prefix + e: f"max(case when dataType = '{e}' then value end)" for e in elements}
+    return {prefix + e: f"max(case when dataType = {quoted(e)} then value end)" for e in elements}
 
 
 def flag_suspect(obs: DataFrame) -> DataFrame:
@@ -130,24 +130,13 @@ def _by_date(histogram: DataFrame, supplemental: bool) -> DataFrame:
     )
 
 
-def pool_medians(
-    obs: DataFrame, exclude: Sequence[str] = (), method: str = "exact", accuracy: int = 10000
-) -> DataFrame:
+def pool_medians(obs: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Lower median of each temperature per date over all stations but ``exclude``.
 
-    Every date of the table has a row; without readings its medians are null.
-    ``exact`` counts readings; ``approx`` uses the ``percentile_approx`` sketch,
-    which gives the same value while a date has few readings.
+    Every date of the table has a row; without readings its medians are null. Equal
+    readings are counted first, so a date's task holds its different readings only.
     """
-    if method == "exact":
-        return _by_date(_temperature_histogram(obs, exclude, None), supplemental=False)
-    if method != "approx":
-        raise ValueError(f"unknown method: {method}")
-    return obs.groupBy("date").agg(*named(**{
-        f"pool{e}": f"percentile_approx(case when dataType = '{e}' and {_pooled(exclude)}"
-        f" then value end, 0.5D, {accuracy})"
-        for e in TEMPERATURES
-    }))
+    return _by_date(_temperature_histogram(obs, exclude, None), supplemental=False)
 
 
 def fallback_temperatures(
@@ -251,7 +240,8 @@ def silver_weather(
     own = obs if anchor is None else obs.filter(F.col("stationId") == anchor)
     wide = day_wide(own)
     if stations is not None:
-        names = stations.selectExpr("id as stationId", "name as anchorName")
+        # A station may be listed on several pages: one name each, or its days would multiply.
+        names = stations.groupBy(F.col("id").alias("stationId")).agg(F.min("name").alias("anchorName"))
         wide = wide.join(names, "stationId", "left")
     filled = fill_temperature(wide, fallback)
     sourced = temp_provenance(filled, anchor_name, supplemental, supplemental_name)

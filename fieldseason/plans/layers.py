@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from fieldseason.operators.bronze import trim_after, upsert
 from fieldseason.operators.gold import season_weather
 from fieldseason.operators.silver import fallback_temperatures, silver_weather
 from fieldseason.schemas import OBSERVATIONS
-from fieldseason.sources.tables import append_absent, materialize, read_table, write_layer
+from fieldseason.sources.tables import materialize, read_table, upsert_stored, write_layer
 
 
 @dataclass(frozen=True)
@@ -35,20 +36,21 @@ def gold_for(daily: DataFrame, site: Site) -> DataFrame:
     return season_weather(daily, site.county_fips, site.state, site.station)
 
 
-def refresh(obs: DataFrame, new: DataFrame, site: Site) -> DataFrame:
-    """Incremental rows applied, then the season table, as one plan."""
-    return gold_for(silver_for(upsert(obs, new), site), site)
+def refresh(obs: DataFrame, new: DataFrame, site: Site, on_conflict: str = "replace") -> DataFrame:
+    """Incremental rows applied by ``upsert``'s rule, then the season table, as one plan."""
+    return gold_for(silver_for(upsert(obs, new, on_conflict=on_conflict), site), site)
 
 
 def refresh_stored(
-    spark: SparkSession, path: str, new: DataFrame, site: Site
+    spark: SparkSession, path: str, new: DataFrame, site: Site, on_conflict: str = "replace",
+    partition_by: Sequence[str] = ("stationId",),
 ) -> DataFrame:
-    """The same over a stored table: rows it lacks are appended, then it is read again.
+    """The same over a stored table, by the same rule: it is brought up to date, then read again.
 
-    Nothing stored is rewritten, and the later layers read files where ``refresh``
-    would apply the new rows once for the daily rows and once for the medians.
+    The later layers read files, where ``refresh`` would apply the new rows once for the
+    daily rows and once for the medians. Runs its writes when called.
     """
-    append_absent(new, path)
+    upsert_stored(new, path, on_conflict, partition_by)
     return gold_for(silver_for(read_table(spark, path, OBSERVATIONS), site), site)
 
 

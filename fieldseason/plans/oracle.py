@@ -149,7 +149,7 @@ _WINDOW_ROWS = ", ".join(f"('{w.key}', {w.first}, {w.last})" for w in WINDOWS)
 
 
 def _sum(value: str) -> str:
-    return f"cast(coalesce(sum(cast(round({value} * 1e6) as bigint)), 0) as bigint)"
+    return f"coalesce(sum(cast({value} as decimal(24, 12))), 0)"
 
 
 _TOTALS = f"""select y.stationId, y.year, w.win,
@@ -163,14 +163,14 @@ _TOTALS = f"""select y.stationId, y.year, w.win,
       case when f <= l then month(d.date) * 100 + day(d.date) between f and l
            else month(d.date) * 100 + day(d.date) >= f or month(d.date) * 100 + day(d.date) <= l end
     group by y.stationId, y.year, w.win"""
-_CENTS = f"""select *, cast({_half_up('p', '1000000', 2)} as bigint) as pc from totals"""
+_CENTS = """select *, cast(round(p, 2) * 100 as bigint) as pc from totals"""
 _MEANS = """select *, sum(pc) over (partition by stationId, win) as ps,
       count(*) over (partition by stationId, win) as pn from cents"""
 _LONG = f"""select stationId, cast(year as integer) as year, win as "window",
-      {_decimal('g', '1000000', 1)} as gdd, cast(pc as double) / 100.0 as precipIn,
+      cast(round(g, 1) as double) as gdd, cast(pc as double) / 100.0 as precipIn,
       cast(ff as integer) as frostFreeDays, cast(hs as integer) as heatStressDays,
-      coalesce({_decimal('t', '(tn * 1000000)', 1)}, 0.0) as avgTempF,
-      {_decimal('s', '1000000', 2)} as snowIn,
+      coalesce({_decimal('cast(t * 1000000 as hugeint)', 'cast(tn * 1000000 as hugeint)', 1)}, 0.0) as avgTempF,
+      cast(round(s, 2) as double) as snowIn,
       {_decimal('(pn * pc - ps)', 'ps', 4)} as droughtIndex
     from means"""
 _GOLD_COLUMNS = ", ".join(
@@ -213,8 +213,26 @@ _OLD = f"select * from base where date <= '{q.OLD_UNTIL}'"
 _SAME_KEY = "a.stationId = b.stationId and a.date = b.date and a.dataType = b.dataType"
 
 
-def _absent(rows: str, table: str) -> str:
-    return f"select * from {rows} a where not exists (select 1 from {table} b where {_SAME_KEY})"
+def _single(rows: str) -> str:
+    """One row per key: the largest value that is known."""
+    return f"""(select stationId, date, dataType, value, attributes from (select *, row_number() over (
+        partition by stationId, date, dataType order by value desc nulls last, attributes desc nulls last) as rn
+      from {rows}) where rn = 1)"""
+
+
+def _kept(old: str, new: str) -> str:
+    """Stored rows, and of the new ones what is no reading for a reading."""
+    return f"""select * from {old} union all select a.* from {_single(new)} a
+      where not exists (select 1 from {old} b where {_SAME_KEY})
+        or (a.value is not null and not exists (select 1 from {old} b where {_SAME_KEY} and b.value is not null))"""
+
+
+def _replaced(old: str, new: str) -> str:
+    """New readings for stored rows; new nulls only where nothing is stored."""
+    return f"""select * from {old} a where not exists (
+        select 1 from {new} b where {_SAME_KEY} and b.value is not null)
+      union all select a.* from {_single(new)} a where a.value is not null
+        or not exists (select 1 from {old} b where {_SAME_KEY})"""
 
 
 _PARTS = {
@@ -292,13 +310,26 @@ def _gold(body: str, parts=(), **replaced: str) -> str:
     return _sql(body, (*parts, *_ANCHOR, *_SEASON, "gold_all", "gold"), **replaced)
 
 
-_PROFILE = """select stationId, dataType, count(*) as n, count(value) as nValues,
-    count(attributes) as nAttributes, min(date) as firstDate, max(date) as lastDate,
-    max(value) as maxValue from {} group by stationId, dataType"""
+_MIX = """from (
+                 select year, countyFips, stateCode, max(revenueUsdAcre) as top,
+                   max(crop) filter (where rn = 1 and revenueUsdAcre is not null) as recommendedCrop
+                 from (select *, row_number() over (partition by year, countyFips, stateCode
+                         order by revenueUsdAcre desc nulls last, crop) as rn from profit)
+                 group by year, countyFips, stateCode) m"""
+_PROFILE = """select stationId, date, dataType, value, attributes, count(*) as n from {}
+    group by stationId, date, dataType, value, attributes"""
 _COUNTS = """select count(*) as rowsBefore, count(*) filter (where {0}) as rowsDeleted,
     count(*) filter (where not ({0})) as rowsRemaining from obs"""
 _UPSERTED = """select stationId, date, dataType, value, count(*) as n from ({})
     group by stationId, date, dataType, value"""
+_UNREAD = """select stationId, date, dataType,
+    case when substring(date, 10, 1) <> '{1}' then value end as value, attributes from {0}"""
+_UNPIVOTED = " union all ".join(
+    f"""select stationId, date, '{e}' as dataType, {e} as value, cast(null as varchar) as attributes from wide"""
+    for e in _ELEMENTS
+)
+# Days of which a response that holds no summary was landed as well.
+_BAD_DAY = "substring(date, 9, 2) in ('05', '06', '07')"
 _FLAGS = """, case when tempMaxF is not null and tempMinF is not null then {} end as dailyGdd,
     case when tempMinF > 32.0 then 1 else 0 end as frostFreeFlag,
     case when tempMaxF > 95.0 then 1 else 0 end as heatStressFlag""".format(_GDD)
@@ -383,6 +414,14 @@ _MELTED = " union all ".join(
 
 
 def texts() -> dict[str, str]:
+    found = _texts()
+    # Stations listed twice change nothing.
+    found["inventory_repeated_stations"] = found["station_inventory"]
+    found["gap_ranges_repeated_stations"] = found["gap_ranges_by_station"]
+    return found
+
+
+def _texts() -> dict[str, str]:
     obs = ("obs",)
     supp = fixtures.SUPPLEMENTAL
     anchor = f"stationId = '{fixtures.ANCHOR}'"
@@ -393,19 +432,28 @@ def texts() -> dict[str, str]:
         "stored_table": _sql(_PROFILE.format("obs"), obs),
         "overwrite_station": _sql(_PROFILE.format(f"({_STATION_CUT})"), obs),
         "append_absent": _sql(
-            _PROFILE.format(f"(select * from old union all {_absent('newer', 'old')})"),
+            _PROFILE.format(f"({_kept('old', 'newer')})"),
             ("base", "old", "newer"), base=_PARTS["obs"], old=_OLD, newer=_NEWER,
         ),
         "replace_station": _sql(_PROFILE.format(f"({_STATION_CUT})"), obs),
         "read_or_seed": _sql(_PROFILE.format("obs"), obs),
         "daily_json_unpivot": _sql(
-            " union all ".join(
-                f"""select stationId, date, '{e}' as dataType, {e} as value,
-                  cast(null as varchar) as attributes from wide"""
-                for e in _ELEMENTS
-            ),
+            _UNPIVOTED,
+            ("obs", "wide"),
+        ),
+        "daily_json_with_errors": _sql(
+            f"""select l.*, (select count(*) + count(*) filter (where {_BAD_DAY}) from wide) as responses,
+                 (select count(*) filter (where {_BAD_DAY}) from wide) as rejected
+               from ({_UNPIVOTED}) l""",
             ("obs", "wide"),
         ),
+        "landed_stream": _sql(
+            _PROFILE.format(f"({_kept('old', 'newer')})"), ("obs", "wide", "newer", "old"),
+            newer=_UNPIVOTED,
+            old=f"""select stationId, date, dataType,
+                case when substring(date, 10, 1) <> '3' then value end as value, attributes
+              from newer where date <= '{q.OLD_UNTIL}'""",
+        ),
         "crop_json": _sql(
             """select case when commodity <> 'WHEAT' then year else '' end as year,
                  * exclude (year) from crops""",
@@ -424,7 +472,7 @@ def texts() -> dict[str, str]:
         ),
         "export_annual": _gold(f"select year, {_ANNUAL_JSON} as json from gold"),
         "export_daily": _anchor(
-            f"""select date, {_DAILY_JSON} as json from (select *{_FLAGS} from daily
+            f"""select stationId, date, {_DAILY_JSON} as json from (select *{_FLAGS} from daily
                where qualityFlag <> 'SUSPECT' and year(date) >= {q.FIRST_YEAR})"""
         ),
         "silver_without_supplemental": _anchor(
@@ -455,11 +503,22 @@ def texts() -> dict[str, str]:
                 base=_PARTS["obs"], old=_OLD, newer=_NEWER,
             )
             for mode, rows in {
-                "replace": f"{_absent('old', 'newer')} union all select * from newer",
-                "keep": f"select * from old union all {_absent('newer', 'old')}",
+                "replace": _replaced("old", "newer"),
+                "keep": _kept("old", "newer"),
                 "append": "select * from old union all select * from newer",
             }.items()
         },
+        "upsert_late_reading": _sql(
+            _UPSERTED.format(_kept("late", "obs")), ("obs", "late"), late=_UNREAD.format("obs", 3),
+        ),
+        "upsert_null_new": _sql(
+            _UPSERTED.format(_replaced("obs", "late")), ("obs", "late"), late=_UNREAD.format("obs", 4),
+        ),
+        "upsert_repeated_new": _sql(
+            _UPSERTED.format(_kept("old", "again")), ("base", "old", "newer", "again"),
+            base=_PARTS["obs"], old=_OLD, newer=_NEWER,
+            again="select * from newer union all select * replace (value / 4 as value) from newer",
+        ),
         "delete_month": _sql(
             _PROFILE.format(f"(select * from obs where date not like '{q.DELETED_MONTH}%')"), obs
         ),
@@ -552,6 +611,7 @@ def texts() -> dict[str, str]:
         ),
         "silver_weather": _anchor("select * from daily"),
         "silver_all_stations": _all_stations("select * from daily_all"),
+        "silver_repeated_stations": _all_stations("select * from daily_all"),
         "rows_per_year": _anchor(
             """select cast(year(date) as integer) as year, count(*) as rowCount
                from daily group by all"""
@@ -635,6 +695,17 @@ def texts() -> dict[str, str]:
                  and g.stateCode = m.stateCode""",
             ("crops", "records", "profit"),
         ),
+        "optimal_mix_all_counties": _sql(
+            f"""select m.year, m.countyFips, m.stateCode, recommendedCrop, top as topCropRevenue,
+                 g.stationId, g.growingDegreeDays, g.totalPrecipIn, g.julAvgTempF
+               {_MIX}
+               left join (select * exclude (countyFips, stateCode), c.countyFips, c.stateCode,
+                   row_number() over (partition by year, c.countyFips, c.stateCode order by stationId) as rn
+                 from gold_all join counties c using (stationId)) g
+                 on g.year = m.year and g.countyFips = m.countyFips and g.stateCode = m.stateCode and g.rn = 1""",
+            ("crops", "records", "profit", "counties", *_SILVER, *_SEASON, "gold_all"),
+            qualified=_qualified("daily_all"), counties=fixtures.COUNTIES.format(supplier="supplier"),
+        ),
         # season table
         "temp_availability": _anchor(
             f"""select year, totalDays, tempDays,
@@ -680,7 +751,9 @@ def texts() -> dict[str, str]:
                where frostFreeDays > 0 or growingDegreeDays > 0 or totalPrecipIn > 0""",
             ("base",),
             base=_PARTS["obs"],
-            obs="select * from base where date between '1995-12-01' and '2001-03-15'",
+            obs="""select stationId, date, dataType, value,
+                case when date between '1998-03-15' and '1998-12-05' then ',X,S' else attributes end as attributes
+              from base""",
         ),
         "melt_metrics": _gold(_MELTED),
         "slice_daily_all": _anchor(_slice("true")),
@@ -693,7 +766,7 @@ def texts() -> dict[str, str]:
         "choose_grain": _anchor(
             f"""select cast(a as integer) as firstYear, cast(b as integer) as lastYear,
                   case when b - a <= 4 and exists
-                    (select 1 from daily where year(date) between a and b)
+                    (select 1 from daily where qualityFlag <> 'SUSPECT' and year(date) between a and b)
                     then 'daily' else 'annual' end as grain
                 from (values ({q.FIRST_YEAR}, {q.LAST_YEAR}), (1995, 2001), (2010, 2012)) r(a, b)"""
         ),
@@ -702,6 +775,18 @@ def texts() -> dict[str, str]:
                   max(value) as maxValue, {_rounded('stddev_pop(value)')} as stddevValue
                 from ({_MELTED}) group by "window", metric"""
         ),
+        "summary_stats_daily": _all_stations(
+            f"""select stationId, metric, {_rounded('avg(value)')} as avgValue, min(value) as minValue,
+                  max(value) as maxValue, {_rounded('stddev_pop(value)')} as stddevValue
+                from (
+                  select stationId, unnest(['gdd', 'precipIn', 'frostFreeDays', 'heatStressDays', 'avgTempF', 'snowIn'])
+                      as metric,
+                    unnest([dailyGdd, precipIn, cast(frostFreeFlag as double), cast(heatStressFlag as double),
+                            tempAvgF, snowIn]) as value
+                  from (select *{_FLAGS} from daily_all where qualityFlag <> 'SUSPECT'
+                          and year(date) between {q.FIRST_YEAR} and {q.LAST_YEAR}))
+                where value is not null group by stationId, metric"""
+        ),
         "condition_tags": _season_all(
             f"""select stationId, year, "window", droughtIndex, heatStressDays, {_TAG} as condition
                 from long"""
@@ -712,12 +797,15 @@ def texts() -> dict[str, str]:
         "refresh": _gold(
             "select * from gold", ("base", "old", "newer"),
             base=_PARTS["obs"], old=_OLD, newer=_NEWER,
-            obs=f"{_absent('old', 'newer')} union all select * from newer",
+            obs=_replaced("old", "newer"),
         ),
         "refresh_stored": _gold(
             "select * from gold", ("base", "old", "newer"),
-            base=_PARTS["obs"], old=_OLD, newer=_NEWER,
-            obs=f"select * from old union all {_absent('newer', 'old')}",
+            base=_PARTS["obs"], old=_OLD, newer=_NEWER, obs=_replaced("old", "newer"),
+        ),
+        "refresh_stored_keep": _gold(
+            "select * from gold", ("base", "old", "newer"),
+            base=_PARTS["obs"], old=_OLD, newer=_NEWER, obs=_kept("old", "newer"),
         ),
         "rebuild": _gold(
             "select * from gold", ("base",), base=_PARTS["obs"],

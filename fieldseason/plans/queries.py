@@ -13,6 +13,7 @@ from fieldseason.operators import bronze, crops, gold, present, silver
 from fieldseason.plans import layers
 from fieldseason.schemas import CROP_RECORDS, ELEMENTS, OBSERVATIONS
 from fieldseason.sources import fixtures, landed, reports, tables
+from fieldseason.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,14 +67,8 @@ def gold_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _table_profile(obs: DataFrame) -> DataFrame:
-    return obs.groupBy("stationId", "dataType").agg(
-        F.count("*").alias("n"),
-        F.count("value").alias("nValues"),
-        F.count("attributes").alias("nAttributes"),
-        F.min("date").alias("firstDate"),
-        F.max("date").alias("lastDate"),
-        F.max("value").alias("maxValue"),
-    )
+    """Whole rows, and how often each occurs, as the derived table has repeated ones."""
+    return obs.groupBy(*OBSERVATIONS.names).agg(F.count("*").alias("n"))
 
 
 @_query
@@ -146,6 +141,46 @@ def daily_json_unpivot(spark: SparkSession, sf: str) -> DataFrame:
     return landed.unpivot_daily_json(landed.read_daily_json(spark, path, multi_line=False))
 
 
+def _responses(spark: SparkSession, sf: str) -> str:
+    """A response per station-day, a line of JSON; some are errors, pages or cut off."""
+    wide = silver.pivot_elements(obs_of(spark, sf))
+    summary = F.to_json(F.struct(F.col("stationId").alias("STATION"), F.col("date").alias("DATE"), *ELEMENTS))
+    error = F.to_json(F.struct(F.lit("invalid").alias("errorCode"), F.col("date").alias("errorMessage")))
+    path = tables.scratch_path(spark, "responses")
+    day = F.substring("date", 9, 2)
+    reports.write_json_rows(wide.select(F.explode(F.array(
+        summary,
+        F.when(day == "05", error),
+        F.when(day == "06", F.concat(F.lit("<html>"), F.col("date"), F.lit("</html>"))),
+        F.when(day == "07", F.substring(summary, 1, 20)),
+    )).alias("json")).filter("json is not null"), path)
+    return path
+
+
+@_query
+def daily_json_with_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Summaries among responses that hold none: no row comes of the others, which are counted."""
+    path = _responses(spark, sf)
+    counted = landed.rejected_responses(spark, path, multi_line=False)
+    rows = landed.unpivot_daily_json(landed.read_daily_json(spark, path, multi_line=False))
+    return rows.withColumns({
+        "responses": counted.select("responses").scalar(), "rejected": counted.select("rejected").scalar()})
+
+
+@_query
+def landed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The incremental update as a stream, over a table partitioned by year that has a part of the days."""
+    obs = obs_of(spark, sf)
+    path = tables.scratch_path(spark, "observations")
+    stored = silver.pivot_elements(obs).unpivot(["stationId", "date"], list(ELEMENTS), "dataType", "value")
+    stored = stored.withColumn("attributes", F.lit(None).cast("string")).withColumn(
+        "value", F.when(F.substring("date", 10, 1) != "3", F.col("value")))
+    tables.write_layer(stored.filter(F.col("date") <= OLD_UNTIL), path, ["year"])
+    ingest.apply_landed(
+        spark, _responses(spark, sf), path, tables.scratch_path(spark, "stream")).awaitTermination()
+    return _table_profile(tables.read_table(spark, path, OBSERVATIONS))
+
+
 @_query
 def crop_json(spark: SparkSession, sf: str) -> DataFrame:
     """Crop statistics landed as JSON responses."""
@@ -270,6 +305,38 @@ def upsert_keep(spark: SparkSession, sf: str) -> DataFrame:
     return _upserted(spark, sf, "keep")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("stationId", "date", "dataType", "value").agg(F.count("*").alias("n"))
+
+
+def _unread(obs: DataFrame, digit: str) -> DataFrame:
+    """The table as it was before the readings of some days were known."""
+    return obs.withColumn("value", F.when(F.substring("date", 10, 1) != digit, F.col("value")))
+
+
+@_query
+def upsert_late_reading(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings that come after their days were stored without them."""
+    obs = obs_of(spark, sf)
+    return _counted(bronze.upsert(_unread(obs, "3"), obs, on_conflict="keep"))
+
+
+@_query
+def upsert_null_new(spark: SparkSession, sf: str) -> DataFrame:
+    """New rows without readings take nothing from the table."""
+    obs = obs_of(spark, sf)
+    return _counted(bronze.upsert(obs, _unread(obs, "4"), on_conflict="replace"))
+
+
+@_query
+def upsert_repeated_new(spark: SparkSession, sf: str) -> DataFrame:
+    """Each new key several times: one row of each is added."""
+    obs = obs_of(spark, sf)
+    newer = _newer(obs)
+    again = newer.unionByName(newer.withColumn("value", F.col("value") / 4))
+    return _counted(bronze.upsert(obs.filter(F.col("date") <= OLD_UNTIL), again, on_conflict="keep"))
+
+
 @_query
 def upsert_append(spark: SparkSession, sf: str) -> DataFrame:
     return _upserted(spark, sf, "append")
@@ -434,6 +501,27 @@ def silver_all_stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def silver_repeated_stations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every station listed twice: the daily table of all stations stays as it is."""
+    stations = fixtures.stations(spark, sf)
+    return layers.all_stations_silver(
+        obs_of(spark, sf), stations.unionByName(stations), SITE.supplemental, SITE.supplemental_name)
+
+
+@_query
+def inventory_repeated_stations(spark: SparkSession, sf: str) -> DataFrame:
+    stations = fixtures.stations(spark, sf)
+    return bronze.station_inventory(obs_of(spark, sf), stations.unionByName(stations), 1995, 2002)
+
+
+@_query
+def gap_ranges_repeated_stations(spark: SparkSession, sf: str) -> DataFrame:
+    stations = _station_ids(spark, sf)
+    marks = bronze.high_water_mark(obs_of(spark, sf), by="stationId")
+    return bronze.gap_ranges(bronze.mark_stations(stations.unionByName(stations), marks), TODAY)
+
+
 @_query
 def rows_per_year(spark: SparkSession, sf: str) -> DataFrame:
     return silver.rows_per_year(daily_of(spark, sf))
@@ -541,6 +629,17 @@ def optimal_mix(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def optimal_mix_all_counties(spark: SparkSession, sf: str) -> DataFrame:
+    """Every county-year, beside the season of the county's station."""
+    days = gold.qualified_days(daily_all_of(spark, sf))
+    seasons = gold.county_seasons(days, fixtures.counties(spark, sf))
+    mix, summary = crops.optimal_mix(_profitability(spark, sf), seasons), F.col("weatherSummary")
+    return mix.select(
+        "year", "countyFips", "stateCode", "recommendedCrop", "topCropRevenue",
+        *[summary[c].alias(c) for c in ("stationId", "growingDegreeDays", "totalPrecipIn", "julAvgTempF")])
+
+
 # --- season table -------------------------------------------------------------
 
 
@@ -611,8 +710,9 @@ def daily_drilldown(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def drop_empty_years(spark: SparkSession, sf: str) -> DataFrame:
-    """Over observations whose first and last year end before, or begin after, the season."""
-    obs = obs_of(spark, sf).filter(F.col("date").between("1995-12-01", "2001-03-15"))
+    """A year whose season is suspect has days in winter only."""
+    in_season = F.col("date").between("1998-03-15", "1998-12-05")
+    obs = obs_of(spark, sf).withColumn("attributes", F.when(in_season, F.lit(",X,S")).otherwise(F.col("attributes")))
     daily = silver.silver_weather(obs, SITE.station, SITE.supplemental, SITE.name)
     return present.drop_empty_years(layers.gold_for(daily, SITE)).select(
         "year", "frostFreeDays", "growingDegreeDays", "totalPrecipIn"
@@ -656,7 +756,7 @@ def slice_annual(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def choose_grain(spark: SparkSession, sf: str) -> DataFrame:
     """A short range with days, a range that is too long, and one without days."""
-    daily = daily_of(spark, sf)
+    daily = present.daily_drilldown(daily_of(spark, sf), SITE.station, 1995)
     return (
         present.choose_grain(daily, FIRST_YEAR, LAST_YEAR)
         .unionByName(present.choose_grain(daily, 1995, 2001))
@@ -667,7 +767,18 @@ def choose_grain(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def summary_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Statistics rounded below the precision at which the order of the sums shows."""
-    stats = present.summary_stats(present.melt_metrics(gold_of(spark, sf)))
+    return _stats(present.melt_long(long_of(daily_of(spark, sf))), ("window", "metric"))
+
+
+@_query
+def summary_stats_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over days, which have no drought index."""
+    days = present.daily_drilldown(daily_all_of(spark, sf), None, FIRST_YEAR)
+    return _stats(present.melt_daily(present.slice_daily(days, FIRST_YEAR, LAST_YEAR)), ("stationId", "metric"))
+
+
+def _stats(melted: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    stats = present.summary_stats(melted, by)
     return stats.withColumns({
         "avgValue": F.round("avgValue", 6), "stddevValue": F.round("stddevValue", 6)
     })
@@ -705,6 +816,15 @@ def refresh_stored(spark: SparkSession, sf: str) -> DataFrame:
     return layers.refresh_stored(spark, path, _newer(obs), SITE)
 
 
+@_query
+def refresh_stored_keep(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule that keeps stored readings, over a table partitioned by year: nothing is rewritten."""
+    obs = obs_of(spark, sf)
+    path = tables.scratch_path(spark, "observations")
+    tables.write_layer(obs.filter(F.col("date") <= OLD_UNTIL), path, ["year"])
+    return layers.refresh_stored(spark, path, _newer(obs), SITE, "keep", ["year"])
+
+
 @_query
 def rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return layers.rebuild(obs_of(spark, sf), CUTOFF, SITE)

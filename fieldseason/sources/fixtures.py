@@ -54,6 +54,15 @@ from {supplier}
 group by s_suppkey % 6
 """
 
+# Each station's county; two of the reporting ones share a county code in different states.
+COUNTIES = """
+select distinct concat('GHCND:ST', cast(s_suppkey % 6 as varchar(4))) as stationId,
+       lpad(cast(s_suppkey % 6 % 3 as varchar(3)), 3, '0') as countyFips,
+       case s_suppkey % 6 when 0 then 'NE' when 1 then 'KS' when 2 then 'IA' when 3 then 'MO'
+                          when 4 then 'KS' else 'NE' end as stateCode
+from {supplier}
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,3 +82,7 @@ def crop_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, STATIONS, "supplier")
+
+
+def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _view(spark, sf_dir, COUNTIES, "supplier")

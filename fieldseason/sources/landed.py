@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from fieldseason.schemas import CROP_STATISTICS, ELEMENTS, STATIONS
 
@@ -45,8 +46,44 @@ def daily_json_schema(elements: Sequence[str] = ELEMENTS) -> T.StructType:
 def read_daily_json(
     spark: SparkSession, path: str, elements: Sequence[str] = ELEMENTS, multi_line: bool = True
 ) -> DataFrame:
-    """Daily summaries. ``multi_line`` reads one array per file, else one object per line."""
-    return spark.read.schema(daily_json_schema(elements)).json(path, multiLine=multi_line)
+    """Daily summaries. ``multi_line`` reads one array per file, else one object per line.
+
+    Anything else, such as an error object or a page, gives no row of its own: see
+    ``rejected_responses``.
+    """
+    return summaries(spark.read, path, elements, multi_line)
+
+
+_BROKEN = "_broken"
+
+
+def summaries(
+    reader: DataFrameReader | DataStreamReader, path: str, elements: Sequence[str] = ELEMENTS, multi_line: bool = False
+) -> DataFrame:
+    """Objects with any field of a summary; those of error responses and broken text are left out."""
+    schema = daily_json_schema(elements)
+    found = reader.schema(T.StructType([*schema, T.StructField(_BROKEN, T.StringType())])).json(
+        path, multiLine=multi_line, columnNameOfCorruptRecord=_BROKEN)
+    return found.filter(F.col(_BROKEN).isNull() & F.coalesce(*schema.names).isNotNull()).select(*schema.names)
+
+
+def rejected_responses(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row: ``responses`` landed at ``path`` and how many of them were ``rejected``.
+
+    A response is a file, or a line. It is rejected when it is no array (a line: no object) that
+    can be parsed, or holds an object without a station, a day and any reading, as an error does.
+    An empty array is accepted.
+    """
+    text = spark.read.text(path, wholetext=multi_line).filter("trim(value) <> ''")
+    one = f"struct<{', '.join(f'{c}:string' for c in daily_json_schema().names)}>"
+    parsed = f"from_json(value, 'array<{one}>', map('mode', 'FAILFAST'))"
+    known = f"coalesce({', '.join(f'x.{c}' for c in daily_json_schema().names)}) is not null"
+    # A line's object is read as an array of one; parsing has to succeed before it is looked at.
+    kind = "try_parse_json(value) is not null and startswith(trim(value), '[')" if multi_line else (
+        "try_parse_json(value) is not null and startswith(trim(value), '{')")
+    return text.selectExpr(
+        f"case when coalesce({kind}, false) then forall({parsed}, x -> {known}) else false end as good"
+    ).agg(F.count("*").alias("responses"), F.count_if(~F.col("good")).alias("rejected"))
 
 
 def unpivot_daily_json(df: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:

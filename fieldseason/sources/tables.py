@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fieldseason.operators.bronze import absent_rows, from_first_date, only_station
+from fieldseason.operators.bronze import (
+    absent_rows,
+    from_first_date,
+    only_station,
+    require_new,
+    upsert,
+)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -29,18 +35,51 @@ def append_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _writer(df, partition_by).mode("append").parquet(path)
 
 
+def _placed(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """``df`` with the year of its date texts where a table is partitioned by year."""
+    if "year" in partition_by and "year" not in df.columns:
+        return df.withColumn("year", F.substring("date", 1, 4))
+    return df
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str]):
     if not partition_by:
         return df.write
+    df = _placed(df, partition_by)
     # Rebalancing gathers a partition's rows into few files, and splits a partition
     # that would be too large for one task.
     return df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
 
 
-def overwrite_station(new: DataFrame, path: str, station_id: str) -> None:
-    """Replace one station in a table partitioned by station. A re-run changes nothing."""
+def overwrite_station(
+    new: DataFrame, path: str, station_id: str, partition_by: Sequence[str] = ("stationId",)
+) -> None:
+    """Replace one station in a stored table. A re-run changes nothing.
+
+    ``new`` without a row is an error, as it would leave the station's old rows in place. A
+    table partitioned by other columns is rewritten in the partitions that hold the station.
+    """
+    require_new(new, station_id)
+    new = only_station(new, station_id)
+    if tuple(partition_by) != ("stationId",):
+        stored = _placed(read_table(new.sparkSession, path, new.schema), partition_by)
+        own = stored.filter(F.col("stationId").eqNullSafe(station_id))
+        touched = _placed(new, partition_by).select(*partition_by).union(own.select(*partition_by))
+        rest = _of_partitions(stored, touched, partition_by).filter(~F.col("stationId").eqNullSafe(station_id))
+        new = materialize(rest.select(*new.columns).unionByName(new), "station")
+    _overwrite_partitions(new, path, partition_by)
+
+
+def _of_partitions(stored: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    names = [f"_{c}" for c in partition_by]
+    touched = touched.distinct().toDF(*names)
+    same = [F.col(c).cast("string").eqNullSafe(F.col(n).cast("string")) for c, n in zip(partition_by, names, strict=True)]
+    return stored.join(touched, same, "left_semi")
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     (
-        _writer(only_station(new, station_id), ["stationId"])
+        _writer(df, partition_by)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
@@ -48,15 +87,38 @@ def overwrite_station(new: DataFrame, path: str, station_id: str) -> None:
 
 
 def append_absent(new: DataFrame, path: str, partition_by: Sequence[str] = ("stationId",)) -> None:
-    """Append the observations whose key the table does not hold.
+    """Append the observations that the table lacks, under the rule of ``absent_rows``.
 
     Only stored rows from the first new date on can share a key with the new ones, so
-    the comparison reads that part of the table. A re-run appends nothing.
+    the comparison reads that part of the table, and only its years where it is
+    partitioned by year. A re-run appends nothing. With many stations, partition by
+    ``year``: a batch then adds a few files, not one for each station.
     """
     stored = read_table(new.sparkSession, path, new.schema)
+    if "year" in partition_by:
+        stored = stored.filter(F.col("year") >= new.agg(F.substring(F.min("date"), 1, 4).cast("int")).scalar())
     append_layer(absent_rows(from_first_date(stored, new), new), path, partition_by)
 
 
+def upsert_stored(
+    new: DataFrame, path: str, on_conflict: str = "keep", partition_by: Sequence[str] = ("stationId",)
+) -> None:
+    """``bronze.upsert`` over a stored table, by its own conflict rule.
+
+    ``keep`` and ``append`` add files. ``replace`` rewrites the partitions that ``new``
+    touches: the merged rows are written aside first, so a re-run gives the same table.
+    """
+    if on_conflict == "append":
+        append_layer(new, path, partition_by)
+    elif on_conflict == "keep":
+        append_absent(new, path, partition_by)
+    else:
+        stored = _placed(read_table(new.sparkSession, path, new.schema), partition_by)
+        touched = _of_partitions(stored, _placed(new, partition_by).select(*partition_by), partition_by)
+        merged = upsert(touched.select(*new.columns), new, on_conflict=on_conflict)
+        _overwrite_partitions(materialize(merged, "upsert"), path, partition_by)
+
+
 def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -89,14 +151,16 @@ def read_or_seed(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Unset, a new temporary folder serves a local session, and only that.
+    Unset, one temporary folder serves a local session, and only that.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="fieldseason-")
+    folder = tempfile.mkdtemp(prefix="fieldseason-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

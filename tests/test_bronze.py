@@ -118,6 +118,29 @@ def test_upsert_keeps_earlier_and_undated_rows(obs, mode):
     assert sorted(r["value"] for r in undated.collect()) == [1.0, 2.0, 3.0, 5.0]
 
 
+@pytest.mark.parametrize("mode", ["replace", "keep"])
+def test_upsert_null_neither_blocks_nor_displaces_a_reading(obs, mode):
+    old = obs(("A", "2000-01-01", "TMAX", None), ("A", "2000-01-02", "TMAX", 9.0), ("A", "2000-01-03", "TMAX", None))
+    new = obs(("A", "2000-01-01", "TMAX", 9.0), ("A", "2000-01-02", "TMAX", None), ("A", "2000-01-03", "TMAX", None),
+              ("A", "2000-01-04", "TMAX", None), ("A", "2000-01-04", "TMAX", None))
+    found = rows(bronze.upsert(old, new, on_conflict=mode), "date", "value")
+    assert {(d, v) for d, v in found if v is not None} == {("2000-01-01", 9.0), ("2000-01-02", 9.0)}
+    assert [d for d, v in found if v is None and d > "2000-01-02"] == ["2000-01-03", "2000-01-04"]
+
+
+@pytest.mark.parametrize("mode", ["replace", "keep"])
+def test_upsert_takes_one_row_of_a_repeated_new_key(obs, mode):
+    new = obs(("A", "2000-01-01", "TMAX", 1.0), ("A", "2000-01-01", "TMAX", 3.0), ("A", "2000-01-01", "TMAX", None))
+    old = obs(("B", "2000-01-01", "TMAX", 2.0))
+    assert rows(bronze.upsert(old, new, on_conflict=mode), "value") == [(2.0,), (3.0,)]
+
+
+def test_replacing_a_station_by_nothing_is_an_error(obs):
+    old = obs(("A", "2000-01-01", "TMAX", 1.0))
+    with pytest.raises(ValueError):
+        bronze.replace_station(old, old.filter("false"), "A")
+
+
 def test_upsert_on_other_keys(obs):
     old = obs(("A", "2000-01-01", "TMAX", 1.0), ("B", "2000-01-01", "TMAX", 2.0))
     new = obs(("A", "2001-01-01", "TMAX", 3.0))

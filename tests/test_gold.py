@@ -155,18 +155,38 @@ def test_windows_add_up(days):
         assert abs(sum(indices)) < 3e-4
 
 
+def test_totals_are_not_quantised(spark):
+    daily = spark.range(204).selectExpr(
+        "'A' as stationId", "date_add(date '2001-04-01', cast(id as int)) as date", "60D as tempMaxF", "50D as tempMinF",
+        "55D as tempAvgF", "2.7D / 25.4D as precipIn", "0D as snowIn")
+    season = {r["window"]: r for r in gold.season_long(daily).collect()}
+    assert season["all"]["precipIn"] == 21.69
+    assert season["all"]["gdd"] == 204 * 5.0
+
+
+def test_a_countys_first_station_speaks_for_it(spark):
+    daily = spark.sql("""select stationId, date'2001-06-01' as date, 60D as tempMaxF, 50D as tempMinF, 55D as tempAvgF,
+        precip as precipIn, 0D as snowIn from values ('A', 1D), ('B', 2D), ('C', 3D) v(stationId, precip)""")
+    counties = spark.createDataFrame([("A", "001", "NE"), ("B", "001", "NE")], "stationId string, countyFips string, stateCode string")
+    found = gold.county_seasons(daily, counties).collect()
+    assert [(r["year"], r["countyFips"], r["stationId"], r["totalPrecipIn"]) for r in found] == [(2001, "001", "A", 1.0)]
+    twice = counties.union(spark.createDataFrame([("A", "002", "NE")], counties.schema))
+    with pytest.raises(Exception, match="several counties for A"):
+        gold.county_seasons(daily, twice).collect()
+
+
 def test_close_to_plain_double_arithmetic(spark, sf):
     daily = gold.qualified_days(silver.silver_weather(fixtures.observations(spark, sf), fixtures.ANCHOR))
     plain = gold.with_gdd(daily).groupBy("stationId", daily.date.substr(1, 4).cast("int").alias("year")).agg(
         *gold.named(
-            gdd="sum(case when month between 4 and 11 then gdd else 0 end)",
-            precip="sum(case when wheatGrowing then coalesce(precipIn, 0) else 0 end)",
+            gdd="round(sum(cast(case when month between 4 and 11 then gdd else 0 end as decimal(24, 12))), 1)",
+            precip="round(sum(cast(case when wheatGrowing then coalesce(precipIn, 0) else 0 end as decimal(24, 12))), 2)",
         )
     )
     table = gold.season_wide(gold.season_long(daily)).join(plain, ["stationId", "year"])
     for row in table.collect():
-        assert row["growingDegreeDays"] == pytest.approx(row["gdd"], abs=0.0501)
-        assert row["wheatGrowingPrecipIn"] == pytest.approx(row["precip"], abs=0.00501)
+        assert row["growingDegreeDays"] == float(row["gdd"])
+        assert row["wheatGrowingPrecipIn"] == float(row["precip"])
 
 
 def test_qualified_days(spark):

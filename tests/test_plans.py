@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
-from fieldseason.operators import bronze, gold, silver
+from fieldseason.plans import queries as registered
+from fieldseason.operators import bronze, gold, present, silver
 from fieldseason.schemas import OBSERVATIONS
 from fieldseason.sources import fixtures, tables
 
-QUERIES = driver.queries()
+QUERIES = registered.registry()
 
 
 def plan_of(df):
@@ -29,9 +29,38 @@ def test_no_python_no_cross_join_no_single_partition_window(spark, sf, name):
     for unwanted in ("PythonUDF", "EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert unwanted not in plan
     # Only a global aggregate may gather rows in one partition, and it gets partial ones.
-    for line in plan.splitlines():
-        if "Window [" in line:
-            assert "windowspecdefinition(unspecifiedframe" not in line
+    assert not gathers_for_a_window(plan)
+
+
+def gathers_for_a_window(plan: str) -> bool:
+    """Whether a window's rows come from an exchange to a single partition."""
+    lines = [line.strip(" :+-*()0123456789") for line in plan.splitlines()]
+    for at, line in enumerate(lines):
+        if line.startswith("Window ["):
+            below = next((x for x in lines[at + 1:] if not x.startswith(("Sort", "Project", "InputAdapter"))), "")
+            if "SinglePartition" in below:
+                return True
+    return False
+
+
+def test_a_window_over_one_partition_is_seen(spark):
+    whole = spark.range(10).selectExpr("sum(id) over (order by id) as s")
+    assert gathers_for_a_window(plan_of(whole))
+    assert gathers_for_a_window(plan_of(spark.range(10).selectExpr("sum(id) over () as s")))
+    assert not gathers_for_a_window(plan_of(spark.range(10).selectExpr("sum(id) over (partition by id) as s")))
+
+
+def test_date_ranges_reach_the_scan(spark, stored, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    path = str(tmp_path / "daily")
+    tables.write_layer(silver.silver_weather(stored, fixtures.ANCHOR), path)
+    daily = tables.read_table(spark, path)
+    for frame in (present.daily_drilldown(daily, None, 1997), present.slice_daily(daily, 1997, 1998),
+                  present.choose_grain(daily, 1997, 1998)):
+        assert "GreaterThanOrEqual(date,1997-01-01)" in plan_of(frame)
+    assert "LessThan(date,1999-01-01)" in plan_of(present.slice_daily(daily, 1997, 1998))
+    stations = fixtures.stations(spark, "/root/testdata/sf0.001")
+    assert "GreaterThanOrEqual(date,1995)" in plan_of(bronze.station_inventory(stored, stations, 1995, 2002))
 
 
 def test_station_filter_prunes_partitions(stored):
@@ -56,6 +85,7 @@ def test_daily_table_shuffles_observations_once_per_grouping(stored):
 
 
 def test_season_shuffles_partial_totals_and_then_stations(spark, sf, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     path = str(tmp_path / "daily")
     tables.write_layer(silver.silver_weather(fixtures.observations(spark, sf)), path)
     days = gold.qualified_days(tables.read_table(spark, path))

@@ -147,7 +147,7 @@ def test_refresh_stored_is_repeatable(spark, tmp_path, sf):
     tables.write_layer(obs.filter("date <= '2001-01-31'"), path, ["stationId"])
     new = obs.filter("date >= '2001-02-01'")
     first = rows(layers.refresh_stored(spark, path, new, queries.SITE))
-    assert first == rows(queries.season_weather(spark, sf))
+    assert first == rows(layers.refresh(obs.filter("date <= '2001-01-31'"), new, queries.SITE))
     assert rows(layers.refresh_stored(spark, path, new, queries.SITE)) == first
 
 
@@ -159,3 +159,14 @@ def test_stored_layers(spark, tmp_path, sf):
     expected = queries.season_weather_all_stations(spark, sf)
     assert rows(season.select(*expected.columns)) == rows(expected)
     assert daily.filter(F.col("tempStationName") == "Station 1").count() > 0
+
+
+def test_error_responses_give_no_row_and_are_counted(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"STATION": "A", "DATE": "2020-01-01", "TMAX": 1}]')
+    (tmp_path / "b.json").write_text('{"errorCode": 400, "errors": []}')
+    (tmp_path / "c.json").write_text("<html><body>busy</body></html>")
+    (tmp_path / "d.json").write_text('[{"STATION": "A", "DA')
+    (tmp_path / "e.json").write_text("[]")
+    rows = landed.unpivot_daily_json(landed.read_daily_json(spark, str(tmp_path))).collect()
+    assert {(r["stationId"], r["date"]) for r in rows} == {("GHCND:A", "2020-01-01")}
+    assert tuple(landed.rejected_responses(spark, str(tmp_path)).first()) == (5, 3)
