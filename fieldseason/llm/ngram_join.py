@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from fieldseason.llm.common import map_rows, split_words, stored, texts
 
-WIDTH, TOKENS, LIMIT, MAX_DEPTH, BLOCK = 5, 96, 64, 6, 256
+WIDTH, TOKENS, LIMIT, MAX_DEPTH, BLOCK = 5, 96, 250, 6, 256
 CACHED_WORDS = 500_000
 _EXTRA = 0.25  # chance of a second place at a node: 1 + 0.25 = 1 / 0.8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
