@@ -25,14 +25,13 @@ import base64
 import codecs
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from fieldseason.llm.common import map_rows, texts
+from fieldseason.llm.common import held, map_rows, texts
 
-CACHED_WORDS, CACHED_STATES = 600_000, 100_000
+CACHED_WORDS, CACHED_STATES = 400_000, 60_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -208,9 +207,8 @@ class Codec:
         return b"".join([known[p] for p in pieces])
 
 
-@lru_cache(maxsize=2)
 def _codec(path: str) -> Codec:
-    return Codec(path)
+    return held(("bpe", path), lambda: Codec(path))
 
 
 def byte_bpe_path() -> str:

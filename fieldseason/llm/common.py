@@ -6,11 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: ASCII white space, which separates words in every operator here.
 SPACE = r"[\x20\x09-\x0D]+"
 _SPACES = ("\t", "\n", "\x0b", "\x0c", "\r")
@@ -79,6 +82,20 @@ def map_rows(frame: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
     return frame.mapInArrow(run, schema)
 
 
+_HELD: dict = {}
+
+
+def held(key: tuple, make: Callable[[], T]) -> T:
+    """What a worker keeps from task to task, such as tables of words met before: one operator's at a time.
+
+    Workers serve one operator after another; keeping the tables of all would add up.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
           "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),
           "array<string>": pa.list_(pa.string()), "array<array<string>>": pa.list_(pa.list_(pa.string()))}

@@ -56,4 +56,4 @@ def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns. A null id counts as its own document."""
     stay = exact_groups(docs, salts).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_stay")).distinct()
     lost = docs.filter(docs["doc_id"].isNull())
-    return docs.join(stay, docs["doc_id"] == F.col("_stay"), "left_semi").unionByName(lost)
+    return docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi").unionByName(lost)

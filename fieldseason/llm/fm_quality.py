@@ -21,19 +21,18 @@ import zlib
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.llm.common import map_rows, split_words
+from fieldseason.llm.common import held, map_rows, split_words
 
 #: Buckets of hashed words, and the vectors' length.
 BUCKETS, RANK = 1 << 14, 6
 #: The bound of the training sample.
 MAX_LABELLED = 4_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: Structure statistics; the last one is metadata.
 STATISTICS = ("length", "letters", "capitals", "digits", "marks", "white space", "word length", "line length",
               "repeated words", "repeated lines", "symbols", "shouting", "stated length")
@@ -166,9 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     return fit(examples, list(rows["label"]), **options)
 
 
-@lru_cache(maxsize=2)
 def _machine(model: Model) -> Machine:
-    return Machine(model)
+    return held(("quality", model), lambda: Machine(model))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

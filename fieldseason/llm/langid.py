@@ -15,12 +15,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.llm.common import map_rows, texts
+from fieldseason.llm.common import held, map_rows, texts
 
 UND = "und"
 #: Bytes of a language's dictionary; labelled texts of these lengths may give to it, at most
@@ -86,9 +85,8 @@ class Identifier:
         return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
 
 
-@lru_cache(maxsize=2)
 def _identifier(dictionaries: tuple[tuple[str, bytes], ...]) -> Identifier:
-    return Identifier(dict(dictionaries))
+    return held(("langid", dictionaries), lambda: Identifier(dict(dictionaries)))
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN) -> DataFrame:

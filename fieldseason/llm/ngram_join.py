@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.llm.common import map_rows, split_words, stored, texts
+from fieldseason.llm.common import held, map_rows, split_words, stored, texts
 
 WIDTH, TOKENS, LIMIT, MAX_DEPTH, BLOCK = 5, 96, 250, 6, 256
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 _EXTRA = 0.25  # chance of a second place at a node: 1 + 0.25 = 1 / 0.8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20)
@@ -112,7 +112,7 @@ def _sets(docs: DataFrame, runs: int) -> DataFrame:
     roots = _mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX)
 
     def make() -> Callable[[dict], dict]:
-        shingler = Shingler()
+        shingler = held(("ngram_join",), Shingler)
 
         def work(rows: dict) -> dict:
             out: dict[str, list] = {"doc_id": rows["doc_id"], "key": [], "size": [], "tokens": [], "paths": []}
@@ -297,7 +297,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold:
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
 
     def make() -> Callable[[dict], dict]:
-        shingler = Shingler()
+        shingler = held(("ngram_join",), Shingler)
 
         def work(rows: dict) -> dict:
             names = ("rep", "copies", "grp", "blocks", "block")
@@ -365,4 +365,4 @@ def _representatives(sets: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
     """The rows of ``docs`` whose id names their class; rows without an id stay."""
     stay = near_classes(docs, threshold, recall).filter("doc_id = class_id").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"] == F.col("_stay"), "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
+    return docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))

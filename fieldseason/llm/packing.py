@@ -22,15 +22,14 @@ import os
 import re
 import unicodedata
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldseason.llm.common import map_rows, stored, texts
+from fieldseason.llm.common import held, map_rows, stored, texts
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 
 
 #: A mark before a full stop or comma, with which it would form one piece.
@@ -69,17 +68,22 @@ class _WordEncoder:
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def _learn(self, words: list[str]) -> None:
-        """Words of letters alone end with the one token that ends a word, so many are encoded as one text."""
-        letters = [w for w in words if w.isalpha()]
+        """A word that is letters alone, composed and lowered, ends with its one token that ends a word, so
+        many of them are encoded as one text."""
+        letters = [w for w in words if unicodedata.normalize("NFC", w).lower().isalpha()]
+        others = set(words).difference(letters)
         groups = [letters[at:at + 200] for at in range(0, len(letters), 200)]
         found = self._tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
         for group, got in zip(groups, found, strict=True):
             ids = np.array(got.ids, "<u4")
-            raw, at = ids.tobytes(), 0
-            for word, end in zip(group, (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist(), strict=True):
+            ends, raw, at = (4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist(), ids.tobytes(), 0
+            if len(ends) != len(group):  # the two libraries differ about what a letter is
+                others.update(group)
+                continue
+            for word, end in zip(group, ends, strict=True):
                 self._known[word] = raw[at:end]
                 at = end
-        others = [w for w in words if not w.isalpha()]
+        others = list(others)
         for word, got in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self._known[word] = np.array(got.ids, "<u4").tobytes()
 
@@ -91,9 +95,8 @@ class _WordEncoder:
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str) -> _WordEncoder:
-    return _WordEncoder(path)
+    return held(("packing", path), lambda: _WordEncoder(path))
 
 
 def word_bpe_path() -> str:
@@ -150,11 +153,14 @@ def _best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple
     return float(best[capacity]), pattern
 
 
-def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000) -> list[tuple[int, dict[int, int]]]:
+def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000, calm: float = 0.8,
+                  near: float = 1e-3) -> list[tuple[int, dict[int, int]]]:
     """``(times, {class: pieces})`` that together hold exactly ``demand``.
 
-    Revised simplex over the columns in the basis; a column enters while the knapsack finds
-    one worth more than a sequence, at most ``rounds`` times.
+    Revised simplex over the columns in the basis. Columns are priced at duals drawn towards the
+    best ones known, at first the sizes' shares of a sequence, as the simplex's own jump about; a
+    column enters when it is worth more than a sequence at the simplex's duals. It ends when none
+    is, when the bound by the best duals is ``near``, or after ``rounds`` columns.
     """
     sizes = np.array(sorted(k for k, n in demand.items() if n), int)
     if not len(sizes):
@@ -163,10 +169,19 @@ def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000) ->
     columns = np.diag(capacity // sizes).astype(float)
     inverse = np.diag(1 / np.diag(columns))
     amount = inverse @ need
+    best, bound = sizes / capacity, sizes @ need / capacity
     for _ in range(rounds):
-        worth, column = _best_pattern(sizes, inverse.sum(axis=0), capacity)
-        if worth <= 1 + 1e-7:
+        if amount.sum() <= bound * (1 + near):
             break
+        own = inverse.sum(axis=0)
+        duals = calm * best + (1 - calm) * own
+        worth, column = _best_pattern(sizes, duals, capacity)
+        if duals @ need / max(worth, 1) > bound:
+            best, bound = duals / max(worth, 1), duals @ need / max(worth, 1)
+        if own @ column <= 1 + 1e-7:
+            worth, column = _best_pattern(sizes, own, capacity)
+            if worth <= 1 + 1e-7:
+                break
         move = inverse @ column
         ratio = np.where(move > 1e-9, amount / np.where(move > 1e-9, move, 1), np.inf)
         leaves = int(np.argmin(ratio))

@@ -198,10 +198,10 @@ def mask(docs: DataFrame, found: DataFrame) -> DataFrame:
     def masked(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([_masked(t, s) if s else t for t, s in zip(texts, spans, strict=True)], dtype=object)
 
-    some = found.filter("spans <> ''").select(F.col("doc_id").alias("_id"), F.col("version").alias("_v"), "spans").distinct()
-    text = F.coalesce(docs["text"], F.lit(""))
-    out = docs.join(some, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_v")), "left")
-    out = out.withColumn("text", F.when(F.col("spans").isNull(), docs["text"]).otherwise(masked("text", "spans")))
+    some = found.filter("spans <> ''").select("doc_id", "version", "spans").distinct()
+    text, spans = F.coalesce(docs["text"], F.lit("")), some["spans"]
+    new = {"text": F.when(spans.isNull(), docs["text"]).otherwise(masked(docs["text"], spans))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNull(), docs["n_chars"]).otherwise(F.length("text")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(spans.isNull(), docs["n_chars"]).otherwise(F.length(new["text"]))
+    out = docs.join(some, docs["doc_id"].eqNullSafe(some["doc_id"]) & (F.xxhash64(text) == some["version"]), "left")
+    return out.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])

@@ -19,15 +19,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from fieldseason.llm.common import map_rows, texts
+from fieldseason.llm.common import held, map_rows, texts
 
 #: What an unknown character costs below the lowest score, a fixed value of the tokenizer.
 UNKNOWN = 10.0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -89,9 +88,8 @@ class Counter:
         return tokens, total
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str) -> Counter:
-    return Counter(read_pieces(path))
+    return held(("token_counts", path), lambda: Counter(read_pieces(path)))
 
 
 def piece_path() -> str:

@@ -20,16 +20,15 @@ import re
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldseason.llm.common import labelled_texts, map_rows, texts
+from fieldseason.llm.common import held, labelled_texts, map_rows, texts
 
-BUCKETS, CACHED_WORDS = 1 << 18, 500_000
+BUCKETS, CACHED_WORDS = 1 << 18, 200_000
 #: The bound of the training sample.
 MAX_LABELLED = 6_000
 #: Terms that may stand for one another, kind by kind.
@@ -103,8 +102,8 @@ class Scorer:
 
 def _rows(examples: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of each feature that is present."""
-    return (np.repeat(np.arange(len(examples)), [len(x) for x in examples]),
-            np.concatenate([*examples, np.zeros(0, np.int64)]).astype(np.int64))
+    return (np.repeat(np.arange(len(examples), dtype=np.int32), [len(x) for x in examples]),
+            np.concatenate([*examples, np.zeros(0, np.int32)]).astype(np.int32))
 
 
 def buckets(words: list[str]) -> np.ndarray:
@@ -130,6 +129,7 @@ def fit(examples: list[np.ndarray], labels: list[int], copies: list[tuple[int, n
     place[used] = np.arange(len(used))
     row, column = row[place[column] >= 0], place[column[place[column] >= 0]]
     pair_row, pair_column = pair_row[place[pair_column] >= 0], place[pair_column[place[pair_column] >= 0]]
+    row = row.astype(np.int64)
     size, k = np.bincount(row, minlength=n), len(used)
     pair_size = np.bincount(pair_row, minlength=pairs)
     # Each weight's own step: the inverse of a bound of its curvature.
@@ -170,24 +170,24 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
             for doc, label, text in zip(rows["doc_id"], rows["label"], rows["text"], strict=True):
                 words = words_of(text)
                 for i, version in enumerate([words, *counterfactuals(words, terms)]):
-                    for name, value in zip(out, (doc, label, i, buckets(version).tolist()), strict=True):
+                    for name, value in zip(out, (doc, label, i, buckets(version).astype("<i4").tobytes()), strict=True):
                         out[name].append(value)
             return out
 
         return work
 
     found = labelled_texts(docs, labels, "toxic", max_labelled)
-    rows = map_rows(found, make, "doc_id long, label int, copy int, buckets array<int>", rows=64).toPandas()
+    rows = map_rows(found, make, "doc_id long, label int, copy int, buckets binary", rows=64).toPandas()
     rows = rows.sort_values(["doc_id", "label", "copy"], kind="stable")
+    rows["buckets"] = [np.frombuffer(b, "<i4") for b in rows["buckets"]]
     own, swapped = rows[rows["copy"] == 0], rows[rows["copy"] > 0]
     place = {doc: i for i, doc in enumerate(own["doc_id"])}
     return fit(list(own["buckets"]), list(own["label"]),
                [(place[d], b) for d, b in zip(swapped["doc_id"], swapped["buckets"], strict=True)], **options)
 
 
-@lru_cache(maxsize=2)
 def _scorer(model: Model) -> Scorer:
-    return Scorer(model)
+    return held(("toxicity", model), lambda: Scorer(model))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,0 +1,79 @@
+"""Odd rows through every operator: a defined result for each, and none from an empty table."""
+
+import pytest
+
+from fieldseason.llm import (
+    bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, quality_rules, token_counts, toxicity,
+)
+
+TOXIC = toxicity.fit([toxicity.buckets(["bad", "word"]), toxicity.buckets(["good"])] * 4, [1, 0] * 4)
+QUALITY = fm_quality.fit([], [])
+OPERATORS = {
+    "toxicity": lambda d: toxicity.score(d, TOXIC),
+    "langid": lambda d: langid.identify(d, {"en": b"the and of text here", "de": b"der die und das"}),
+    "token_counts": token_counts.token_counts,
+    "ngram_join": ngram_join.near_classes,
+    "packing": packing.packed_digests,
+    "bpe": lambda d: bpe.round_trip(bpe.encode(d)),
+    "exact_dedup": exact_dedup.exact_groups,
+    "fm_quality": lambda d: fm_quality.score(d, QUALITY),
+    "pii": lambda d: pii.digests(pii.find_pii(d)),
+    "quality_rules": quality_rules.quality_rules,
+}
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_every_odd_row_has_a_result(odd, name):
+    found = OPERATORS[name](odd).collect()
+    ids = sorted((-1 if r["doc_id"] is None else r["doc_id"]) for r in found)
+    expected = [-1, 1, 2, 3, 4, 5, 6, 6, 7, 8]
+    if name == "packing":
+        assert set(ids) == set(expected) and ids.count(4) > 1
+    else:
+        assert ids == expected
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r["doc_id"], set()).add(tuple(x for x in r if not isinstance(x, (bytearray, list))))
+    if name != "packing":
+        assert len(by_id[6]) == 1  # repeated rows have equal results
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_an_empty_table_gives_nothing(odd, name):
+    assert OPERATORS[name](odd.filter("doc_id = -5")).collect() == []
+
+
+def test_results_of_null_and_empty_texts(odd):
+    of = lambda f: {r["doc_id"]: r for r in f.collect()}
+    langs = of(OPERATORS["langid"](odd))
+    assert [langs[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and langs[1]["rejected"]
+    assert {of(token_counts.token_counts(odd))[i]["n_tokens"] for i in (1, 2)} == {0}
+    assert of(OPERATORS["bpe"](odd))[1]["n_tokens"] == 0
+    assert of(fm_quality.score(odd, QUALITY))[1]["score"] == 0.5
+    pieces = of(packing.packed_digests(odd))
+    assert (pieces[1]["length"], pieces[1]["doc_tokens"]) == (1, 1)
+    near = of(ngram_join.near_classes(odd))
+    assert [(near[i]["class_id"], near[i]["links"]) for i in (1, 2, 3)] == [(1, 0), (2, 0), (3, 0)]
+    assert near[None]["class_id"] is None and near[None]["links"] == 0
+    assert [(near[i]["class_id"], near[i]["class_size"], near[i]["links"]) for i in (5, 6)] == [(5, 3, 2)] * 2
+    exact = of(exact_dedup.exact_groups(odd))
+    assert [(exact[i]["keep_id"], exact[i]["group_size"], exact[i]["kept"]) for i in (1, 2, 3, 5, 6)] == [
+        (1, 2, True), (1, 2, False), (3, 1, True), (5, 3, True), (5, 3, False)]
+    rules = of(quality_rules.quality_rules(odd))
+    assert [(rules[i]["n_words"], rules[i]["base_failed"], rules[i]["kept"]) for i in (1, 3)] == [(0, True, False)] * 2
+
+
+def test_nothing_labelled_teaches_a_constant(odd, labels_of):
+    none = labels_of((1, None, None), (None, 1, 1))
+    assert all(r["score"] < 1e-9 for r in toxicity.score(odd, toxicity.train(odd, none)).collect())
+    assert all(r["score"] == 0.5 for r in fm_quality.score(odd, fm_quality.train(odd, none)).collect())
+    assert langid.train(odd.filter("lang is null")) == {}
+    assert all(r["lang_pred"] == "und" for r in langid.identify(odd, {}).collect())
+
+
+def test_kept_rows_keep_their_columns(odd):
+    for frame in (exact_dedup.deduplicate(odd), ngram_join.one_of_each(odd), pii.mask(odd, pii.find_pii(odd))):
+        assert frame.columns == odd.columns
+        assert {r["digest"] for r in frame.collect()} == {"x"}
+    assert exact_dedup.deduplicate(odd).count() == 7
+    assert ngram_join.one_of_each(odd).count() == 8
