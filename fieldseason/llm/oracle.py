@@ -21,10 +21,11 @@ words as (
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
   from docs),
 windows as (
-  select doc_id, unnest(range(1, len(w) - 3)) as i, w from words where len(w) >= 5),
+  select doc_id, unnest(range(1, len(w) - 3)) as i,
+         unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as x
+  from words where len(w) >= 5),
 repeats as (
-  select doc_id, i from (
-    select doc_id, i, count(*) over (partition by doc_id, w[i:i+4]) as n from windows) where n > 1),
+  select doc_id, unnest(list(i)) as i from windows group by doc_id, x having count(*) > 1),
 covered as (
   select doc_id, count(distinct i + k) as n from repeats, (select unnest(range(0, 5)) as k) group by doc_id),
 counts as (
@@ -47,7 +48,7 @@ lost as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
        not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)
-         and coalesce(lost_words, 0) <= 0.5 * n_words as kept,
+         and coalesce(lost_words, 0) <= 0.8 * n_words as kept,
        coalesce(lost_words, 0) as lost_words
 from counts left join lost using (doc_id)
 """

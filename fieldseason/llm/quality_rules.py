@@ -88,7 +88,7 @@ def frequent_lines(docs: DataFrame, min_docs: int = 20, host_share: float = 0.02
         F.col("n_docs") > host_share * F.col("_all")).select("host", "line", "n_docs")
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 20, host_share: float = 0.02, max_lost: float = 0.5) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = 20, host_share: float = 0.02, max_lost: float = 0.8) -> DataFrame:
     """One row per document: the base counts, ``lost_words``, ``kept`` and the text without frequent lines.
 
     ``cleaned`` costs an exchange of the texts; it is pruned when not selected.

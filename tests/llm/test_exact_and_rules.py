@@ -59,7 +59,7 @@ def test_counts_by_brute_force(docs_of):
 def test_frequent_lines_deplete_documents(docs_of):
     """A line of 30 of a host's 40 documents goes; at another host it is rare and stays."""
     line, body = "Subscribe now  and read every day of the week", "its own words stand here {} again {} more {} and {} so on {}"
-    rows = [(i, f"{line}\n{body.format(*[i * 7 + k for k in range(5)])}" if i < 25 else f"{line.upper()}\n{i} end", "en", "a")
+    rows = [(i, f"{line}\n{body.format(*[i * 7 + k for k in range(5)])}" if i < 25 else f"{line.upper()}\nend {i}", "en", "a")
             for i in range(30)]
     rows += [(100 + i, f"plain {body.format(*[i * 11 + k for k in range(5)])}", "en", "a") for i in range(10)]
     rows += [(200, f"{line}\nshort one", "en", "b"), (201, f"{line}\nshort one", "en", "b")]
