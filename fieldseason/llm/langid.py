@@ -33,7 +33,8 @@ def words_of(text: str) -> bytes:
     """A text's different words of letters, in order of appearance; empty without a letter."""
     words = dict.fromkeys(_NO_LETTERS.sub(" ", text.lower()).split(" "))
     words.pop("", None)
-    return " ".join(words).encode("utf-8", "replace")
+    found = " ".join(words)
+    return found.encode("utf-8", "replace") if any(c.isalpha() for c in found) else b""
 
 
 def train(labelled: DataFrame) -> dict[str, bytes]:

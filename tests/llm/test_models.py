@@ -105,3 +105,9 @@ def test_training_does_not_depend_on_the_order_of_rows(spark):
     assert langid.train(docs) == langid.train(turned)
     assert toxicity.train(docs, labels, 50) == toxicity.train(turned, labels, 50)
     assert fm_quality.train(docs, labels, 50) == fm_quality.train(turned, labels, 50)
+
+
+def test_numbers_and_marks_are_no_language():
+    guess = langid.Identifier({"en": b"the and of", "de": b"der die das"})
+    assert [guess(t)[0] for t in ("", "12 + 3", "½ ²", "...\n")] == ["und"] * 4
+    assert guess("The")[0] == "en" and guess("DAS")[0] == "de"
