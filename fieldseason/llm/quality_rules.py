@@ -1,9 +1,8 @@
 """Quality rules: per-document counts and cross-document line frequency, in DataFrame functions only.
 
 A line, normalised (white space collapsed, trimmed, lower case) and hashed, is frequent at a
-host when the host's distinct documents that hold it number more than both ``min_docs`` and
-``host_share`` of the host's distinct documents. Exact copies of a text are one document here:
-finding them is another operator's work. Frequent lines are removed, and a document that loses
+host when more than ``min_docs`` of the host's distinct documents hold it, however large the host
+is. Exact copies of a text are one document here: finding them is another operator's work. Frequent lines are removed, and a document that loses
 more than ``max_lost`` of its words so is depleted and rejected.
 
 Null text is the empty text: no words, so it fails the base rules. A null host is a host of its
@@ -78,23 +77,19 @@ def _lines(rows: DataFrame) -> DataFrame:
         "doc_id", "host", "version", "place", "x.line", "x.words")
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = 20, host_share: float = 0.02) -> DataFrame:
-    """``host, line, n_docs`` of the lines above both limits."""
-    rows = _documents(docs)
-    found = _lines(rows).groupBy("host", "line").agg(F.countDistinct("version").alias("n_docs")).filter(
+def frequent_lines(docs: DataFrame, min_docs: int = 20) -> DataFrame:
+    """``host, line, n_docs`` of the lines above the limit."""
+    return _lines(_documents(docs)).groupBy("host", "line").agg(F.countDistinct("version").alias("n_docs")).filter(
         F.col("n_docs") > min_docs)
-    hosts = rows.groupBy(F.col("host").alias("_host")).agg(F.countDistinct("version").alias("_all"))
-    return found.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).filter(
-        F.col("n_docs") > host_share * F.col("_all")).select("host", "line", "n_docs")
 
 
-def quality_rules(docs: DataFrame, min_docs: int = 20, host_share: float = 0.02, max_lost: float = 0.8) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = 20, max_lost: float = 0.8) -> DataFrame:
     """One row per document: the base counts, ``lost_words``, ``kept`` and the text without frequent lines.
 
     ``cleaned`` costs an exchange of the texts; it is pruned when not selected.
     """
     rows = _documents(docs)
-    frequent = frequent_lines(docs, min_docs, host_share).select(F.col("host").alias("_h"), F.col("line").alias("_l"))
+    frequent = frequent_lines(docs, min_docs).select(F.col("host").alias("_h"), F.col("line").alias("_l"))
     key = ["doc_id", "host", "version"]
     # As a set, so that repeated rows, whose lines are the same, lose each line once.
     lost = _lines(rows).join(frequent, F.col("host").eqNullSafe(F.col("_h")) & (F.col("line") == F.col("_l"))) \

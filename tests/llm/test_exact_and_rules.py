@@ -70,6 +70,17 @@ def test_frequent_lines_deplete_documents(docs_of):
     assert found[3]["cleaned"] == rows[3][1].split("\n")[1] and found[200]["cleaned"] == rows[-1][1]
 
 
+def test_a_large_host_does_not_raise_the_limit(spark):
+    """300 of a host's 20,000 documents hold a line, 1.5% of them; 20 hold another, which is not above the limit."""
+    docs = spark.range(20_000).selectExpr(
+        "id as doc_id", "'a' as source",
+        "concat('own words ', id, if(id % 1000 < 15, '\\nAll rights  reserved.', ''), if(id % 1000 = 20, '\\nrare line', '')) as text")
+    found = quality_rules.frequent_lines(docs).collect()
+    assert [(r["host"], r["n_docs"]) for r in found] == [("a", 300)]
+    lost = {r["doc_id"]: r["lost_words"] for r in quality_rules.quality_rules(docs).select("doc_id", "lost_words").collect()}
+    assert len(lost) == 20_000 and all(n == 3 * (d % 1000 < 15) for d, n in lost.items())
+
+
 def test_copies_of_a_text_do_not_make_its_lines_frequent(docs_of):
     text = "ten words of one text that is copied very many times"
     found = quality_rules.quality_rules(docs_of(*[(i, text, "en", "a") for i in range(60)])).collect()
