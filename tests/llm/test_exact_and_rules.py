@@ -70,6 +70,17 @@ def test_frequent_lines_deplete_documents(docs_of):
     assert found[3]["cleaned"] == rows[3][1].split("\n")[1] and found[200]["cleaned"] == rows[-1][1]
 
 
+def test_documents_that_lose_half_to_four_fifths_of_their_words(docs_of):
+    """They stay at the default bound and go at 0.5; their own words are what is left."""
+    line = "one two three four five six seven eight"
+    rows = [(i, f"{line}\n" + " ".join(f"own{i}_{k}" for k in range(2 + i % 7)), "en", "a") for i in range(35)]
+    bound = {b: {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(docs_of(*rows), max_lost=b).collect()} for b in (0.5, 0.8)}
+    default = {r["doc_id"]: r for r in quality_rules.quality_rules(docs_of(*rows)).collect()}
+    assert all(r["lost_words"] == 8 and not r["base_failed"] for r in default.values())
+    assert bound[0.8] == {i: True for i in range(35)} == {i: r["kept"] for i, r in default.items()}
+    assert bound[0.5] == {i: i % 7 == 6 for i in range(35)}
+
+
 def test_a_large_host_does_not_raise_the_limit(spark):
     """300 of a host's 20,000 documents hold a line, 1.5% of them; 20 hold another, which is not above the limit."""
     docs = spark.range(20_000).selectExpr(
