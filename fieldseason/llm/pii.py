@@ -3,7 +3,8 @@
 Base spans come from fixed patterns (e-mail, ip, card, phone). They seed the bootstrapping:
 
 1. One pass over the texts keeps, per document, its base spans and its *candidates*: other words
-   with four digits or an ``@``. Both carry their lexical context, the word and the two words
+   with four digits or an ``@``, and neighbouring groups of digits as one string, which may hold
+   such words. Both carry their lexical context, the word and the two words
    before them, in lower case with digits as ``0``.
 2. Contexts and the strings they introduce form a bipartite graph. A context's confidence for a
    kind is the summed score of its strings of that kind over all its different strings plus one;
@@ -36,6 +37,10 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SPLIT = re.compile(r"[\x09-\x0D]")
+#: Groups of digits with brackets, dots and hyphens, or an IBAN's groups, one space between; atomic, so in linear time.
+_DIGITS = r"\(?[0-9](?:[0-9().-]*[0-9])?\)?"
+_GROUPED = re.compile(rf"(?<![\w()+./@-])(?:[A-Z]{{2}}[0-9]{{2}}(?:[\x20\t][A-Z0-9]{{4}})+(?:[\x20\t][A-Z0-9]{{1,3}})?"
+                      rf"|(?>{_DIGITS})(?:[\x20\t](?>{_DIGITS}))+)(?![\w/@])")
 #: Marks around a word that aren't part of an identifier.
 _MARKS = " .,;:!?()[]{}<>\"'|#*$%&="
 
@@ -102,10 +107,21 @@ def _candidates(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[i
             yield start, end
 
 
+def _grouped(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Neighbouring groups of at least four digits in all that meet no base span."""
+    taken, i = sorted((s, e) for _, s, e in base), 0
+    for match in _GROUPED.finditer(text):
+        start, end = match.span()
+        while i < len(taken) and taken[i][1] <= start:
+            i += 1
+        if (i == len(taken) or taken[i][0] >= end) and len(_DIGIT.findall(match[0])) >= 4:
+            yield start, end
+
+
 def _mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, list[str], str]]:
     """``(kind or -1, start, end, contexts, string)`` of base spans and candidates."""
     plain = _SPLIT.sub(" ", text)
-    spans = base + [(-1, s, e) for s, e in _candidates(plain, base)]
+    spans = base + [(-1, s, e) for s, e in (*_candidates(plain, base), *_grouped(text, base))]
     return [(k, s, e, _context(plain, s), plain[s:e].lower()) for k, s, e in spans]
 
 

@@ -54,6 +54,26 @@ def test_contexts_reveal_identifiers_that_no_pattern_knows(docs_of):
     assert found[3].startswith("phone:18:") and "," not in found[3]
 
 
+def test_contexts_reveal_identifiers_written_with_spaces(docs_of):
+    rows = [(i, f"please call me at +1 (414) 555-{1000 + i} or write, in {1900 + i} words") for i in range(40)]
+    spaced = ["(414) 555-1791", "078 05 1120", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"]
+    rows += [(100 + i, f"please call me at {x} or write") for i, x in enumerate(spaced)]
+    rows += [(200, "the number 078 05 1120, again"), (201, "in 12 345 words")]
+    docs = docs_of(*rows)
+    found = pii.find_pii(docs)
+    spans = {r["doc_id"]: r["spans"] for r in found.collect()}
+    assert all(f"phone:18:{18 + len(x)}" in spans[100 + i].split(",") for i, x in enumerate(spaced))
+    assert spans[200] == "phone:11:22" and spans[201] == ""
+    masked = {r["doc_id"]: r["text"] for r in pii.mask(docs, found).collect()}
+    assert {masked[100 + i] for i in range(4)} == {"please call me at [PHONE] or write"}
+
+
+def test_groups_take_linear_time_and_keep_to_a_line():
+    for text in ("9 " * 200_000, "1." * 200_000, "(1) " * 100_000, "1.1 " * 100_000 + "x", "12 3x " * 100_000, "DE89 3704 " * 50_000):
+        list(pii._grouped(text, []))
+    assert list(pii._grouped("1999\n2000 12 at 3 4", [])) == [(5, 12)]
+
+
 def test_masked_texts(docs_of):
     docs = docs_of((1, "write to a.b@c.org or 10.0.0.1 now"), (2, "nothing here"), (None, "x@y.zz"), (3, None))
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in pii.mask(docs, pii.find_pii(docs)).collect()}
