@@ -39,10 +39,7 @@ lines as (
   select doc_id, source, text, lower(trim(regexp_replace(x, '{SPACE}', ' ', 'g'), ' ')) as line,
          len(list_filter(string_split_regex(x, '{SPACE}'), lambda y: y <> '')) as n
   from (select doc_id, source, text, unnest(l) as x from words)),
-hosts as (select source, count(distinct text) as n_all from docs group by source),
-frequent as (
-  select source, line from (select source, line, count(distinct text) as n from lines group by source, line)
-  join hosts using (source) where n > 20 and n > 0.02 * n_all),
+frequent as (select source, line from lines group by source, line having count(distinct text) > 20),
 lost as (
   select doc_id, cast(sum(n) as bigint) as lost_words from lines semi join frequent using (source, line) group by doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
@@ -53,6 +50,50 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from counts left join lost using (doc_id)
 """
 
+OP11 = """
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+named as (
+  select conv_id, turn, dense_rank() over (order by role, text) as id, strlen(text) as bytes,
+         sha256(concat(cast(length(role) as varchar), ':', role, text)) as digest
+  from turns),
+own as (
+  select conv_id, list({'id': id, 'bytes': bytes} order by turn nulls first, digest, id) as t from named group by conv_id),
+-- The crc32 of a text: 8 times 8 halvings of a byte, each xor-ed with the polynomial when the last bit was 1.
+sums as (
+  select conv_id, list_reduce(
+           list_prepend(4294967295::ubigint, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: ascii(x)::ubigint)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda k: 0::ubigint)),
+             lambda x, k: xor(x >> 1, (x & 1) * 3988292384::ubigint))) as s
+  from own),
+rebuilt as (
+  select o.conv_id, list_concat(list_slice(coalesce(b.t, []), 1, h), list_slice(o.t, h + 1, len(o.t))) as t
+  from (select conv_id, t, cast(xor(s, 4294967295::ubigint) % 9 as bigint) as h from own join sums using (conv_id)) o
+  left join own b on b.conv_id = o.conv_id - o.conv_id % 5),
+prefixes as (
+  select conv_id, len(t) as turns, unnest(range(0, len(t) + 1)) as depth, t from rebuilt),
+members as (
+  select conv_id, turns, depth, list_transform(t[1:depth], lambda x: x.id) as node,
+         list_transform(t[1:depth-1], lambda x: x.id) as parent, case when depth = 0 then 0 else t[depth].bytes end as bytes
+  from prefixes),
+nodes as (
+  select node, depth, any_value(parent) as parent, any_value(bytes) as bytes, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where turns = depth), '')) as ends_sha256
+  from members group by node, depth),
+kids as (select parent, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by all),
+sized as (
+  select nodes.*, coalesce(kids.n, 0) as n_children, (n_convs - 1) * bytes as own
+  from nodes left join kids on kids.parent = nodes.node and kids.depth = nodes.depth),
+above as (
+  select node, own, n_children, unnest(range(0, depth + 1)) as up from sized),
+under as (
+  select node[1:up] as top, up as depth, sum(own) as saved, count(*) filter (where n_children = 0) as leaves from above group by all)
+select s.conv_id, cast(s.depth as bigint) as depth, p.conv_id as parent_conv_id, s.n_convs, s.n_children, u.leaves as n_leaves,
+       cast(u.saved as bigint) as saved_tokens, s.ends_sha256
+from sized s join under u on u.top = s.node and u.depth = s.depth
+left join nodes p on s.depth > 0 and p.node = s.parent and p.depth = s.depth - 1
+"""
+
 
 def texts() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7, "op10_quality_rules": OP10}
+    return {"op7_exact_dedup": OP7, "op10_quality_rules": OP10, "op11_prefix_trie": OP11}

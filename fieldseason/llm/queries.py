@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldseason.llm import bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, quality_rules, token_counts, toxicity
+from fieldseason.llm import (
+    bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, prefix_trie, quality_rules, simhash, token_counts, toxicity,
+    whitening,
+)
 from fieldseason.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,7 +72,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "base_failed", "kept", "lost_words")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.turn_paths(table(spark, sf_dir, "conversations")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where a long cannot hold it; ``deviation_exact`` always has it."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained",
+                        "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def registry() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_toxicity, op2_language, op3_token_counts, op4_ngram_join, op5_packing, op6_byte_bpe, op7_exact_dedup, op8_quality,
-        op9_pii, op10_quality_rules)}
+        op9_pii, op10_quality_rules, op11_prefix_trie, op12_whitening, op13_simhash)}
