@@ -27,6 +27,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``; a session without it, as in tests, gets one of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -98,7 +101,7 @@ def held(key: tuple, make: Callable[[], T]) -> T:
 
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
           "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()),
-          "array<string>": pa.list_(pa.string()), "array<array<string>>": pa.list_(pa.list_(pa.string()))}
+          "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary()), "array<array<string>>": pa.list_(pa.list_(pa.string()))}
 
 
 def _arrow(schema: str) -> pa.Schema:

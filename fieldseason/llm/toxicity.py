@@ -40,6 +40,12 @@ IDENTITY_TERMS = (
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("immigrant", "citizen", "refugee"), ("immigrants", "citizens", "refugees"),
     ("disabled", "blind", "deaf", "autistic"), ("old", "young"),
+    ("frauen", "männer"), ("frau", "mann"), ("sie", "er"), ("muslime", "christen", "juden", "hindus", "buddhisten"),
+    ("schwarze", "weiße", "asiaten"), ("schwule", "lesben"), ("einwanderer", "flüchtlinge", "staatsbürger"), ("alte", "junge"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("ella", "él"), ("musulmanes", "cristianos", "judíos", "budistas"),
+    ("negros", "blancos", "asiáticos"), ("gais", "lesbianas"), ("inmigrantes", "refugiados", "ciudadanos"), ("viejos", "jóvenes"),
+    ("femmes", "hommes"), ("femme", "homme"), ("elle", "il"), ("musulmans", "chrétiens", "juifs", "bouddhistes"),
+    ("noirs", "blancs", "asiatiques"), ("gays", "lesbiennes"), ("immigrés", "réfugiés", "citoyens"), ("vieux", "jeunes"),
 )
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -110,54 +116,97 @@ def buckets(words: list[str]) -> np.ndarray:
     return np.unique([_bucket(f) for f in _features(words)]).astype(np.int64)
 
 
-def fit(examples: list[np.ndarray], labels: list[int], copies: list[tuple[int, np.ndarray]] = (), penalty: float = 1.0,
-        sparsity: float = 1e-3, steps: int = 150, at_least: int = 3) -> Model:
-    """Accelerated proximal gradient descent over all examples at once.
+def _descend(y: np.ndarray, row: np.ndarray, column: np.ndarray, pair: np.ndarray, changed: np.ndarray, sign: np.ndarray, pairs: int,
+             weights: np.ndarray, bias: float, penalty: float, sparsity: float, enough: float) -> tuple[np.ndarray, float]:
+    """Accelerated proximal gradient descent until no part of the gradient, less what ``sparsity`` takes up, exceeds ``enough``.
 
-    ``copies`` holds the place of a sentence and the buckets of a swapped copy of it. Buckets of
-    fewer than ``at_least`` examples and copies are left out.
+    Each weight has a step of its own, from a bound of its curvature; a common factor grows while the
+    steps keep below the model they were made for, and falls when not.
+    """
+    n, k = len(y), len(weights)
+    curve = np.bincount(column, np.bincount(row, minlength=n)[row], k) / (4 * n)
+    curve += 2 * penalty / pairs * np.bincount(changed, np.bincount(pair, minlength=pairs)[pair], k)
+    curve = np.maximum(curve, 1e-9)
+
+    def value(at: np.ndarray, bias: float) -> tuple[float, np.ndarray, np.ndarray]:
+        logit, apart = np.bincount(row, at[column], n) + bias, np.bincount(pair, sign * at[changed], pairs)
+        return (np.logaddexp(0, logit) - y * logit).mean() + penalty * (apart @ apart) / pairs, logit, apart
+
+    ahead, ahead_bias, t, factor = weights, bias, 1.0, 1.0
+    while True:
+        here, logit, apart = value(ahead, ahead_bias)
+        error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y) / n
+        slope = np.bincount(column, error[row], k) + np.bincount(changed, (2 * penalty / pairs) * sign * apart[pair], k)
+        rest = np.where(ahead != 0, np.abs(slope + sparsity * np.sign(ahead)), np.maximum(np.abs(slope) - sparsity, 0))
+        if max(rest.max(initial=0), abs(error.sum())) <= enough:
+            return ahead, ahead_bias
+        while True:
+            step = factor / curve
+            moved = ahead - step * slope
+            moved = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0)
+            moved_bias = ahead_bias - factor * error.sum()
+            by, by_bias = moved - ahead, moved_bias - ahead_bias
+            bound = here + slope @ by + error.sum() * by_bias + (curve @ (by * by) + by_bias * by_bias) / (2 * factor)
+            if value(moved, moved_bias)[0] <= bound + 1e-13 or factor < 1e-3:
+                break
+            factor /= 2
+        if (ahead - moved) @ ((moved - weights) * curve) > 0:  # the momentum points uphill: start it anew
+            t = 1.0
+        t, last = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
+        push = (last - 1) / t
+        ahead, ahead_bias = moved + push * (moved - weights), moved_bias + push * (moved_bias - bias)
+        weights, bias, factor = moved, moved_bias, factor * 1.1
+
+
+def difference(own: np.ndarray, copy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that a copy lacks and has besides: all that the penalty needs of it."""
+    return np.setdiff1d(own, copy), np.setdiff1d(copy, own)
+
+
+def fit(examples: list[np.ndarray], labels: list[int], copies: list[tuple[int, np.ndarray, np.ndarray]] = (), penalty: float = 1.0,
+        sparsity: float = 3e-4, tolerance: float = 0.01, at_least: int = 3, joining: int = 300) -> Model:
+    """The weights at which the gradient over all examples vanishes, to ``tolerance`` times ``sparsity``.
+
+    ``copies`` holds the place of a sentence and the buckets that a swapped copy of it lacks and has
+    besides. Buckets of fewer than ``at_least`` examples and copies are left out. Most weights stay
+    zero, so descent goes over some of them at a time: up to ``joining`` more, those with the largest
+    gradient, join until no weight left out has a gradient above ``sparsity``.
     """
     if not len(examples):
         return Model(-40.0, ())
-    y, n = np.array(labels, float), len(examples)
+    y, n, pairs = np.array(labels, float), len(examples), max(len(copies), 1)
     row, column = _rows(examples)
-    pair_row, pair_column = _rows([b for _, b in copies])
-    source, pairs = np.array([i for i, _ in copies], int), max(len(copies), 1)
-    seen = np.bincount(column, minlength=BUCKETS) + np.bincount(pair_column, minlength=BUCKETS)
-    used = np.flatnonzero(seen >= at_least)
-    place = np.full(BUCKETS, -1)
-    place[used] = np.arange(len(used))
-    row, column = row[place[column] >= 0], place[column[place[column] >= 0]]
-    pair_row, pair_column = pair_row[place[pair_column] >= 0], place[pair_column[place[pair_column] >= 0]]
-    row = row.astype(np.int64)
-    size, k = np.bincount(row, minlength=n), len(used)
-    pair_size = np.bincount(pair_row, minlength=pairs)
-    # Each weight's own step: the inverse of a bound of its curvature.
-    curve = np.bincount(column, size[row], k) / (4 * n)
-    if len(copies):
-        # A copy differs in a few features only; what it shares with its sentence cancels.
-        push_of = np.bincount(source, minlength=n)
-        curve += 4 * penalty * (np.bincount(column, (size * push_of)[row], k) + np.bincount(
-            pair_column, pair_size[pair_row], k)) / pairs
-    step = 1 / np.maximum(curve, 1e-6)
+    lost_row, lost = _rows([b for _, b, _ in copies])
+    new_row, new = _rows([b for _, _, b in copies])
+    # A copy shares most of its sentence: that part cancels and is in neither of its two lists.
+    seen = np.bincount(column, minlength=BUCKETS) + np.bincount(new, minlength=BUCKETS) - np.bincount(lost, minlength=BUCKETS)
+    of_row = np.bincount(np.array([i for i, _, _ in copies], int), minlength=n)
+    seen = seen + np.bincount(column, of_row[row], BUCKETS)
+    keep = seen >= at_least
+    row, column = row[keep[column]].astype(np.int64), column[keep[column]]
+    pair, sign = np.concatenate([lost_row, new_row]).astype(np.int64), np.repeat([1.0, -1.0], [len(lost), len(new)])
+    changed = np.concatenate([lost, new])
+    pair, changed, sign = pair[keep[changed]], changed[keep[changed]], sign[keep[changed]]
     rate = min(max(y.mean(), 1e-3), 1 - 1e-3)
-    bias, weights, ahead, t = math.log(rate / (1 - rate)), np.zeros(k), np.zeros(k), 1.0
-    for _ in range(steps):
-        logit = np.bincount(row, ahead[column], n)
-        error = (1 / (1 + np.exp(-np.clip(logit + bias, -40, 40))) - y) / n
-        bias -= error.sum()
-        if len(copies):
-            push = 2 * penalty * (logit[source] - np.bincount(pair_row, ahead[pair_column], pairs)) / pairs
-            error = error + np.bincount(source, push, n)
-            gradient = np.bincount(column, error[row], k) - np.bincount(pair_column, push[pair_row], k)
-        else:
-            gradient = np.bincount(column, error[row], k)
-        moved, before = ahead - step * gradient, weights
-        weights = np.sign(moved) * np.maximum(np.abs(moved) - step * sparsity, 0)
-        t, last = (1 + math.sqrt(1 + 4 * t * t)) / 2, t
-        ahead = weights + (last - 1) / t * (weights - before)
+    bias, weights, used = math.log(rate / (1 - rate)), np.zeros(BUCKETS), np.zeros(0, np.int64)
+    while True:
+        place = np.full(BUCKETS, -1)
+        place[used] = np.arange(len(used))
+        own, other = place[column] >= 0, place[changed] >= 0
+        found, bias = _descend(y, row[own], place[column[own]], pair[other], place[changed[other]], sign[other], pairs, weights[used], bias,
+                               penalty, sparsity, tolerance * sparsity)
+        weights[used] = found
+        logit, apart = np.bincount(row, weights[column], n) + bias, np.bincount(pair, sign * weights[changed], pairs)
+        error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y) / n
+        slope = np.abs(np.bincount(column, error[row], BUCKETS) + np.bincount(
+            changed, (2 * penalty / pairs) * sign * apart[pair], BUCKETS))
+        slope[used] = 0
+        above = np.flatnonzero(slope > sparsity * (1 + tolerance))
+        if not len(above):
+            break
+        used = np.concatenate([used, above[np.argsort(-slope[above], kind="stable")[:joining]]])
     kept = np.flatnonzero(np.abs(weights) > 1e-9)
-    return Model(float(bias), tuple((int(used[i]), float(weights[i])) for i in kept))
+    return Model(float(bias), tuple((int(i), float(weights[i])) for i in kept))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
@@ -166,24 +215,27 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
     def make() -> Callable[[dict], dict]:
         def work(rows: dict) -> dict:
-            out = {"doc_id": [], "label": [], "copy": [], "buckets": []}
+            out = {"doc_id": [], "label": [], "buckets": [], "without": [], "with": []}
             for doc, label, text in zip(rows["doc_id"], rows["label"], rows["text"], strict=True):
                 words = words_of(text)
-                for i, version in enumerate([words, *counterfactuals(words, terms)]):
-                    for name, value in zip(out, (doc, label, i, buckets(version).astype("<i4").tobytes()), strict=True):
-                        out[name].append(value)
+                own = buckets(words)
+                apart = [difference(own, buckets(c)) for c in counterfactuals(words, terms)]
+                found = (doc, label, own.astype("<i4").tobytes(), *([x.astype("<i4").tobytes() for x in side] for side in (
+                    [gone for gone, _ in apart], [new for _, new in apart])))
+                for name, value in zip(out, found, strict=True):
+                    out[name].append(value)
             return out
 
         return work
 
     found = labelled_texts(docs, labels, "toxic", max_labelled)
-    rows = map_rows(found, make, "doc_id long, label int, copy int, buckets binary", rows=64).toPandas()
-    rows = rows.sort_values(["doc_id", "label", "copy"], kind="stable")
-    rows["buckets"] = [np.frombuffer(b, "<i4") for b in rows["buckets"]]
-    own, swapped = rows[rows["copy"] == 0], rows[rows["copy"] > 0]
-    place = {doc: i for i, doc in enumerate(own["doc_id"])}
-    return fit(list(own["buckets"]), list(own["label"]),
-               [(place[d], b) for d, b in zip(swapped["doc_id"], swapped["buckets"], strict=True)], **options)
+    schema = "doc_id long, label int, buckets binary, without array<binary>, with array<binary>"
+    rows = map_rows(found, make, schema, rows=64).toPandas()
+    rows = rows.sort_values(["doc_id", "label", "buckets"], kind="stable")
+    read = lambda x: np.frombuffer(x, "<i4")
+    copies = [(i, read(gone), read(new)) for i, sides in enumerate(zip(rows["without"], rows["with"], strict=True))
+              for gone, new in zip(*sides, strict=True)]
+    return fit([read(b) for b in rows["buckets"]], list(rows["label"]), copies, **options)
 
 
 def _scorer(model: Model) -> Scorer:
