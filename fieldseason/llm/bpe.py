@@ -6,7 +6,8 @@ bytes holds a few *readings*: the token before, the node of a trie of tokens for
 progress, and the tokens not emitted yet. A byte advances each reading; one that completes a
 token compatible with the one before also begins a new one. Tokens that all readings share are
 emitted; what is pending never exceeds the longest token. Sets of readings are the states of the
-transducer, made when first needed and kept while a bounded table has room.
+transducer, made when first needed and kept in a bounded table. When it is full, the half made first
+stays: what is frequent was met early, so the common part of a language is never made twice.
 
 Whether two tokens may be neighbours follows from their merge trees: along the border, the last
 parts of the left token and the first parts of the right one exist for a while each; the pair is
@@ -23,7 +24,10 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 import hashlib
+import itertools
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -31,7 +35,8 @@ from pyspark.sql import DataFrame
 
 from fieldseason.llm.common import held, map_rows, texts
 
-CACHED_WORDS, CACHED_STATES = 400_000, 60_000
+#: Bounds of the tables: pieces of at most ``LONGEST`` bytes, states, and pairs of tokens.
+CACHED_WORDS, LONGEST, CACHED_STATES, CACHED_PAIRS = 300_000, 48, 160_000, 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -50,43 +55,53 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def first_half(table: dict) -> dict:
+    """What was put into a table first: the frequent, as text goes."""
+    return dict(itertools.islice(table.items(), len(table) // 2))
+
+
 class Transducer:
     """Token ids of pieces of text under ``ranks``."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, {r: t for t, r in ranks.items()}
-        self._trie: list[dict[int, int]] = [{}]
-        self._token_at: dict[int, int] = {}
+        trie: list[dict[int, int]] = [{}]
+        token_at: dict[int, int] = {}
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                if (child := self._trie[node].get(byte)) is None:
-                    self._trie.append({})
-                    child = self._trie[node][byte] = len(self._trie) - 1
+                if (child := trie[node].get(byte)) is None:
+                    trie.append({})
+                    child = trie[node][byte] = len(trie) - 1
                 node = child
-            self._token_at[node] = rank
-        self._borders: dict[tuple[int, bool], list[tuple[bytes, int, int]]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._reset()
-
-    def _reset(self) -> None:
+            token_at[node] = rank
+        # Of a node and byte: the next node, its token or -1, and whether longer tokens go on from it.
+        self._trie = [{byte: (child, token_at.get(child, -1), bool(trie[child])) for byte, child in node.items()} for node in trie]
+        self._borders: dict[int, list[tuple[bytes, int, int]]] = {}
+        self._pairs: dict[int, bool] = {}
         self._ids: dict[tuple, int] = {}
         self._sets: list[tuple] = []
-        self._arcs: list[dict[int, tuple[tuple, int]]] = []
-        self._ends: list[tuple | None] = []
+        self._arcs: dict[int, tuple[tuple, int]] = {}  # by state * 256 + byte
         self._state(((-1, 0, ()),))
 
+    def _make_room(self) -> None:
+        if len(self._sets) > CACHED_STATES:
+            n = CACHED_STATES // 2
+            self._sets = self._sets[:n]
+            self._ids = dict(itertools.islice(self._ids.items(), n))
+            self._arcs = {at: arc for at, arc in self._arcs.items() if at < n << 8 and arc[1] < n}
+        if len(self._pairs) > CACHED_PAIRS:
+            self._pairs = first_half(self._pairs)
+
     def _state(self, readings: tuple) -> int:
         if (state := self._ids.get(readings)) is None:
             state = self._ids[readings] = len(self._sets)
             self._sets.append(readings)
-            self._arcs.append({})
-            self._ends.append(next((pending for _, node, pending in readings if node == 0), None))
         return state
 
     def _border(self, token: int, last: bool) -> list[tuple[bytes, int, int]]:
         """The token's last (or first) parts, smallest first, each with its rank and the rank that uses it up."""
-        if (found := self._borders.get((token, last))) is None:
+        if (found := self._borders.get(2 * token + last)) is None:
             whole, parts = self.tokens[token], []
             part, border = [whole[i:i + 1] for i in range(len(whole))], -1 if last else 0
             parts.append(part[border])
@@ -96,58 +111,81 @@ class Transducer:
                 if part[border] != parts[-1]:
                     parts.append(part[border])
             made = [-1] + [self.ranks[p] for p in parts[1:]]
-            found = self._borders[token, last] = list(zip(parts, made, made[1:] + [len(self.ranks)], strict=True))
+            found = self._borders[2 * token + last] = list(zip(parts, made, made[1:] + [len(self.ranks)], strict=True))
         return found
 
     def neighbours(self, left: int, right: int) -> bool:
         """Whether the merges leave the two tokens as they are, side by side."""
-        if (fits := self._pairs.get((left, right))) is None:
-            a, b, i, j, fits = self._border(left, True), self._border(right, False), 0, 0, True
-            while i < len(a) and j < len(b):
-                (x, _, x_used), (y, _, y_used) = a[i], b[j]
-                rank = self.ranks.get(x + y)
-                # Of equal ranks the leftmost pair merges first: the one inside the left token.
-                if rank is not None and rank < x_used and rank <= y_used:
-                    fits = False
-                    break
-                if x_used <= y_used:
-                    i += 1
-                else:
-                    j += 1
-            self._pairs[left, right] = fits
-        return fits
+        a, b, i, j, ranks = self._border(left, True), self._border(right, False), 0, 0, self.ranks
+        while i < len(a) and j < len(b):
+            (x, _, x_used), (y, _, y_used) = a[i], b[j]
+            rank = ranks.get(x + y)
+            # Of equal ranks the leftmost pair merges first: the one inside the left token.
+            if rank is not None and rank < x_used and rank <= y_used:
+                return False
+            if x_used <= y_used:
+                i += 1
+            else:
+                j += 1
+        return True
 
     def _arc(self, state: int, byte: int) -> tuple[tuple, int]:
-        readings = []
+        readings, trie, pairs, shared = [], self._trie, self._pairs, None
         for before, node, pending in self._sets[state]:
-            if (child := self._trie[node].get(byte)) is not None:
-                token = self._token_at.get(child)
-                if self._trie[child]:
-                    readings.append((before, child, pending))
-                if token is not None and (before < 0 or self.neighbours(before, token)):
-                    readings.append((token, 0, (*pending, token)))
-        shared = readings[0][2]
-        for _, _, pending in readings[1:]:
-            n = 0
-            while n < min(len(shared), len(pending)) and shared[n] == pending[n]:
-                n += 1
-            shared = shared[:n]
-        n = len(shared)
-        arc = self._arcs[state][byte] = (shared, self._state(tuple((b, c, p[n:]) for b, c, p in readings)))
+            if (step := trie[node].get(byte)) is None:
+                continue
+            child, token, longer = step
+            if longer:
+                readings.append((before, child, pending))
+                if shared is None:
+                    shared = pending
+                elif shared:
+                    shared = _both(shared, pending)
+            if token >= 0:
+                if before >= 0:
+                    if (fits := pairs.get(before << 20 | token)) is None:
+                        fits = pairs[before << 20 | token] = self.neighbours(before, token)
+                    if not fits:
+                        continue
+                pending = (*pending, token)
+                readings.append((token, 0, pending))
+                if shared is None:
+                    shared = pending
+                elif shared:
+                    shared = _both(shared, pending)
+        if shared:
+            n = len(shared)
+            readings = [(b, c, p[n:]) for b, c, p in readings]
+        arc = self._arcs[state << 8 | byte] = (shared, self._state(tuple(readings)))
         return arc
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self._sets) > CACHED_STATES:
-            self._reset()
-        if len(self._pairs) > 4 * CACHED_STATES:
-            self._pairs.clear()
+        if len(self._sets) > CACHED_STATES or len(self._pairs) > CACHED_PAIRS:
+            self._make_room()
         out, state, arcs = [], 0, self._arcs
-        for byte in piece:
-            arc = arcs[state].get(byte) or self._arc(state, byte)
+        for n, byte in enumerate(piece, 1):
+            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
             if arc[0]:
                 out += arc[0]
             state = arc[1]
-        return out + list(self._ends[state])
+            if not n & 1023:  # a piece may be very long
+                readings = self._sets[state]
+                self._make_room()
+                state, arcs = self._state(readings), self._arcs
+        for _, node, pending in self._sets[state]:
+            if node == 0:
+                return out + list(pending)
+        raise AssertionError("a byte is always a token")
+
+
+def _both(a: tuple, b: tuple) -> tuple:
+    """What two sequences begin with alike."""
+    if not a or not b or a[0] != b[0]:
+        return ()
+    n = 1
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return a if n == len(a) else a[:n]
 
 
 class Utf8Stream:
@@ -179,6 +217,11 @@ class Utf8Stream:
         yield held.decode("utf-8", "replace")
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Codec:
     """Encoding of whole texts piece by piece, with a bounded table of pieces met before."""
 
@@ -190,21 +233,23 @@ class Codec:
         self._pieces = regex.compile(public_tokenizers.PATTERN).findall
         self._transducer, self._known = Transducer(ranks), {}
         self.tokens = {r: t for t, r in ranks.items()}
+        # The tables hold no cycles, and millions of their tuples would be walked through again and again.
+        gc.set_threshold(200_000, 20, 100)
         self.stream = Utf8Stream(self.tokens)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        pieces, known = self._pieces(text), self._known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        for piece in set(pieces).difference(known):
-            ids = self._transducer.encode(piece.encode("utf-8", "surrogatepass"))
-            known[piece] = np.array(ids, "<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+        pieces, known, long = self._pieces(text), self._known, {}
+        if new := set(pieces).difference(known):
+            if len(known) > CACHED_WORDS:
+                known = self._known = first_half(known)
+                new = set(pieces).difference(known)
+            for piece in new:
+                raw = piece.encode("utf-8", "surrogatepass")
+                (known if len(raw) <= LONGEST else long)[piece] = _packed(self._transducer.encode(raw))
+            if long:
+                return b"".join([long.get(p) or known[p] for p in pieces])
+        return b"".join(map(known.__getitem__, pieces))
 
 
 def _codec(path: str) -> Codec:
