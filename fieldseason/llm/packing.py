@@ -8,7 +8,8 @@
 3. Patterns are rounded down; the few pieces left, bounded by the number of classes times a
    sequence's pieces, are placed largest first into the first sequence with room.
 4. A piece's rank within its class, numbered by (class, salt) so that no class is one task,
-   picks its pattern, sequence and slot. Only lengths and payload columns are shuffled.
+   picks its pattern, sequence and slot. Only lengths and payload columns are shuffled. Full
+   pieces take no part in 2 to 4; the numbers of their sequences are unique, but have gaps.
 
 Only the histogram by class and salt (at most ``classes * salts`` rows, whatever the input)
 reaches the driver. Null text is the empty text, which is one piece holding the end id.
@@ -153,26 +154,54 @@ def _best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple
     return float(best[capacity]), pattern
 
 
-def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000, calm: float = 0.8,
-                  near: float = 1e-3) -> list[tuple[int, dict[int, int]]]:
-    """``(times, {class: pieces})`` that together hold exactly ``demand``.
+def _greedy_basis(sizes: np.ndarray, need: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns that hold the demand, one for each class, and how often each is used.
 
-    Revised simplex over the columns in the basis. Columns are priced at duals drawn towards the
-    best ones known, at first the sizes' shares of a sequence, as the simplex's own jump about; a
-    column enters when it is worth more than a sequence at the simplex's duals. It ends when none
-    is, when the bound by the best duals is ``near``, or after ``rounds`` columns.
+    Full sequences of the largest classes left are used until a class runs out, which no later
+    pattern holds: so the patterns form a basis.
     """
-    sizes = np.array(sorted(k for k, n in demand.items() if n), int)
-    if not len(sizes):
-        return []
-    need = np.array([demand[k] for k in sizes], float)
-    columns = np.diag(capacity // sizes).astype(float)
-    inverse = np.diag(1 / np.diag(columns))
-    amount = inverse @ need
-    best, bound = sizes / capacity, sizes @ need / capacity
-    for _ in range(rounds):
-        if amount.sum() <= bound * (1 + near):
-            break
+    left, columns, amount = need.copy(), np.zeros((len(sizes), len(sizes))), np.zeros(len(sizes))
+    open_ = np.arange(len(sizes))
+    while len(open_):
+        # The fullest sequence, and among equals the one of larger pieces.
+        value = sizes[open_] + 1e-3 * sizes[open_] ** 2 / capacity
+        _, pattern = _best_pattern(sizes[open_], value, capacity)
+        times = left[open_][pattern > 0] / pattern[pattern > 0]
+        ends = open_[np.flatnonzero(pattern > 0)[int(np.argmin(times))]]
+        columns[open_, ends], amount[ends] = pattern, times.min()
+        left[open_] -= pattern * times.min()
+        left[ends] = 0
+        open_ = open_[open_ != ends]
+    return columns, amount
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination, row by row: numpy's own call waits for ever in a driver whose JVM was forked after its threads were made."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        top = i + int(np.argmax(np.abs(both[i:, i])))
+        both[[i, top]] = both[[top, i]]
+        both[i] /= both[i, i]
+        others = np.arange(n) != i
+        both[others] -= np.outer(both[others, i], both[i])
+    return both[:, n:]
+
+
+def relaxed(sizes: np.ndarray, need: np.ndarray, capacity: int, calm: float = 0.8, near: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Patterns in columns, how often each is used, and the classes' duals: no sequence holds more than a worth of 1.
+
+    Revised simplex over the columns in the basis, from a greedy one. Columns are priced at duals
+    drawn towards the best ones known, as the simplex's own jump about; a column enters when it is
+    worth more than a sequence at the simplex's duals. It ends when none is, or when the amount is
+    within ``near`` of the bound that the duals prove, however many columns that takes.
+    """
+    # A little more of each class, unlike the next one's, so that no step of the simplex is of length zero.
+    need = need + 1e-6 * (1 + np.arange(len(sizes)) * 0.6180339887 % 1)
+    columns, amount = _greedy_basis(sizes, need, capacity)
+    inverse = _inverse(columns)
+    best, bound, steps = sizes / capacity, sizes @ need / capacity, 0
+    while amount.sum() > bound * (1 + near):
         own = inverse.sum(axis=0)
         duals = calm * best + (1 - calm) * own
         worth, column = _best_pattern(sizes, duals, capacity)
@@ -181,6 +210,7 @@ def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000, cal
         if own @ column <= 1 + 1e-7:
             worth, column = _best_pattern(sizes, own, capacity)
             if worth <= 1 + 1e-7:
+                best = own / max(worth, 1)
                 break
         move = inverse @ column
         ratio = np.where(move > 1e-9, amount / np.where(move > 1e-9, move, 1), np.inf)
@@ -191,6 +221,19 @@ def plan_patterns(demand: dict[int, int], capacity: int, rounds: int = 4000, cal
         inverse[leaves] /= move[leaves]
         others = np.arange(len(sizes)) != leaves
         inverse[others] -= np.outer(move[others], inverse[leaves])
+        steps += 1
+        if steps % 200 == 0:  # against the rounding of many updates
+            inverse = _inverse(columns)
+            amount = np.maximum(inverse @ need, 0)
+    return columns, amount, best
+
+
+def plan_patterns(demand: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
+    """``(times, {class: pieces})`` that together hold exactly ``demand``."""
+    sizes = np.array(sorted(k for k, n in demand.items() if n), int)
+    if not len(sizes):
+        return []
+    columns, amount, _ = relaxed(sizes, np.array([demand[k] for k in sizes], float), capacity)
     left, plan = {int(k): int(demand[k]) for k in sizes}, []
     for j in np.argsort(-amount, kind="stable"):
         pattern = {int(k): int(n) for k, n in zip(sizes, columns[:, j], strict=True) if n}
@@ -223,7 +266,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, width: int = 16, salts: int =
     if capacity % width:
         raise ValueError("width must divide capacity")
     spark, own = pieces.sparkSession, pieces.columns
-    rows = pieces.withColumn("_class", F.ceil(F.col("length") / width).cast("int")).withColumn(
+    # A full piece is a sequence of its own; what is left of a document shares one.
+    full = pieces.filter(F.col("length") == capacity)
+    rows = pieces.filter(F.col("length") < capacity).withColumn("_class", F.ceil(F.col("length") / width).cast("int")).withColumn(
         "_salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
     counted = sorted(map(tuple, rows.groupBy("_class", "_salt").count().collect()))
     demand, offsets = {}, []
@@ -251,7 +296,9 @@ def pack(pieces: DataFrame, capacity: int = 4096, width: int = 16, salts: int =
         "_slot", F.col("_slot") + at % F.col("_each"))
     before = Window.partitionBy("sequence_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")
-    return placed.withColumn("offset", offset).select(*own, "sequence_id", "offset")
+    # Full pieces' numbers follow those of the packed sequences; they are unique, with gaps between tasks.
+    alone = full.select(*own, (F.lit(base) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.withColumn("offset", offset).select(*own, "sequence_id", "offset").unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = 4096) -> DataFrame:

@@ -30,11 +30,16 @@ CACHED_WORDS = 400_000
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
-    """The file's pieces in order with their scores; control and unknown pieces count as places only."""
+    """The file's ordinary pieces in order with their scores; others count as places only.
+
+    Control, unknown and unused pieces, and the pieces of single bytes, stand for no text: their
+    strings in a text are ordinary text.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size())]
+    special = [model.is_control, model.is_unknown, model.is_unused, model.is_byte]
+    return [(model.id_to_piece(i), -math.log(i + 1)) for i in range(model.get_piece_size()) if not any(f(i) for f in special)]
 
 
 class Counter:

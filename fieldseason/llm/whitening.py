@@ -251,8 +251,8 @@ def leading_components(times: Callable[[np.ndarray], np.ndarray], d: int, trace:
         else:
             space, image = np.hstack([space, new]), np.hstack([image, times(new)])
     # All vectors together once more, from their own images: orthonormal to the last place.
-    q, r = np.linalg.qr(locked)
-    images = np.linalg.solve(r.T, images.T).T
+    q = _orthonormal(locked)
+    images = np.linalg.solve((q.T @ locked).T, images.T).T
     small = q.T @ images
     theta, turn = np.linalg.eigh((small + small.T) / 2)
     theta, vectors = theta[::-1], q @ turn[:, ::-1]
