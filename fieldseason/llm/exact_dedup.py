@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldseason.llm.common import SPACE, texts
@@ -53,7 +53,23 @@ def exact_groups(docs: DataFrame, salts: int = 16, digest: Callable[[Column], Co
 
 
 def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns. A null id counts as its own document."""
-    stay = exact_groups(docs, salts).filter("kept and doc_id is not null").select(F.col("doc_id").alias("_stay")).distinct()
-    lost = docs.filter(docs["doc_id"].isNull())
-    return docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi").unionByName(lost)
+    """One row of each group of equal texts, with its own columns: of the smallest id, a null id last.
+
+    Where that id has several rows of the text, the first by a hash of all columns stays.
+    """
+    kept = exact_groups(docs, salts).filter("kept")
+    once = docs.groupBy(docs["doc_id"].alias("_id")).count().withColumn("_several", F.col("_id").isNull() | (F.col("count") > 1))
+    several = once.filter("_several").select("_id")
+    names = kept.select(F.col("doc_id").alias("_stay")).distinct().join(several, F.col("_stay").eqNullSafe(F.col("_id")), "left_anti")
+    single = docs.join(names, docs["doc_id"] == names["_stay"], "left_semi")
+    if several.isEmpty():
+        return single
+    # Rows whose id is not theirs alone are told apart by their text.
+    content = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), SPACE, " ")
+    again = docs.join(several, docs["doc_id"].eqNullSafe(several["_id"]), "left_semi").withColumn("_digest", sha256(content))
+    winners = kept.select(F.col("doc_id").alias("_stay"), F.col("digest").alias("_own")).distinct()
+    again = again.join(winners, again["doc_id"].eqNullSafe(winners["_stay"]) & (again["_digest"] == winners["_own"]), "left_semi")
+    # Each task cuts its own rows down to the first before they are dealt.
+    first = Window.partitionBy("_digest").orderBy(F.xxhash64(*docs.columns))
+    again = again.withColumn("_row", F.row_number().over(first)).filter("_row = 1")
+    return single.unionByName(again.select(docs.columns))

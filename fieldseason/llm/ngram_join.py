@@ -14,12 +14,13 @@ multiplicity, so copies are never paired.
 2. The pairs met, as spanning trees of their buckets, are joined to candidate groups.
 3. Within a candidate group all pairs are compared exactly over whole shingle sets, in blocks of
    ``BLOCK`` sets, each pair of blocks a task. Only sums of links and spanning trees leave it.
-4. The trees of exact links are joined to classes, named by their smallest doc_id.
+4. The trees of exact links are joined to classes, named by their smallest doc_id. Before that, sets
+   have numbers of their own for names.
 
 A text of fewer than five words is one shingle of all of them; a text without a word is linked to
 nothing, copies included. Null text is the empty text. Rows that repeat a doc_id are documents
-each. A row without doc_id is in no class: its class is null and it has no links. Other columns
-are ignored.
+each; different texts under one id are in classes of their own, which then may have one name. A row
+without doc_id is in no class: its class is null and it has no links. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldseason.llm.common import held, map_rows, split_words, stored, texts
@@ -92,8 +93,18 @@ def met(similarity: float, depth: int) -> float:
     return chance
 
 
+def missed(runs: int, similarity: float, depth: int) -> float:
+    """The chance that a pair of this similarity is together in no run.
+
+    All runs draw from the same tokens, of which the pair's share that agrees is itself by chance.
+    """
+    return sum(math.comb(TOKENS, k) * similarity**k * (1 - similarity) ** (TOKENS - k) * (1 - met(k / TOKENS, depth)) ** runs
+               for k in range(TOKENS + 1))
+
+
 def runs_for(recall: float, threshold: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - met(threshold, MAX_DEPTH)))
+    """The fewest runs that meet a pair at the threshold with this chance though it has to go through all splits."""
+    return next(n for n in range(1, 1000) if missed(n, threshold, MAX_DEPTH) <= 1 - recall)
 
 
 def children(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,14 +119,14 @@ def children(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _sets(docs: DataFrame, runs: int) -> DataFrame:
-    """``doc_id, key, size, tokens, paths``: each document's set by name, its tokens and its first buckets."""
+    """``doc_id, version, key, size, tokens, paths``: a hash of each text, its set by name, its tokens and its first buckets."""
     roots = _mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX)
 
     def make() -> Callable[[dict], dict]:
         shingler = held(("ngram_join",), Shingler)
 
         def work(rows: dict) -> dict:
-            out: dict[str, list] = {"doc_id": rows["doc_id"], "key": [], "size": [], "tokens": [], "paths": []}
+            out: dict[str, list] = {"doc_id": rows["doc_id"], "version": rows["version"], "key": [], "size": [], "tokens": [], "paths": []}
             for text in rows["text"]:
                 shingles = shingler(text)
                 tokens = tokens_of(shingles)
@@ -128,7 +139,8 @@ def _sets(docs: DataFrame, runs: int) -> DataFrame:
 
         return work
 
-    return map_rows(texts(docs), make, "doc_id long, key binary, size int, tokens binary, paths array<long>")
+    rows = texts(docs).withColumn("version", F.xxhash64("text"))
+    return map_rows(rows, make, "doc_id long, version long, key binary, size int, tokens binary, paths array<long>")
 
 
 def _split(large: DataFrame) -> DataFrame:
@@ -292,8 +304,8 @@ def _verify(rows: pa.Table, threshold: float) -> pa.Table:
 def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """``rep, links, tree`` of representatives in candidate ``groups`` (``node, label``), a row per pair of blocks."""
     sizes = groups.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = groups.join(sizes, "label").join(reps.select("rep", "key", "copies"), F.col("node") == F.col("rep")).select(
-        "rep", "key", "copies", F.col("label").alias("grp"), "blocks",
+    members = groups.join(sizes, "label").join(reps.select("rep", "key", "copies", "least"), F.col("node") == F.col("rep")).select(
+        "rep", "key", "copies", "least", F.col("label").alias("grp"), "blocks",
         F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"))
 
     def make() -> Callable[[dict], dict]:
@@ -304,7 +316,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold:
             out: dict[str, list] = {n: [] for n in (*names, "shingles")}
             for i, text in enumerate(rows["text"]):
                 shingles = shingler(text)
-                # Another text under the same doc_id is not the representative.
+                # The text that has the set, of several under the same doc_id.
                 if hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() == rows["key"][i]:
                     for n in names:
                         out[n].append(rows[n][i])
@@ -313,7 +325,7 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold:
 
         return work
 
-    rows = texts(docs).join(members, F.col("doc_id") == F.col("rep")).drop("doc_id")
+    rows = texts(docs).join(members, F.col("doc_id") == F.col("least")).drop("doc_id", "least")
     sets = map_rows(rows, make, "rep long, copies long, grp long, blocks int, block int, shingles binary", rows=64)
     # A block meets each block of its group, itself included: with one block, as nearly always, a set goes to one task.
     sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -323,8 +335,8 @@ def exact_links(docs: DataFrame, reps: DataFrame, groups: DataFrame, threshold:
         lambda table: _verify(table, threshold), "rep long, links long, tree array<long>")
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """One row per document: ``doc_id, class_id, class_size`` (documents) and ``links``."""
+def _classified(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """A row per document: ``doc_id, version, cls, class_id, class_size, links``; ``cls`` tells classes of one name apart."""
     if not 0.7 <= threshold < 1:
         raise ValueError("the number of places drawn suits thresholds from 0.7")
     sets = stored(_sets(docs, runs_for(recall, threshold)))
@@ -333,23 +345,31 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999)
     found = stored(exact_links(docs, reps, groups, threshold))
     classes = components(found.select(F.col("rep").alias("a"), F.explode("tree").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    of_set = reps.select("key", "rep", "copies").join(classes, F.col("rep") == F.col("node"), "left").join(
+    of_set = reps.select("key", "rep", "least", "copies").join(classes, F.col("rep") == F.col("node"), "left").join(
         links, "rep", "left").select(
-        F.col("key").alias("_key"), F.coalesce("label", "rep").alias("class_id"),
+        F.col("key").alias("_key"), F.coalesce("label", "rep").alias("cls"), "least",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"), "copies")
-    total = of_set.groupBy("class_id").agg(F.sum("copies").alias("_size"))
-    of_set = of_set.join(total, "class_id")
+    total = of_set.groupBy("cls").agg(F.sum("copies").alias("_size"), F.min("least").alias("class_id"))
+    of_set = of_set.join(total, "cls")
     alone = F.when(F.col("doc_id").isNotNull(), F.lit(1).cast("long"))
-    return sets.select("doc_id", "key", "size").join(
+    return sets.select("doc_id", "version", "key", "size").join(
         of_set, (F.col("key") == F.col("_key")) & F.col("doc_id").isNotNull(), "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+        "doc_id", "version", "cls", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("_size", alone).alias("class_size"), F.coalesce("_links", F.lit(0)).cast("long").alias("links"))
 
 
+def near_classes(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """One row per document: ``doc_id, class_id, class_size`` (documents) and ``links``."""
+    return _classified(docs, threshold, recall).select("doc_id", "class_id", "class_size", "links")
+
+
 def _representatives(sets: DataFrame) -> DataFrame:
-    """A row per set: the smallest id that has it, how many have it, and a byte of each token as its sketch."""
+    """A row per set: the smallest id that has it, how many have it, and a byte of each token as its sketch.
+
+    ``rep`` is a number of the set's own (to be stored): a document's id may stand for several texts.
+    """
     reps = sets.filter("size > 0 and doc_id is not null").groupBy("key", "size", "tokens", "paths").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+        F.min("doc_id").alias("least"), F.count("*").alias("copies"))
 
     def make() -> Callable[[dict], dict]:
         def work(rows: dict) -> dict:
@@ -358,11 +378,28 @@ def _representatives(sets: DataFrame) -> DataFrame:
 
         return work
 
-    return map_rows(reps, make, "key binary, size int, tokens binary, paths array<long>, rep long, copies long, sketch binary",
-                    rows=4096)
+    schema = "key binary, size int, tokens binary, paths array<long>, least long, copies long, sketch binary"
+    return map_rows(reps, make, schema, rows=4096).withColumn("rep", F.monotonically_increasing_id())
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """The rows of ``docs`` whose id names their class; rows without an id stay."""
-    stay = near_classes(docs, threshold, recall).filter("doc_id = class_id").select(F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
+    """The rows of ``docs`` that stand for their class: those of its smallest id.
+
+    Where an id has several rows, one row of one text stays for each class, and one of each text without
+    a word. Rows without an id are in no class and stay.
+    """
+    found = stored(_classified(docs, threshold, recall).filter("doc_id is not null and doc_id = class_id"))
+    names = found.select(F.col("doc_id").alias("_stay")).distinct()
+    kept, nameless = docs.join(names, docs["doc_id"] == names["_stay"], "left_semi"), docs.filter(docs["doc_id"].isNull())
+    repeated = stored(docs.groupBy(docs["doc_id"].alias("_repeated")).count().filter("_repeated is not null and count > 1"))
+    if repeated.isEmpty():
+        return kept.unionByName(nameless)
+    # Ids with several rows, of which some may be in another class: by text.
+    single = kept.join(repeated, kept["doc_id"] == repeated["_repeated"], "left_anti").unionByName(nameless)
+    of_class = found.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "version")).alias("f")).select("f.*")
+    first = of_class.union(found.filter("cls is null").select("doc_id", "version").distinct()).toDF("_id", "_version").join(
+        repeated, F.col("_id") == F.col("_repeated"), "left_semi")
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    again = docs.join(first, (docs["doc_id"] == first["_id"]) & (text == first["_version"]), "left_semi")
+    order = Window.partitionBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy(F.xxhash64(*again.columns))
+    return single.unionByName(again.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row"))

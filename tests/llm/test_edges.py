@@ -3,7 +3,7 @@
 import pytest
 
 from fieldseason.llm import (
-    bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, quality_rules, token_counts, toxicity,
+    bpe, exact_dedup, fm_quality, langid, ngram_join, packing, pii, quality_rules, simhash, token_counts, toxicity,
 )
 
 TOXIC = toxicity.fit([toxicity.buckets(["bad", "word"]), toxicity.buckets(["good"])] * 4, [1, 0] * 4)
@@ -19,6 +19,7 @@ OPERATORS = {
     "fm_quality": lambda d: fm_quality.score(d, QUALITY),
     "pii": lambda d: pii.digests(pii.find_pii(d)),
     "quality_rules": quality_rules.quality_rules,
+    "simhash": simhash.near_components,
 }
 
 
@@ -75,5 +76,26 @@ def test_kept_rows_keep_their_columns(odd):
     for frame in (exact_dedup.deduplicate(odd), ngram_join.one_of_each(odd), pii.mask(odd, pii.find_pii(odd))):
         assert frame.columns == odd.columns
         assert {r["digest"] for r in frame.collect()} == {"x"}
-    assert exact_dedup.deduplicate(odd).count() == 7
+    assert sorted(str(r["doc_id"]) for r in exact_dedup.deduplicate(odd).collect()) == sorted("1 3 4 5 7 8 None".split())
     assert ngram_join.one_of_each(odd).count() == 8
+
+
+def test_repeated_rows_leave_the_deduplicating_stages(docs_of):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text)] * 5 + [(None, text), (None, "alone here"), (None, "alone here"), (2, text), (3, "other words"), (3, "more words"),
+                              (4, "other words"), (None, ""), (5, None), (5, "")]
+    docs = docs_of(*rows)
+    found = sorted(((r["doc_id"], r["text"] or "") for r in exact_dedup.deduplicate(docs).collect()), key=str)
+    assert found == sorted([(1, text), (None, "alone here"), (3, "other words"), (3, "more words"), (5, "")], key=str)
+    near = sorted(((r["doc_id"], r["text"] or "") for r in ngram_join.one_of_each(docs.filter("doc_id is not null")).collect()), key=str)
+    assert near == sorted([(1, text), (3, "other words"), (3, "more words"), (5, "")], key=str)
+
+
+def test_ids_of_several_texts_lose_no_link(docs_of):
+    """Of (1, A), (1, B), (2, near B), (3, near A) the near ones are linked, each to its own."""
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    near = lambda words: " ".join([*words[:-1], "end"])
+    docs = docs_of((1, " ".join(a)), (1, " ".join(b)), (2, near(b)), (3, near(a)))
+    found = sorted((r["doc_id"], r["class_id"], r["class_size"], r["links"]) for r in ngram_join.near_classes(docs).collect())
+    assert found == [(1, 1, 2, 1), (1, 1, 2, 1), (2, 1, 2, 1), (3, 1, 2, 1)]
+    assert sorted((r["doc_id"], r["text"][0]) for r in ngram_join.one_of_each(docs).collect()) == [(1, "a"), (1, "b")]

@@ -14,7 +14,8 @@ from fieldseason.llm import exact_dedup, oracle, quality_rules, queries
 @pytest.mark.parametrize("name", sorted(oracle.texts()))
 def test_query_matches_statement(spark, sf, name):
     duck = duckdb.connect()
-    duck.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        duck.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
     result = duck.execute(oracle.texts()[name])
     columns = [d[0] for d in result.description]
     found = queries.registry()[name](spark, sf)

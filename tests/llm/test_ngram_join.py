@@ -88,7 +88,43 @@ def test_chance_of_meeting():
                 break
         hits += bool(paths)
     assert abs(hits / trials - ngram_join.met(0.8, ngram_join.MAX_DEPTH)) < 0.08
-    assert (1 - ngram_join.met(0.8, ngram_join.MAX_DEPTH)) ** ngram_join.runs_for(0.999, 0.8) <= 0.001
+    runs = ngram_join.runs_for(0.999, 0.8)
+    assert ngram_join.missed(runs, 0.8, ngram_join.MAX_DEPTH) <= 0.001 < ngram_join.missed(runs - 1, 0.8, ngram_join.MAX_DEPTH)
+
+
+def test_chance_of_missing_over_all_runs():
+    """All runs of a pair share its tokens; what is left out over many pairs is what ``missed`` says."""
+    rng, runs, depth, lost, trials = np.random.default_rng(9), 5, 6, 0, 1500
+    roots = rng.integers(0, 2**62, (trials, runs)).astype(np.uint64)
+    for t in range(trials):
+        a = rng.integers(0, 2**63, ngram_join.TOKENS, np.uint64)
+        b = np.where(rng.random(ngram_join.TOKENS) < 0.8, a, a + np.uint64(1))
+        now = roots[t]
+        for _ in range(depth):
+            kids = [set(ngram_join.children(now, np.broadcast_to(x, (len(now), len(x))))[1].tolist()) for x in (a, b)]
+            now = np.array(sorted(kids[0] & kids[1]), np.uint64)
+            if not len(now):
+                break
+        lost += not len(now)
+    assert abs(lost / trials - ngram_join.missed(runs, 0.8, depth)) < 0.03
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_no_link_is_lost_on_larger_tables(spark, scale):
+    """Against all pairs that share a shingle, found by an inverted index."""
+    folder = f"/root/testdata/{scale}"
+    sets = {r["doc_id"]: shingles(r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    holders, links = {}, dict.fromkeys(sets, 0)
+    for doc, own in sets.items():
+        for x in own:
+            holders.setdefault(x, []).append(doc)
+    for doc, own in sets.items():
+        shared = {}
+        for x in own:
+            for other in holders[x]:
+                shared[other] = shared.get(other, 0) + 1
+        links[doc] = sum(5 * n >= 4 * (len(own) + len(sets[o]) - n) for o, n in shared.items() if o != doc)
+    assert {r["doc_id"]: r["links"] for r in queries.op4_ngram_join(spark, folder).collect()} == links
 
 
 def test_components(spark):
