@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldseason.functions.columns import named
@@ -91,8 +91,9 @@ def optimal_mix(profitability: DataFrame, annual: DataFrame | None = None) -> Da
     )
     if annual is None:
         return mix
-    rows = annual.groupBy(*keys).agg(
-        F.min(F.struct(*annual.columns)).alias("row"), F.count("*").alias("n"))
+    # A window leaves the wide rows as they are; a grouping would compare and copy them whole.
+    counted = annual.withColumn("_rows", F.count("*").over(Window.partitionBy(*keys)))
     several = F.raise_error(F.concat_ws(" ", F.lit("several season rows for"), *keys))
-    summary = rows.select(*keys, F.when(F.col("n") == 1, F.col("row")).otherwise(several).alias("weatherSummary"))
+    single = F.when(F.col("_rows") == 1, F.struct(*annual.columns)).otherwise(several)
+    summary = counted.select(*keys, single.alias("weatherSummary"))
     return mix.join(summary, keys, "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldseason.functions.calendar import (
@@ -15,7 +15,7 @@ from fieldseason.functions.calendar import (
     month_day,
 )
 from fieldseason.functions.columns import named
-from fieldseason.functions.numeric import PARTS, decimal_value, parts, round_ratio
+from fieldseason.functions.numeric import decimal_value, measured, parts, round_ratio, round_total, whole
 from fieldseason.functions.weather import (
     FROST_F,
     GDD_BASE_F,
@@ -97,23 +97,23 @@ def segment_totals(
     and task.
     """
     placed = days.selectExpr(
-        "stationId", "year(date) as year", f"{month_day('date')} as mmdd",
-        "tempMaxF", "tempMinF", "tempAvgF", "precipIn", "snowIn",
+        "stationId", "year(date) as year", f"{month_day('date')} as mmdd", "tempMinF", "tempMaxF",
+        f"{growing_degrees('tempMaxF', 'tempMinF', base, cap)} as gdd",
+        "coalesce(precipIn, 0D) as precip", "coalesce(snowIn, 0D) as snow", "tempAvgF as temp",
     )
     return placed.groupBy("stationId", "year", F.expr(segments.segment("mmdd")).alias("segment")).agg(
         *named(
-            gdd=f"sum({parts(growing_degrees('tempMaxF', 'tempMinF', base, cap))})",
-            precip=f"sum({parts('coalesce(precipIn, 0D)')})",
-            snow=f"sum({parts('coalesce(snowIn, 0D)')})",
+            **{name: f"sum({part(m)})" for m in MEASURES for name, part in ((m, whole), (f"{m}Parts", parts))},
             frostFree=f"sum({frost_free('tempMinF', frost)})",
             heat=f"sum({heat_stress('tempMaxF', heat)})",
-            temp=f"sum({parts('tempAvgF')})",
-            tempDays="count(tempAvgF)",
+            tempDays=f"count({measured('temp')})",
         )
     )
 
 
-_SUMMED = ("gdd", "precip", "snow", "frostFree", "heat", "temp", "tempDays")
+#: Measures that are summed: whole units under the name itself, the rest under ``Parts``.
+MEASURES = ("gdd", "precip", "snow", "temp")
+_SUMMED = (*MEASURES, *(f"{m}Parts" for m in MEASURES), "frostFree", "heat", "tempDays")
 
 
 def season_long(
@@ -125,43 +125,53 @@ def season_long(
     wrapping window takes both of its ends from the same calendar year. An empty
     window gives zeros.
     """
+    return season_of_totals(segment_totals(days, YearSegments.of(windows), **thresholds), windows)
+
+
+def season_of_totals(totals: DataFrame, windows: Sequence[CalendarWindow] = WINDOWS) -> DataFrame:
+    """``season_long`` from totals per station, year and segment, one row or more of each."""
     segments = YearSegments.of(windows)
     # One exchange by station serves all that follows, also the yearly mean in
     # drought_index: a station has at most (years x segments) rows by now. The first
     # segment of a year lists every window, so that empty ones appear.
     first = "row_number() over (partition by stationId, year order by segment) = 1"
     placed = (
-        segment_totals(days, segments, **thresholds)
-        .repartition("stationId")
+        totals.repartition("stationId")
         .selectExpr("*", f"{first} as opening")
         .selectExpr("*", f"inline({segments.windows_of('segment', 'opening')})")
     )
     summed = placed.groupBy("stationId", "year", "window").agg(*named(**{
         c: f"sum(coalesce({c}, 0) * inside)" for c in _SUMMED
     }))
-    rounded = summed.selectExpr("*", f"{round_ratio('precip', str(PARTS), 2)} as precipCents")
+    rounded = summed.selectExpr("*", f"{_rounded('precip', 2)} as precipCents")
     return drought_index(rounded).selectExpr(
         "stationId", "year", "window",
-        f"{decimal_value(round_ratio('gdd', str(PARTS), 1), 1)} as gdd",
+        f"{decimal_value(_rounded('gdd', 1), 1)} as gdd",
         f"{decimal_value('precipCents', 2)} as precipIn",
         "cast(frostFree as int) as frostFreeDays",
         "cast(heat as int) as heatStressDays",
-        f"coalesce({decimal_value(round_ratio('temp', f'(tempDays * {PARTS})', 1), 1)}, 0D) as avgTempF",
-        f"{decimal_value(round_ratio('snow', str(PARTS), 2), 2)} as snowIn",
+        f"coalesce({decimal_value(_rounded('temp', 1, 'tempDays'), 1)}, 0D) as avgTempF",
+        f"{decimal_value(_rounded('snow', 2), 2)} as snowIn",
         "droughtIndex",
     )
 
 
+def _rounded(measure: str, digits: int, by: str = "1") -> str:
+    return round_total(measure, f"{measure}Parts", digits, by)
+
+
 def drought_index(
     df: DataFrame, amount: str = "precipCents", by: Sequence[str] = ("stationId", "window")
 ) -> DataFrame:
     """Relative distance of an integer amount from its mean over the group's rows.
 
     ``(x - mean) / mean`` to four decimals, as ``(n * x - sum) / sum`` in integers;
-    null when the mean is zero. A group holds one row per year.
+    null when the mean is zero. A group holds one row per year. Decimals have room for
+    any amount; there are few rows by now.
     """
     group = f"over (partition by {', '.join(by)})"
-    index = decimal_value(round_ratio(f"(_rows * {amount} - _sum)", "_sum", 4), 4)
+    wide = "cast({} as decimal(24, 0))".format
+    index = decimal_value(round_ratio(f"({wide('_rows * ' + amount)} - {wide('_sum')})", wide("_sum"), 4), 4)
     return df.selectExpr(
         "*", f"sum({amount}) {group} as _sum", f"count({amount}) {group} as _rows"
     ).selectExpr("*", f"{index} as droughtIndex").drop("_sum", "_rows")
@@ -220,6 +230,7 @@ def county_seasons(
         F.min(F.struct("countyFips", "stateCode")).alias("c"), F.count("*").alias("n"))
     twice = F.raise_error(F.concat(F.lit("several counties for "), F.col("stationId")))
     mapped = single.select("stationId", F.when(F.col("n") == 1, F.col("c")).otherwise(twice).alias("c"))
-    first = F.min(F.struct("stationId", F.struct(*wide.columns[2:]).alias("metrics"))).alias("first")
-    placed = wide.join(mapped, "stationId").groupBy("year", "c.countyFips", "c.stateCode").agg(first)
-    return placed.select("year", "countyFips", "stateCode", "first.stationId", "first.metrics.*")
+    # The first by rank: ranks are cut before the rows are dealt, and wide rows are not aggregated.
+    rank = F.row_number().over(Window.partitionBy("year", "c.countyFips", "c.stateCode").orderBy("stationId"))
+    placed = wide.join(mapped, "stationId").withColumn("_rank", rank).filter("_rank = 1")
+    return placed.select("year", "c.countyFips", "c.stateCode", "stationId", *wide.columns[2:])

@@ -125,16 +125,50 @@ def choose_grain(drilldown: DataFrame, first: int, last: int, max_years: int = 5
     )
 
 
-def summary_stats(melted: DataFrame, by: tuple[str, ...] = ("window", "metric")) -> DataFrame:
-    """Mean, extremes and population deviation of each metric; null and NaN are skipped."""
-    return melted.filter("value is not null and not isnan(value)").groupBy(*by).agg(*named(
-        avgValue="avg(value)",
+#: Fixed point in which moments are added up, and the size up to which values fit into it.
+_STEPS, _FITS = 10**8, 1e5
+
+
+def moments(melted: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``n``, sum and sum of squares of each group's values as integers, in steps of ``10 ** -8``.
+
+    Moments of parts of a table add up to those of the whole, whatever the parts and their order;
+    null and NaN are skipped. ``plain`` holds the groups' mean and deviation in doubles for groups
+    with a value of 100,000 or more, which has no place in the fixed point.
+    """
+    steps = f"cast(rint(value * {_STEPS}D) as bigint)"
+    fits = f"case when abs(value) < {_FITS:.0f}D then {steps} end"
+    return melted.filter("value is not null and not isnan(value)").selectExpr(*by, "value", f"{fits} as u").groupBy(*by).agg(*named(
+        n="count(*)",
+        fitting="count(u)",
+        total="sum(cast(u as decimal(18, 0)))",
+        squares="sum(cast(cast(u as decimal(18, 0)) * cast(u as decimal(18, 0)) as decimal(28, 0)))",
         minValue="min(value)",
         maxValue="max(value)",
-        stddevValue="stddev_pop(value)",
+        plain="named_struct('mean', avg(value), 'deviation', stddev_pop(value))",
     ))
 
 
+def summary_stats(melted: DataFrame, by: tuple[str, ...] = ("window", "metric")) -> DataFrame:
+    """Mean, extremes and population deviation of each metric; null and NaN are skipped.
+
+    From integer moments with one division at the end, so the digits do not depend on how rows
+    are dealt (but in groups with values of 100,000 or more).
+    """
+    # Squares about the whole part of the mean, which leaves nothing to cancel.
+    centre = "cast(total div n as decimal(20, 0))"
+    about = f"(squares - 2 * {centre} * total + {centre} * {centre} * n)"
+    rest = f"cast(total - {centre} * n as double)"
+    deviation = f"sqrt(greatest(cast({about} as double) - {rest} * {rest} / n, 0D) / n) / {_STEPS}D"
+    wide = [f"cast({c} as decimal(38, 0)) as {c}" for c in ("total", "squares", "n")]
+    return moments(melted, by).selectExpr(*by, "minValue", "maxValue", "plain", "fitting = n as exact", *wide).selectExpr(
+        *by,
+        f"case when exact then cast(total as double) / cast(n as double) / {_STEPS}D else plain.mean end as avgValue",
+        "minValue", "maxValue",
+        f"case when exact then {deviation} else plain.deviation end as stddevValue",
+    )
+
+
 _CONDITION = f"{condition('droughtIndex', 'heatStressDays')} as condition"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,6 +140,33 @@ def pool_medians(obs: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     return _by_date(_temperature_histogram(obs, exclude, None), supplemental=False)
 
 
+def temperature_counts(obs: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """``date, element, reading, n``: how often each temperature was read on each date.
+
+    Counts of two tables add up, and rows taken away count negative, so the counts of a table
+    can be kept up to date without reading it again.
+    """
+    return obs.filter(f"{_IS_TEMPERATURE} and {_pooled(exclude)}").groupBy(
+        "date", *named(element="dataType", reading="value")).agg(F.count("*").alias("n"))
+
+
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """The sum of counts; what is not read any more is left out."""
+    return reduce(DataFrame.unionByName, counts).groupBy("date", "element", "reading").agg(
+        F.sum("n").alias("n")).filter("n > 0")
+
+
+def medians_of_counts(counts: DataFrame) -> DataFrame:
+    """``pool_medians`` from counted readings, for the dates that have any."""
+    return _by_date(counts, supplemental=False)
+
+
+def fallback_of_counts(counts: DataFrame, obs: DataFrame, supplemental: str | None) -> DataFrame:
+    """``fallback_temperatures`` from counted readings and the supplemental station's own rows."""
+    supp = pivot_supplemental(obs, supplemental) if supplemental is not None else pivot_supplemental(obs.filter("false"), "")
+    return medians_of_counts(counts).join(supp, "date", "full")
+
+
 def fallback_temperatures(
     obs: DataFrame, supplemental: str | None = None, exclude: Sequence[str] = ()
 ) -> DataFrame:

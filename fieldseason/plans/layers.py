@@ -37,8 +37,11 @@ def gold_for(daily: DataFrame, site: Site) -> DataFrame:
 
 
 def refresh(obs: DataFrame, new: DataFrame, site: Site, on_conflict: str = "replace") -> DataFrame:
-    """Incremental rows applied by ``upsert``'s rule, then the season table, as one plan."""
-    return gold_for(silver_for(upsert(obs, new, on_conflict=on_conflict), site), site)
+    """Incremental rows applied by ``upsert``'s rule, then the season table.
+
+    The updated rows are written once, where the daily rows and the medians would each make them.
+    """
+    return gold_for(silver_for(materialize(upsert(obs, new, on_conflict=on_conflict), "updated"), site), site)
 
 
 def refresh_stored(

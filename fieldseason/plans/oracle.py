@@ -310,6 +310,13 @@ def _gold(body: str, parts=(), **replaced: str) -> str:
     return _sql(body, (*parts, *_ANCHOR, *_SEASON, "gold_all", "gold"), **replaced)
 
 
+def _updated(body: str, obs: str) -> str:
+    """A statement about all stations over the observations after an update."""
+    return _sql(
+        body, ("base", "old", "newer", *_SILVER, *_SEASON),
+        base=_PARTS["obs"], old=_OLD, newer=_NEWER, obs=obs, qualified=_qualified("daily_all"))
+
+
 _MIX = """from (
                  select year, countyFips, stateCode, max(revenueUsdAcre) as top,
                    max(crop) filter (where rn = 1 and revenueUsdAcre is not null) as recommendedCrop
@@ -431,6 +438,21 @@ def _texts() -> dict[str, str]:
         # sources and tables
         "stored_table": _sql(_PROFILE.format("obs"), obs),
         "overwrite_station": _sql(_PROFILE.format(f"({_STATION_CUT})"), obs),
+        "overwrite_station_by_year": _sql(_PROFILE.format(f"({_STATION_CUT})"), obs),
+        "clustered_station": _sql(
+            f"""select {_YEAR} as year, dataType, count(value) as readings, min(date) as firstDate, max(date) as lastDate
+                from obs where stationId = '{supp}' group by all""",
+            obs,
+        ),
+        "duplicate_keys_bucketed": _sql(
+            """select stationId, date, dataType, count(*) as n from obs
+               group by stationId, date, dataType having count(*) > 1""",
+            obs,
+        ),
+        "upsert_bucketed": _sql(
+            _UPSERTED.format(_replaced("old", "newer")), ("base", "old", "newer"),
+            base=_PARTS["obs"], old=_OLD, newer=_NEWER,
+        ),
         "append_absent": _sql(
             _PROFILE.format(f"({_kept('old', 'newer')})"),
             ("base", "old", "newer"), base=_PARTS["obs"], old=_OLD, newer=_NEWER,
@@ -807,6 +829,17 @@ def _texts() -> dict[str, str]:
             "select * from gold", ("base", "old", "newer"),
             base=_PARTS["obs"], old=_OLD, newer=_NEWER, obs=_kept("old", "newer"),
         ),
+        "refresh_propagated": _updated(_GOLD, _replaced("old", "newer")),
+        "refresh_propagated_keep": _updated(_GOLD, _kept("old", "newer")),
+        "silver_propagated": _updated("select * from daily_all", _replaced("old", "newer")),
+        "pool_medians_merged": _updated(
+            "select * from pool where poolTMAX is not null or poolTMIN is not null", _replaced("old", "newer")),
+        "temperature_counts_merged": _sql(
+            """select date, dataType as element, value as reading, count(*) as n
+               from (select * from base where date < '{0}' union all select * from newer)
+               where value is not null and dataType in ('TMAX', 'TMIN') group by all""".format(q.NEW_FROM),
+            ("base", "newer"), base=_PARTS["obs"], newer=_NEWER,
+        ),
         "rebuild": _gold(
             "select * from gold", ("base",), base=_PARTS["obs"],
             obs=f"select * from base where date <= '{q.CUTOFF}'",

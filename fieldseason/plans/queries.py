@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from fieldseason.functions.calendar import expected_days
 from fieldseason.functions.crops import normalise_crop
 from fieldseason.operators import bronze, crops, gold, present, silver
-from fieldseason.plans import layers
+from fieldseason.plans import incremental, layers
 from fieldseason.schemas import CROP_RECORDS, ELEMENTS, OBSERVATIONS
-from fieldseason.sources import fixtures, landed, reports, tables
+from fieldseason.sources import fixtures, landed, layouts, reports, tables
 from fieldseason.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,46 @@ def overwrite_station(spark: SparkSession, sf: str) -> DataFrame:
     return _table_profile(tables.read_table(spark, path, OBSERVATIONS))
 
 
+@_query
+def overwrite_station_by_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over a table partitioned by year, of which only the station's years are rewritten."""
+    obs = obs_of(spark, sf)
+    path = tables.scratch_path(spark, "observations")
+    tables.write_layer(obs, path, ["year"])
+    newer = obs.filter((F.col("stationId") == "GHCND:ST2") & (F.col("date") <= CUTOFF))
+    tables.overwrite_station(newer, path, "GHCND:ST2", ["year"])
+    return _table_profile(tables.read_table(spark, path, OBSERVATIONS))
+
+
+@_query
+def clustered_station(spark: SparkSession, sf: str) -> DataFrame:
+    """One station's readings from year partitions that are sorted by station and date."""
+    path = tables.scratch_path(spark, "clustered")
+    layouts.write_clustered(obs_of(spark, sf), path)
+    stored = tables.read_partitioned(spark, path, OBSERVATIONS, ["year"])
+    return stored.filter(F.col("stationId") == SITE.supplemental).groupBy("year", "dataType").agg(
+        F.count("value").alias("readings"), F.min("date").alias("firstDate"), F.max("date").alias("lastDate"))
+
+
+def _bucketed(spark: SparkSession, obs: DataFrame, buckets: int = 16) -> DataFrame:
+    path = tables.scratch_path(spark, "bucketed")
+    return layouts.write_bucketed(obs, path.rsplit("/", 1)[-1].replace("-", "_"), path, buckets)
+
+
+@_query
+def duplicate_keys_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The duplicate check over a table bucketed by key, which needs no exchange."""
+    return layouts.bucketed_duplicates(_bucketed(spark, obs_of(spark, sf)))
+
+
+@_query
+def upsert_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The update of a table bucketed by key: the new rows come to its buckets."""
+    obs = obs_of(spark, sf)
+    stored = _bucketed(spark, obs.filter(F.col("date") <= OLD_UNTIL))
+    return _counted(layouts.upsert_bucketed(stored, _newer(obs), 16))
+
+
 @_query
 def append_absent(spark: SparkSession, sf: str) -> DataFrame:
     """The stored form of the incremental update."""
@@ -825,6 +865,48 @@ def refresh_stored_keep(spark: SparkSession, sf: str) -> DataFrame:
     return layers.refresh_stored(spark, path, _newer(obs), SITE, "keep", ["year"])
 
 
+def _updated_store(spark: SparkSession, sf: str, on_conflict: str) -> incremental.Store:
+    """Layers stored as of a date, and then brought up to date."""
+    obs, stations = obs_of(spark, sf), fixtures.stations(spark, sf)
+    store = incremental.Store(tables.scratch_path(spark, "store"), SITE.supplemental, SITE.supplemental_name)
+    incremental.create(spark, store, obs.filter(F.col("date") <= OLD_UNTIL), stations)
+    incremental.apply_update(spark, store, _newer(obs), on_conflict, stations)
+    return store
+
+
+@_query
+def refresh_propagated(spark: SparkSession, sf: str) -> DataFrame:
+    """The season table of all stations after an update that rewrote what it changed."""
+    return incremental.season_weather(spark, _updated_store(spark, sf, "replace"), SITE.county_fips, SITE.state)
+
+
+@_query
+def refresh_propagated_keep(spark: SparkSession, sf: str) -> DataFrame:
+    return incremental.season_weather(spark, _updated_store(spark, sf, "keep"), SITE.county_fips, SITE.state)
+
+
+@_query
+def silver_propagated(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily table of all stations after the same update."""
+    return incremental.daily(spark, _updated_store(spark, sf, "replace"))
+
+
+@_query
+def pool_medians_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians from stored counts that an update was added to."""
+    return incremental.pool_medians(spark, _updated_store(spark, sf, "replace"))
+
+
+@_query
+def temperature_counts_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts themselves, after readings were added and taken away."""
+    obs = obs_of(spark, sf)
+    older = silver.temperature_counts(obs.filter(F.col("date") <= OLD_UNTIL))
+    gone = silver.temperature_counts(obs.filter((F.col("date") <= OLD_UNTIL) & (F.col("date") >= NEW_FROM)))
+    added = silver.temperature_counts(_newer(obs))
+    return silver.merged_counts(older, gone.withColumn("n", -F.col("n")), added)
+
+
 @_query
 def rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return layers.rebuild(obs_of(spark, sf), CUTOFF, SITE)

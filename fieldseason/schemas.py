@@ -38,6 +38,19 @@ DAILY = _struct(
     month=_I, season=_S, **{w.key: _B for w in PHASES},
 )
 
+_L = T.LongType()
+
+#: Readings of a date counted by value; season totals of a part of the year (see ``gold.segment_totals``).
+COUNTS = _struct(date=_S, element=_S, reading=_D, n=_L)
+
+SEGMENT_TOTALS = _struct(
+    stationId=_S, year=_I, segment=_I, gdd=_L, gddParts=_L, precip=_L, precipParts=_L, snow=_L, snowParts=_L,
+    temp=_L, tempParts=_L, frostFree=_L, heat=_L, tempDays=_L, days=_I,
+)
+
+#: Updates of stored layers: ``ready`` once written aside, ``done`` once in place.
+JOURNAL = _struct(update=_S, state=_S)
+
 CROP_RECORDS = _struct(
     year=_I, stateCode=_S, countyFips=_S, cropName=_S,
     yieldBuAcre=_D, priceUsdBu=_D, areaHarvested=_D,

@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
@@ -99,9 +100,32 @@ def test_round_ratio_of_zero_denominator(evaluate):
     assert evaluate(numeric.round_ratio("n", "d", 2), n="5L", d="0L") is None
 
 
-def test_millionths(evaluate):
-    assert evaluate(numeric.millionths("v"), v="0.1D + 0.2D") == 300000
-    assert evaluate(numeric.millionths("v"), v="cast(null as double)") is None
+def test_whole_and_parts(evaluate):
+    both = lambda v: (evaluate(numeric.whole("v"), v=v), evaluate(numeric.parts("v"), v=v))
+    assert both("0.1D + 0.2D") == (0, 300_000_000_000)
+    assert both("-3.25D") == (-4, 750_000_000_000)
+    assert both("1e9D") == (10**9, 0)
+    for nothing in ("cast(null as double)", "double('NaN')", "double('Infinity')", "-1e12D", "1e300D"):
+        assert both(nothing) == (None, None)
+
+
+def test_round_total_against_fractions(spark):
+    rng, rows = random.Random(8), []
+    for _ in range(3000):
+        units = rng.choice([0, rng.randrange(-500, 500), rng.randrange(-10**14, 10**14)])
+        rest = rng.choice([0, rng.randrange(0, 400 * 10**12), 5 * 10**rng.randrange(6, 12), 10**12 - 1])
+        rows.append((units, rest, rng.choice([1, 2, 7, 366, 100_000])))
+    rows.append((5, 1, 0))
+    df = spark.createDataFrame(rows, "units long, rest long, by long")
+    for digits in (1, 2):
+        for row in df.selectExpr("*", f"{numeric.round_total('units', 'rest', digits, 'by')} as r").collect():
+            if not row["by"]:
+                assert row["r"] is None
+                continue
+            exact = Fraction(row["units"] * 10**12 + row["rest"], 10**12 * row["by"]) * 10**digits
+            size = abs(exact)
+            rounded = int(size) + (size - int(size) >= Fraction(1, 2))
+            assert row["r"] == (-rounded if exact < 0 else rounded), (row, digits)
 
 
 def test_to_fixed_follows_the_binary_value(spark):

@@ -208,3 +208,21 @@ def test_temp_availability_marks_years_without_temperatures(spark):
     assert [tuple(r) for r in gold.temp_availability(daily).collect()] == [
         (2000, 8, 1, "13%", ""), (2001, 1, 0, "0%", "NO TEMPERATURE DATA"),
     ]
+
+
+def test_absurd_readings_stop_no_job_and_depend_on_no_order(spark, days):
+    rows = [("A", date(2001, 5, d), 1e9 + d / 7, 40.0 + d / 3, 1e9 / d, 0.1 * d) for d in range(1, 29)]
+    rows += [("A", date(2001, 6, 1), 80.0, 60.0, 1e300, 1e13), ("A", date(2002, 6, 1), 80.0, 60.0, 1e11, 5.0)]
+    found = [
+        sorted(map(repr, gold.season_long(days(*order).repartition(n)).collect()))
+        for n, order in ((1, rows), (7, rows[::-1]), (3, rows[5:] + rows[:5]))
+    ]
+    assert found[0] == found[1] == found[2]
+    long = {(r["year"], r["window"]): r for r in gold.season_long(days(*rows)).collect()}
+    may = [r for r in rows if r[1].month == 5]
+    assert long[2001, "may"]["precipIn"] == half_up(sum(Fraction(r[4]) for r in may), 2)
+    assert long[2001, "may"]["avgTempF"] == half_up(sum(Fraction((r[2] + r[3]) / 2) for r in may) / len(may), 1)
+    assert long[2001, "jun"]["precipIn"] == 0.0 and long[2001, "jun"]["snowIn"] == 0.0  # no measures
+    assert long[2002, "jun"]["precipIn"] == 1e11 and long[2002, "jun"]["droughtIndex"] == 1.0
+    wide = gold.season_wide(gold.season_long(days(*rows))).collect()
+    assert len(wide) == 2

@@ -1,5 +1,7 @@
 import json
+import random
 from datetime import date
+from fractions import Fraction
 
 import pytest
 
@@ -102,3 +104,29 @@ def test_preview_and_sample(spark):
     assert [r["id"] for r in present.preview(df, "id").collect()] == list(range(100))
     sample = present.sample_table(df, "id").collect()
     assert [r["id"] for r in sample] == list(range(20)) and {r["tableRows"] for r in sample} == {150}
+
+
+def test_moments_have_the_same_digits_however_rows_are_dealt(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b"]), "m", rng.choice([rng.gauss(60, 20), rng.random() / 25.4, 0.1, None, float("nan")])) for _ in range(4000)]
+    rows += [("flat", "m", 0.3)] * 50 + [("huge", "m", 3e5), ("huge", "m", 1.0)]
+    melted = spark.createDataFrame(rows, "window string, metric string, value double")
+    found = [sorted(map(repr, present.summary_stats(frame).collect())) for frame in (
+        melted, melted.repartition(1), melted.repartition(7), melted.orderBy("value"))]
+    assert all(f == found[0] for f in found)
+    by = {r["window"]: r for r in present.summary_stats(melted).collect()}
+    for window in ("a", "b"):
+        values = [Fraction(v) for w, _, v in rows if w == window and v is not None and v == v]
+        mean = sum(values) / len(values)
+        assert by[window]["avgValue"] == pytest.approx(float(mean), abs=1e-8)
+        assert by[window]["stddevValue"] == pytest.approx(float(sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5, abs=1e-8)
+    assert (by["flat"]["avgValue"], by["flat"]["stddevValue"]) == (0.3, 0.0)
+    assert (by["huge"]["avgValue"], by["huge"]["stddevValue"]) == (150000.5, 149999.5)
+
+
+def test_moments_of_parts_add_up(spark):
+    melted = spark.createDataFrame([("w", "m", i / 3) for i in range(100)], "window string, metric string, value double")
+    whole = present.moments(melted, ("window", "metric")).first()
+    parts = [present.moments(p, ("window", "metric")).first() for p in (melted.filter("value < 10"), melted.filter("value >= 10"))]
+    for name in ("n", "fitting", "total", "squares"):
+        assert whole[name] == parts[0][name] + parts[1][name]
