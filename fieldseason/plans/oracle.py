@@ -469,6 +469,14 @@ def _texts() -> dict[str, str]:
                from ({_UNPIVOTED}) l""",
             ("obs", "wide"),
         ),
+        "daily_json_quarantine": _sql(
+            """select case when substring(date, 9, 2) = '05' then 'no field of a summary' else 'no JSON' end as reason,
+                 count(*) as rejected,
+                 count(distinct case when substring(date, 9, 2) = '07' then 'cut' else date end) as texts,
+                 (select count(*) from wide) as accepted
+               from wide where substring(date, 9, 2) in ('05', '06', '07') group by all""",
+            ("obs", "wide"),
+        ),
         "landed_stream": _sql(
             _PROFILE.format(f"({_kept('old', 'newer')})"), ("obs", "wide", "newer", "old"),
             newer=_UNPIVOTED,

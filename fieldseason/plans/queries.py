@@ -207,6 +207,16 @@ def daily_json_with_errors(spark: SparkSession, sf: str) -> DataFrame:
         "responses": counted.select("responses").scalar(), "rejected": counted.select("rejected").scalar()})
 
 
+@_query
+def daily_json_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected objects by reason, beside what one pass over all responses wrote to either side."""
+    target = tables.scratch_path(spark, "landed")
+    landed.land_daily_json(spark, _responses(spark, sf), target, multi_line=False)
+    accepted = landed.accepted_summaries(spark, target).agg(F.count("*")).scalar()
+    return landed.rejected_objects(spark, target).groupBy("reason").agg(
+        F.count("*").alias("rejected"), F.count_distinct("object").alias("texts")).withColumn("accepted", accepted)
+
+
 @_query
 def landed_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The incremental update as a stream, over a table partitioned by year that has a part of the days."""

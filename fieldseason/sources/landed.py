@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamReader
@@ -86,6 +86,63 @@ def rejected_responses(spark: SparkSession, path: str, multi_line: bool = True)
     ).agg(F.count("*").alias("responses"), F.count_if(~F.col("good")).alias("rejected"))
 
 
+def _quarantine_schema(elements: Sequence[str]) -> T.StructType:
+    return _strings(["path", "reason", "object", "STATION", "DATE", *elements]).add("position", "long").add("accepted", "boolean")
+
+
+def parsed_objects(
+    spark: SparkSession, path: str, elements: Sequence[str] = ELEMENTS, multi_line: bool = True
+) -> DataFrame:
+    """Each object of each response once: its file, its place in the response, its text, its fields, and a ``reason``
+    if it is no summary.
+
+    A response that cannot be parsed, or is no array (a line: no object), is one object itself, so
+    that nothing landed is lost. An empty array holds no object.
+    """
+    fields = daily_json_schema(elements).names
+    text = spark.read.text(path, wholetext=multi_line).selectExpr("value", "_metadata.file_path as path").filter("trim(value) <> ''")
+    opening, wanted = ("[", "no array") if multi_line else ("{", "no object")
+    whole = f"case when try_parse_json(value) is null then 'no JSON' when not startswith(trim(value), '{opening}') then '{wanted}' end"
+    objects = "from_json(value, 'array<string>')" if multi_line else "array(value)"
+    split = text.selectExpr("path", "value", f"{whole} as whole").selectExpr(
+        "path", "whole", f"posexplode(case when whole is null then {objects} else array(value) end) as (position, object)")
+    parsed = split.selectExpr("*", f"case when whole is null then from_json(object, '{', '.join(f'{f} string' for f in fields)}') end as x")
+    return parsed.selectExpr(
+        "path", "cast(position as bigint) as position", "object",
+        "coalesce(whole, case when object is null or not startswith(trim(object), '{') then 'no object'"
+        f" when coalesce({', '.join(f'x.{f}' for f in fields)}) is null then 'no field of a summary' end) as reason",
+        *[f"x.{f} as {f}" for f in fields])
+
+
+def land_daily_json(
+    spark: SparkSession, path: str, target: str, elements: Sequence[str] = ELEMENTS, multi_line: bool = True
+) -> dict[str, int]:
+    """Write each landed object to the accepted or to the rejected part of ``target``; returns how many went where.
+
+    One pass reads and parses the responses; the counts are observed on the way. ``target`` has to be unused.
+    """
+    seen = Observation()
+    frame = parsed_objects(spark, path, elements, multi_line).withColumn("accepted", F.col("reason").isNull()).observe(
+        seen, F.count(F.lit(1)).alias("objects"), F.count_if("accepted").alias("accepted"),
+        F.count_if(~F.col("accepted")).alias("rejected"))
+    frame.write.partitionBy("accepted").parquet(target)
+    return seen.get
+
+
+def _landed(spark: SparkSession, target: str, elements: Sequence[str], accepted: bool) -> DataFrame:
+    return spark.read.schema(_quarantine_schema(elements)).parquet(target).filter(F.col("accepted") == accepted)
+
+
+def accepted_summaries(spark: SparkSession, target: str, elements: Sequence[str] = ELEMENTS) -> DataFrame:
+    """The summaries of ``land_daily_json``, as ``read_daily_json`` gives them."""
+    return _landed(spark, target, elements, True).select(*daily_json_schema(elements).names)
+
+
+def rejected_objects(spark: SparkSession, target: str, elements: Sequence[str] = ELEMENTS) -> DataFrame:
+    """What was rejected, for repair: ``path, position, reason`` and the text."""
+    return _landed(spark, target, elements, False).select("path", "position", "reason", "object")
+
+
 def unpivot_daily_json(df: DataFrame, elements: Sequence[str] = ELEMENTS) -> DataFrame:
     """A long row per element of each daily summary, also for readings that are absent.
 

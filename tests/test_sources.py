@@ -170,3 +170,33 @@ def test_error_responses_give_no_row_and_are_counted(spark, tmp_path):
     rows = landed.unpivot_daily_json(landed.read_daily_json(spark, str(tmp_path))).collect()
     assert {(r["stationId"], r["date"]) for r in rows} == {("GHCND:A", "2020-01-01")}
     assert tuple(landed.rejected_responses(spark, str(tmp_path)).first()) == (5, 3)
+
+
+def test_rejected_objects_are_kept_with_their_reasons(spark, tmp_path):
+    landing, target = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    (landing / "a.json").write_text(
+        '[{"STATION": "A", "DATE": "2020-01-01", "TMAX": 1}, {"errorCode": 7}, 5, null, {"STATION": "B", "DATE": "2020-01-02", "TMIN": "2"}]')
+    (landing / "b.json").write_text('{"errorCode": 400, "errors": []}')
+    (landing / "c.json").write_text("<html><body>busy</body></html>")
+    (landing / "d.json").write_text('[{"STATION": "A", "DA')
+    (landing / "e.json").write_text("[]")
+    counts = landed.land_daily_json(spark, str(landing), target)
+    assert counts == {"objects": 8, "accepted": 2, "rejected": 6}
+    accepted = landed.accepted_summaries(spark, target)
+    assert sorted((r["STATION"], r["TMAX"], r["TMIN"]) for r in accepted.collect()) == [("A", "1", None), ("B", None, "2")]
+    found = {(r["path"][-6:], r["position"], r["reason"]): r["object"] for r in landed.rejected_objects(spark, target).collect()}
+    assert found == {
+        ("a.json", 1, "no field of a summary"): '{"errorCode":7}', ("a.json", 2, "no object"): "5", ("a.json", 3, "no object"): None,
+        ("b.json", 0, "no array"): '{"errorCode": 400, "errors": []}', ("c.json", 0, "no JSON"): "<html><body>busy</body></html>",
+        ("d.json", 0, "no JSON"): '[{"STATION": "A", "DA'}
+
+
+def test_lines_are_landed_in_one_scan(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"STATION": "A", "DATE": "2020-01-01", "SNOW": 1}\n\n{"busy": 1}\n[1]\nnothing\n')
+    frame = landed.parsed_objects(spark, str(tmp_path), multi_line=False)
+    assert frame._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    target = str(tmp_path / "out")
+    assert landed.land_daily_json(spark, str(tmp_path / "a.json"), target, multi_line=False) == {"objects": 4, "accepted": 1, "rejected": 3}
+    assert sorted(r["reason"] for r in landed.rejected_objects(spark, target).collect()) == ["no JSON", "no field of a summary", "no object"]
+    assert landed.unpivot_daily_json(landed.accepted_summaries(spark, target)).filter("value = 1.0").count() == 1
