@@ -102,3 +102,21 @@ def test_copies_of_a_text_do_not_make_its_lines_frequent(docs_of):
 def test_normalised_digest(docs_of):
     row = exact_dedup.exact_groups(docs_of((1, " a\t\x0b b\n"))).first()
     assert bytes(row["digest"]) == hashlib.sha256(b" a b ").digest()
+
+
+def test_a_line_of_few_percent_is_frequent_at_a_large_host(spark, tmp_path):
+    """20,000 texts of one host, a line in 1.5% of them: the operator and its statement agree."""
+    filler = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    rows = [(i, (f"{filler(i)}\n" if i % 7 else "short\n") + ("All rights  reserved here." if i < 300 else f"line {i}"), "en", "big", 1)
+            for i in range(20_000)]
+    rows += [(20_000 + i, f"{filler(i)}\nrare line", "en", "small", 1) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    folder = str(tmp_path / "t")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    result = duck.execute(oracle.texts()["op10_quality_rules"])
+    columns = [d[0] for d in result.description]
+    found = queries.op10_quality_rules(spark, folder)
+    assert sorted(tuple(r[c] for c in columns) for r in found.collect()) == sorted(result.fetchall())
+    assert found.filter("doc_id < 300 and lost_words >= 4").count() == 300
