@@ -209,12 +209,14 @@ def _compare(sorted_rows: DataFrame, cut: float) -> DataFrame:
             same = (sketch[near] == sketch[near + lag]).sum(axis=1)
             good = near[same >= cut * TOKENS]
             pairs.append(np.stack([good, good + lag], 1))
-        forest, edges = Forest(), []
+        forest, seen = Forest(), set()
         # A set is in several buckets: the trees of one batch's buckets may be joined.
         for i, j in np.concatenate([*pairs, np.zeros((0, 2), np.int64)]).tolist():
             a, b = int(rep[i]), int(rep[j])
-            if forest.join(a, b):
-                edges.append((a, b))
+            forest.join(a, b)
+            seen.update((a, b))
+        # From the smallest member to each: other buckets of a large group give many of the same links.
+        edges = [(root, x) for x in sorted(seen) if (root := forest.root(x)) != x]
         return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], schema=schema)
 
     return sorted_rows.mapInArrow(run, "a long, b long")
