@@ -201,7 +201,10 @@ def relaxed(sizes: np.ndarray, need: np.ndarray, capacity: int, calm: float = 0.
     columns, amount = _greedy_basis(sizes, need, capacity)
     inverse = _inverse(columns)
     best, bound, steps = sizes / capacity, sizes @ need / capacity, 0
-    while amount.sum() > bound * (1 + near):
+    least, since = np.inf, 0
+    # Five thousand columns without any gain are rounding's going round in circles.
+    while amount.sum() > bound * (1 + near) and since < 5000:
+        least, since = (amount.sum(), 0) if amount.sum() < least * (1 - 1e-12) else (least, since + 1)
         own = inverse.sum(axis=0)
         duals = calm * best + (1 - calm) * own
         worth, column = _best_pattern(sizes, duals, capacity)
