@@ -8,7 +8,10 @@ multiplicity, so copies are never paired.
    one bucket; a bucket draws one or two token places from its own path's hash (1 / threshold
    on average, as ``threshold`` is 0.8) and sends each set on by the tokens it has there, so that
    similar sets share a child with a chance that doesn't shrink to nothing. Buckets of one set
-   end; small ones are compared by brute force over the sets' sketches; large ones are split again.
+   end; small ones are compared by brute force over the sets' sketches. In the first large ones, sets that
+   look like their bucket's smallest form groups with it. Sets of one group need not meet again: a large bucket
+   with at most ``LIMIT`` sets outside its largest group is settled by comparing those with all in it. Other
+   large buckets are split again.
    What is together after ``MAX_DEPTH`` splits agrees in all tokens drawn, and is taken as similar.
    Runs are repeated until a pair at the threshold is met with probability ``recall``.
 2. The pairs met, as spanning trees of their buckets, are joined to candidate groups.
@@ -179,9 +182,10 @@ class Forest:
 
 
 def _compare(sorted_rows: DataFrame, cut: float) -> DataFrame:
-    """Edges ``a, b`` of small buckets, from ``path, rep, sketch`` sorted by path within its partitions.
+    """Edges ``a, b`` of small buckets, from ``path, rep, sketch, inside`` sorted by path within its partitions.
 
-    A bucket's members follow one another; rows are compared at each distance up to a bucket's size.
+    A bucket's members follow one another; rows are compared at each distance up to a bucket's size,
+    but not those inside a group with one another.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -190,22 +194,23 @@ def _compare(sorted_rows: DataFrame, cut: float) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 part = batch.slice(at, 8192)
-                path, rep = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+                path, rep, inside = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
                 sketch = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, TOKENS)
                 if rest is not None:
-                    path, rep, sketch = (np.concatenate(x) for x in zip(rest, (path, rep, sketch), strict=True))
+                    path, rep, sketch, inside = (np.concatenate(x) for x in zip(rest, (path, rep, sketch, inside), strict=True))
                 open_ = int(np.searchsorted(path == path[-1], True)) if len(path) else 0
-                yield _edges(path[:open_], rep[:open_], sketch[:open_])
-                rest = path[open_:], rep[open_:], sketch[open_:]
+                yield _edges(path[:open_], rep[:open_], sketch[:open_], inside[:open_])
+                rest = path[open_:], rep[open_:], sketch[open_:], inside[open_:]
         if rest is not None:
             yield _edges(*rest)
 
-    def _edges(path: np.ndarray, rep: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
+    def _edges(path: np.ndarray, rep: np.ndarray, sketch: np.ndarray, inside: np.ndarray) -> pa.RecordBatch:
         pairs, near = [], np.zeros(0, np.int64)
         for lag in range(1, len(path)):
             near = np.flatnonzero(path[lag:] == path[:-lag])
             if not len(near):
                 break
+            near = near[~(inside[near] & inside[near + lag])]
             same = (sketch[near] == sketch[near + lag]).sum(axis=1)
             good = near[same >= cut * TOKENS]
             pairs.append(np.stack([good, good + lag], 1))
@@ -222,24 +227,68 @@ def _compare(sorted_rows: DataFrame, cut: float) -> DataFrame:
     return sorted_rows.mapInArrow(run, "a long, b long")
 
 
+def _alike(large: DataFrame, cut: float) -> DataFrame:
+    """Edges ``a, b`` from the sets of large buckets to their bucket's smallest, if alike, from ``rep, sketch, least, to``."""
+
+    def make() -> Callable[[dict], dict]:
+        def work(rows: dict) -> dict:
+            one, other = (np.frombuffer(b"".join(rows[n]), np.uint8).reshape(-1, TOKENS) for n in ("sketch", "to"))
+            good = np.flatnonzero((one == other).sum(axis=1) >= cut * TOKENS)
+            return {n: np.array(rows[r], np.int64)[good].tolist() for n, r in (("a", "rep"), ("b", "least"))}
+
+        return work
+
+    return map_rows(large, make, "a long, b long", rows=4096)
+
+
+def _buckets(now: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """The rows of ``path, rep`` that share a bucket, with its size ``n`` and smallest set ``least``.
+
+    With ``groups`` (``node, label``) also whether a set is in the bucket's largest group and how many are not.
+    """
+    if groups is None:
+        sizes = now.groupBy("path").agg(F.count("*").alias("n"), F.min("rep").alias("least"))
+        return stored(now.join(sizes.filter("n > 1"), "path"))
+    named = now.join(groups, F.col("rep") == F.col("node"), "left").select("path", "rep", F.coalesce("label", "rep").alias("label"))
+    sizes = named.groupBy("path", "label").agg(F.count("*").alias("k"), F.min("rep").alias("least")).groupBy("path").agg(
+        F.sum("k").alias("n"), F.min("least").alias("least"), F.max(F.struct("k", "label")).alias("main"))
+    return stored(named.join(sizes.filter("n > 1"), "path").select(
+        "path", "rep", "n", "least", (F.col("label") == F.col("main.label")).alias("inside"), (F.col("n") - F.col("main.k")).alias("outside")))
+
+
+def _pieces(settled: DataFrame) -> DataFrame:
+    """``path, rep, inside`` of small buckets in place of large ones: the sets of the largest group dealt out, and all others in each."""
+    count = F.ceil(F.col("n") / LIMIT)
+    piece = F.when(F.col("inside"), F.array(F.pmod(F.xxhash64("rep"), count))).otherwise(F.sequence(F.lit(0).cast("long"), count - 1))
+    return settled.withColumn("piece", F.explode(piece)).select(F.xxhash64("path", "piece").alias("path"), "rep", "inside")
+
+
 def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
-    """Edges between representatives that shared a small bucket and look alike, or stayed together to the end."""
+    """Edges between representatives that look alike and shared a bucket that was compared, or stayed together to the end."""
     spread = math.sqrt(threshold * (1 - threshold) / TOKENS)
     cut = threshold - 4 * spread
     tokens, sketches = reps.select("rep", "tokens"), reps.select("rep", "sketch")
-    now, edges = reps.select(F.explode("paths").alias("path"), "rep"), []
+    now, edges, groups = reps.select(F.explode("paths").alias("path"), "rep"), [], None
     for depth in range(1, MAX_DEPTH + 1):
-        sizes = now.groupBy("path").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1")
-        hit = stored(now.join(sizes, "path"))
+        hit = _buckets(now, groups)
         small, large = hit.filter(F.col("n") <= LIMIT), hit.filter(F.col("n") > LIMIT)
-        small = small.select("path", "rep").join(sketches, "rep").select("path", "rep", "sketch")
-        edges.append(_compare(small.repartition("path").sortWithinPartitions("path", "rep"), cut))
-        if large.isEmpty():
-            break
+        small = small.select("path", "rep", F.lit(False).alias("inside"))
+        last = large.isEmpty()
         if depth == MAX_DEPTH:
             edges.append(large.filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")))
-        else:
-            now = stored(_split(large.select("path", "rep").join(tokens, "rep").select("path", "rep", "tokens")).distinct())
+        elif not last:
+            if groups is None:
+                first = large.filter("rep = least").join(sketches, "rep").select("path", F.col("sketch").alias("to"))
+                groups = components(_alike(large.join(first, "path").join(sketches, "rep").select("rep", "sketch", "least", "to"), cut))
+                edges.append(groups.toDF("a", "b"))
+                large = _buckets(large.select("path", "rep"), groups)
+            small = small.union(_pieces(large.filter(F.col("outside") <= LIMIT)))
+            large = large.filter(F.col("outside") > LIMIT).select("path", "rep")
+            now = stored(_split(large.join(tokens, "rep").select("path", "rep", "tokens")).distinct())
+        small = small.join(sketches, "rep").select("path", "rep", "sketch", "inside")
+        edges.append(_compare(small.repartition("path").sortWithinPartitions("path", "rep"), cut))
+        if last:
+            break
     out = edges[0]
     for more in edges[1:]:
         out = out.union(more)

@@ -62,6 +62,48 @@ def test_a_large_group_of_near_copies(docs_of, monkeypatch):
     assert got == expected
 
 
+def test_a_group_of_near_copies_is_not_split(docs_of, monkeypatch):
+    """What is one group already is dealt over pieces with the few others, not split in each run; no link is lost."""
+    monkeypatch.setattr(ngram_join, "LIMIT", 16)
+    rng, made, split = random.Random(7), [], ngram_join._split
+
+    def counted(large):
+        out = split(large)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_split", counted)
+    base, rows = [f"b{i}" for i in range(90)], []
+    for i in range(150):
+        words = list(base)
+        words[rng.randrange(90)] = f"n{i}"
+        rows.append((i, " ".join(words)))
+    # Some linked to a part of the group only, and some to none of it.
+    rows += [(200 + i, " ".join(base[:80 - i] + [f"o{i}_{k}" for k in range(i)])) for i in range(12)]
+    expected, got = brute(dict(rows)), found(docs_of(*rows))
+    assert {0 < n < 149 for d, (_, n) in expected.items() if d >= 200} == {True, False}
+    assert got == expected
+    assert sum(made) <= len(rows)
+
+
+def test_settled_buckets(spark, monkeypatch):
+    """All pairs of a settled bucket that are not of its largest group meet in a piece."""
+    monkeypatch.setattr(ngram_join, "LIMIT", 16)
+    now = spark.createDataFrame([(1, i) for i in range(100)] + [(2, i) for i in range(60)] + [(3, 7)], "path long, rep long")
+    groups = spark.createDataFrame([(i, 0) for i in range(88)], "node long, label long")
+    rows = ngram_join._buckets(now, groups)
+    sizes = {(r["path"], r["n"], r["least"], r["outside"]) for r in rows.collect()}
+    assert sizes == {(1, 100, 0, 12), (2, 60, 0, 0)}
+    assert {r["rep"] for r in rows.filter("path = 1 and not inside").collect()} == set(range(88, 100))
+    pieces = {}
+    for r in ngram_join._pieces(rows.filter("path = 1")).collect():
+        pieces.setdefault(r["path"], set()).add(r["rep"])
+    assert len(pieces) == 7 and max(map(len, pieces.values())) < 50
+    assert set.union(*pieces.values()) == set(range(100))
+    meet = {pair for members in pieces.values() for pair in itertools.combinations(sorted(members), 2)}
+    assert {(a, b) for a, b in itertools.combinations(range(100), 2) if b >= 88} <= meet
+
+
 @pytest.mark.parametrize("change", [1, 2, 3, 4])
 def test_pairs_about_the_threshold(docs_of, change):
     """Pairs whose similarity is just over or under 0.8, decided exactly."""
