@@ -241,26 +241,20 @@ def _alike(large: DataFrame, cut: float) -> DataFrame:
     return map_rows(large, make, "a long, b long", rows=4096)
 
 
-def _buckets(now: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """The rows of ``path, rep`` that share a bucket, with its size ``n`` and smallest set ``least``.
+def _settled(large: DataFrame, groups: DataFrame) -> DataFrame:
+    """``path, main`` of large buckets with at most ``LIMIT`` sets outside their largest group, and that group's label."""
+    named = large.join(groups, F.col("rep") == F.col("node")).groupBy("path", "n", "label").agg(F.count("*").alias("k"))
+    main = named.groupBy("path", "n").agg(F.max(F.struct("k", "label")).alias("m"))
+    return stored(main.filter(F.col("n") - F.col("m.k") <= LIMIT).select("path", F.col("m.label").alias("main")))
 
-    With ``groups`` (``node, label``) also whether a set is in the bucket's largest group and how many are not.
-    """
-    if groups is None:
-        sizes = now.groupBy("path").agg(F.count("*").alias("n"), F.min("rep").alias("least"))
-        return stored(now.join(sizes.filter("n > 1"), "path"))
-    named = now.join(groups, F.col("rep") == F.col("node"), "left").select("path", "rep", F.coalesce("label", "rep").alias("label"))
-    sizes = named.groupBy("path", "label").agg(F.count("*").alias("k"), F.min("rep").alias("least")).groupBy("path").agg(
-        F.sum("k").alias("n"), F.min("least").alias("least"), F.max(F.struct("k", "label")).alias("main"))
-    return stored(named.join(sizes.filter("n > 1"), "path").select(
-        "path", "rep", "n", "least", (F.col("label") == F.col("main.label")).alias("inside"), (F.col("n") - F.col("main.k")).alias("outside")))
-
-
-def _pieces(settled: DataFrame) -> DataFrame:
-    """``path, rep, inside`` of small buckets in place of large ones: the sets of the largest group dealt out, and all others in each."""
+
+def _pieces(large: DataFrame, settled: DataFrame, groups: DataFrame) -> DataFrame:
+    """``path, rep, inside`` of small buckets in place of settled ones: the sets of the largest group dealt out, and all others in each."""
     count = F.ceil(F.col("n") / LIMIT)
+    rows = large.join(settled, "path").join(groups, F.col("rep") == F.col("node"), "left").withColumn(
+        "inside", F.coalesce(F.col("label") == F.col("main"), F.lit(False)))
     piece = F.when(F.col("inside"), F.array(F.pmod(F.xxhash64("rep"), count))).otherwise(F.sequence(F.lit(0).cast("long"), count - 1))
-    return settled.withColumn("piece", F.explode(piece)).select(F.xxhash64("path", "piece").alias("path"), "rep", "inside")
+    return rows.withColumn("piece", F.explode(piece)).select(F.xxhash64("path", "piece").alias("path"), "rep", "inside")
 
 
 def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
@@ -270,7 +264,8 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
     tokens, sketches = reps.select("rep", "tokens"), reps.select("rep", "sketch")
     now, edges, groups = reps.select(F.explode("paths").alias("path"), "rep"), [], None
     for depth in range(1, MAX_DEPTH + 1):
-        hit = _buckets(now, groups)
+        sizes = now.groupBy("path").agg(F.count("*").alias("n"), F.min("rep").alias("least")).filter("n > 1")
+        hit = stored(now.join(sizes, "path"))
         small, large = hit.filter(F.col("n") <= LIMIT), hit.filter(F.col("n") > LIMIT)
         small = small.select("path", "rep", F.lit(False).alias("inside"))
         last = large.isEmpty()
@@ -281,9 +276,9 @@ def candidate_edges(reps: DataFrame, threshold: float) -> DataFrame:
                 first = large.filter("rep = least").join(sketches, "rep").select("path", F.col("sketch").alias("to"))
                 groups = components(_alike(large.join(first, "path").join(sketches, "rep").select("rep", "sketch", "least", "to"), cut))
                 edges.append(groups.toDF("a", "b"))
-                large = _buckets(large.select("path", "rep"), groups)
-            small = small.union(_pieces(large.filter(F.col("outside") <= LIMIT)))
-            large = large.filter(F.col("outside") > LIMIT).select("path", "rep")
+            settled = _settled(large, groups)
+            small = small.union(_pieces(large, settled, groups))
+            large = large.join(settled, "path", "left_anti").select("path", "rep")
             now = stored(_split(large.join(tokens, "rep").select("path", "rep", "tokens")).distinct())
         small = small.join(sketches, "rep").select("path", "rep", "sketch", "inside")
         edges.append(_compare(small.repartition("path").sortWithinPartitions("path", "rep"), cut))

@@ -89,15 +89,16 @@ def test_a_group_of_near_copies_is_not_split(docs_of, monkeypatch):
 def test_settled_buckets(spark, monkeypatch):
     """All pairs of a settled bucket that are not of its largest group meet in a piece."""
     monkeypatch.setattr(ngram_join, "LIMIT", 16)
-    now = spark.createDataFrame([(1, i) for i in range(100)] + [(2, i) for i in range(60)] + [(3, 7)], "path long, rep long")
+    large = spark.createDataFrame(
+        [(1, i, 100) for i in range(100)] + [(2, i, 60) for i in range(60)] + [(3, i, 50) for i in range(70, 120)], "path long, rep long, n long")
     groups = spark.createDataFrame([(i, 0) for i in range(88)], "node long, label long")
-    rows = ngram_join._buckets(now, groups)
-    sizes = {(r["path"], r["n"], r["least"], r["outside"]) for r in rows.collect()}
-    assert sizes == {(1, 100, 0, 12), (2, 60, 0, 0)}
-    assert {r["rep"] for r in rows.filter("path = 1 and not inside").collect()} == set(range(88, 100))
-    pieces = {}
-    for r in ngram_join._pieces(rows.filter("path = 1")).collect():
+    settled = ngram_join._settled(large, groups)
+    assert {tuple(r) for r in settled.collect()} == {(1, 0), (2, 0)}
+    pieces, inside = {}, set()
+    for r in ngram_join._pieces(large.filter("path = 1"), settled, groups).collect():
         pieces.setdefault(r["path"], set()).add(r["rep"])
+        inside |= {r["rep"]} if r["inside"] else set()
+    assert inside == set(range(88))
     assert len(pieces) == 7 and max(map(len, pieces.values())) < 50
     assert set.union(*pieces.values()) == set(range(100))
     meet = {pair for members in pieces.values() for pair in itertools.combinations(sorted(members), 2)}
