@@ -27,6 +27,7 @@ import codecs
 import gc
 import hashlib
 import itertools
+import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
 
@@ -35,9 +36,12 @@ from pyspark.sql import DataFrame
 
 from fieldseason.llm.common import held, map_rows, texts
 
-#: Bounds of the tables: pieces of at most ``LONGEST`` bytes, states, and pairs of tokens.
+#: Bounds of the tables: parts of text of at most ``LONGEST`` characters, states, and pairs of tokens.
 CACHED_WORDS, LONGEST, CACHED_STATES, CACHED_PAIRS = 300_000, 48, 160_000, 300_000
 
+#: White space that is no space or newline, and a full stop or comma after anything but a letter or digit.
+_OTHER_SPACE, _MARK_AFTER = re.compile(r"[^\S \n]"), re.compile(r"[.,](?<=[\W_].)")
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -162,16 +166,17 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if len(self._sets) > CACHED_STATES or len(self._pairs) > CACHED_PAIRS:
             self._make_room()
-        out, state, arcs = [], 0, self._arcs
-        for n, byte in enumerate(piece, 1):
-            arc = arcs.get(state << 8 | byte) or self._arc(state, byte)
-            if arc[0]:
-                out += arc[0]
-            state = arc[1]
-            if not n & 1023:  # a piece may be very long
+        out, state = [], 0
+        for at in range(0, len(piece), 1024):  # a piece may be very long
+            if at:
                 readings = self._sets[state]
                 self._make_room()
-                state, arcs = self._state(readings), self._arcs
+                state = self._state(readings)
+            known = self._arcs.get
+            for byte in piece[at:at + 1024]:
+                shared, state = known(state << 8 | byte) or self._arc(state, byte)
+                if shared:
+                    out += shared
         for _, node, pending in self._sets[state]:
             if node == 0:
                 return out + list(pending)
@@ -222,8 +227,48 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _Known(dict):
+    """What ``make`` gives for a part of text, in two bounded tables.
+
+    A part goes to this one when it is met again; of a text's many parts most never are, and wait in
+    the other one, which forgets the half it has had longest. This one, when full, forgets the newest.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self._make, self._once = make, {}
+
+    def __missing__(self, part: str) -> bytes:
+        if (ids := self._once.pop(part, None)) is not None:
+            if len(self) >= CACHED_WORDS * 2 // 3:
+                for _ in range(len(self) // 4):
+                    self.popitem()
+            self[part] = ids
+            return ids
+        ids = self._make(part)
+        if len(part) <= LONGEST:
+            if len(self) + len(self._once) >= CACHED_WORDS:
+                self._once = dict(itertools.islice(self._once.items(), len(self._once) // 2, None))
+            self._once[part] = ids
+        return ids
+
+
+def _parts(text: str) -> list[str] | None:
+    """A text cut at some of the places where one piece ends and another begins; ``None`` where that needs the pattern.
+
+    A space begins a piece if no white space follows, and a newline is one if at most a newline is
+    beside it, or a space after it. So is a full stop or comma between a letter or digit and either.
+    """
+    if "  " in text or " \n" in text or "\n\n\n" in text or "\n\n " in text or text.endswith(("\n\n", "\n ")) or "\0" in text:
+        return None
+    if _OTHER_SPACE.search(text) or _MARK_AFTER.search(text):
+        return None
+    cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0") + "\0"
+    return cut.replace(",\0", "\0,\0").replace(".\0", "\0.\0").split("\0")
+
+
 class Codec:
-    """Encoding of whole texts piece by piece, with a bounded table of pieces met before."""
+    """Encoding of whole texts part by part, with bounded tables of parts met before."""
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -231,25 +276,19 @@ class Codec:
 
         ranks = read_ranks(path)
         self._pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self._transducer, self._known = Transducer(ranks), {}
+        self._transducer, self._known = Transducer(ranks), _Known(self._ids)
         self.tokens = {r: t for t, r in ranks.items()}
         # The tables hold no cycles, and millions of their tuples would be walked through again and again.
         gc.set_threshold(200_000, 20, 100)
         self.stream = Utf8Stream(self.tokens)
 
+    def _ids(self, part: str) -> bytes:
+        encode = self._transducer.encode
+        return b"".join([_packed(encode(p.encode("utf-8", "surrogatepass"))) for p in self._pieces(part)])
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        pieces, known, long = self._pieces(text), self._known, {}
-        if new := set(pieces).difference(known):
-            if len(known) > CACHED_WORDS:
-                known = self._known = first_half(known)
-                new = set(pieces).difference(known)
-            for piece in new:
-                raw = piece.encode("utf-8", "surrogatepass")
-                (known if len(raw) <= LONGEST else long)[piece] = _packed(self._transducer.encode(raw))
-            if long:
-                return b"".join([long.get(p) or known[p] for p in pieces])
-        return b"".join(map(known.__getitem__, pieces))
+        return b"".join(map(self._known.__getitem__, _parts(text) or self._pieces(text)))
 
 
 def _codec(path: str) -> Codec:

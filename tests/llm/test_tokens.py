@@ -3,6 +3,7 @@
 import collections
 import math
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -58,6 +59,33 @@ def test_transducer_forgets_its_states_within_bounds(monkeypatch):
         assert machine.encode(piece) == [ranks[p] for p in bpe.merged(piece, ranks)]
 
 
+def flood():
+    """Texts of twenty new words each; from the sixth on, one word is in all."""
+    for i in range(40):
+        new = ["".join("abcdefghij"[int(c)] for c in str(10_000 + 20 * i + k)) for k in range(20)]
+        yield " ".join(["x", *new, *["kept"] * (i > 5)]) + " ."
+
+
+def test_a_part_met_again_is_encoded_once_though_the_table_fills(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 90)
+    codec, library, met = bpe.Codec(bpe.byte_bpe_path()), library_bpe(bpe.byte_bpe_path()), collections.Counter()
+    encode = codec._transducer.encode
+    monkeypatch.setattr(codec._transducer, "encode", lambda piece: met.update([piece]) or encode(piece))
+    for text in flood():
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    assert met[b" kept"] == 1 and len(met) > 800
+    assert len(codec._known) + len(codec._known._once) <= 91
+
+
+def test_parts_are_cut_between_pieces():
+    pieces, rng = bpe.Codec(bpe.byte_bpe_path())._pieces, random.Random(9)
+    some = ["".join(c) for n in range(6) for c in itertools.product(" \na.,'", repeat=n)]
+    some += ["".join(rng.choice(" \n a1é².,_-'s\t\x1c\xa0日\0") for _ in range(9)) for _ in range(20_000)] + [f"a{chr(c)}. a" for c in range(0x3100)]
+    cut = {t: parts for t in some if (parts := bpe._parts(t)) is not None}
+    assert len(cut) > 5_000
+    assert all([p for part in parts for p in pieces(part)] == pieces(t) for t, parts in cut.items())
+
+
 def test_stream_holds_a_characters_bytes_between_tokens():
     stream = bpe.Utf8Stream({i: bytes([i]) for i in range(256)})
     parts = list(stream.decode("é日x".encode()))
