@@ -19,6 +19,7 @@ than the id and the text are ignored.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import unicodedata
@@ -30,11 +31,11 @@ from pyspark.sql import functions as F
 
 from fieldseason.llm.common import held, map_rows, stored, texts
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 
 
 #: A mark before a full stop or comma, with which it would form one piece.
-_MARK_BEFORE = re.compile(r"[^\w\s][.,]|_[.,]")
+_MARK_BEFORE = re.compile(r"[.,](?<=[^\w\s].|_.)")
 
 
 def _simpler(text: str) -> str:
@@ -56,14 +57,15 @@ class _WordEncoder:
     """Token ids of texts as bytes (little-endian, four to an id), word by word.
 
     The vocabulary drops white space and no token spans it, so a text's ids are those of its
-    words in order. Equal words are encoded once while the bounded cache holds them.
+    words in order. Equal words are encoded once while the bounded cache holds them. When it is
+    full, it forgets the older half of the words that only one call had, as most words of a language.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._known = Tokenizer.from_file(path), {}
+        self._tokenizer, self._known, self._once = Tokenizer.from_file(path), {}, set()
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -88,11 +90,23 @@ class _WordEncoder:
         for word, got in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self._known[word] = np.array(got.ids, "<u4").tobytes()
 
+    def _forget(self) -> None:
+        old = list(itertools.islice(filter(self._once.__contains__, self._known), len(self._once) // 2 + 1))
+        self._once.difference_update(old)
+        for word in old:
+            del self._known[word]
+        while len(self._known) > CACHED_WORDS * 3 // 4:  # many words that several calls had: the newest go
+            self._once.discard(self._known.popitem()[0])
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [_simpler(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self._known) > CACHED_WORDS:
-            self._known.clear()
-        self._learn(list(set().union(*split).difference(self._known)))
+            self._forget()
+        words = set().union(*split)
+        new = words.difference(self._known)
+        self._learn(list(new))
+        self._once.difference_update(words)
+        self._once.update(new)
         return [b"".join(map(self._known.__getitem__, words)) for words in split]
 
 

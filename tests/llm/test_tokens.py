@@ -167,6 +167,17 @@ def test_word_encoder_gives_the_librarys_ids(texts, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_met_again_is_learnt_once_though_the_table_fills(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 90)
+    encode, library, met = packing._WordEncoder(packing.word_bpe_path()), Tokenizer.from_file(packing.word_bpe_path()), collections.Counter()
+    learn = encode._learn
+    monkeypatch.setattr(encode, "_learn", lambda words: met.update(words) or learn(words))
+    for text in flood():
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encode._known) <= 90 + 24
+    assert met["kept"] == 1 and len(met) > 800
+
+
 def test_op5_packs_every_id_once(spark, sf, texts):
     library, rows = Tokenizer.from_file(packing.word_bpe_path()), queries.op5_packing(spark, sf).collect()
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
