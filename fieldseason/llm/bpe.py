@@ -283,8 +283,10 @@ class Codec:
         self.stream = Utf8Stream(self.tokens)
 
     def _ids(self, part: str) -> bytes:
-        encode = self._transducer.encode
-        return b"".join([_packed(encode(p.encode("utf-8", "surrogatepass"))) for p in self._pieces(part)])
+        pieces = self._pieces(part)
+        if len(pieces) > 1:
+            return b"".join(map(self._known.__getitem__, pieces))
+        return _packed(self._transducer.encode(part.encode("utf-8", "surrogatepass")))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
